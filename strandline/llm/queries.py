@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language_id, quality_fm, quality_rules, toxicity
+from . import decontaminate, language_id, piece_codec, quality_fm, quality_rules, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,13 +24,54 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and hash of the ids of each text, and whether they decode to it."""
+    vocabulary = piece_codec.load()
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    tokens = piece_codec.encode(docs.withColumn("said", F.sha2("text", 256)), vocabulary, ["doc_id", "said"])
+    back = piece_codec.decode(tokens.withColumns({"n_tokens": F.size("ids").cast("long"), "ids_hash": F.hash("ids")}), vocabulary, ["doc_id", "said", "n_tokens", "ids_hash"])
+    return back.select("doc_id", "n_tokens", "ids_hash", (F.sha2("text", 256) == F.col("said")).alias("round_trip"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rule")
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op4_language_id, op6_quality_rules, op10_toxicity)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op4_language_id, op5_sentencepiece, op6_quality_rules, op8_secret_scan, op10_toxicity)}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT doc_id, {i} AS rule, '{k}' AS kind, regexp_extract_all(t, '{p.replace("'", "''")}') AS m, string_split_regex(t, '{p.replace("'", "''")}') AS g FROM docs"
+    for i, (k, p) in enumerate(secret_scan.RULES.items())
+)
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": f"""
+        WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        q AS (SELECT DISTINCT item_id, least(5, len(w)) AS k, unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda j: array_to_string(w[j:j + least(5, len(w)) - 1], ' '))) AS s FROM i WHERE len(w) > 0),
+        d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        x AS (SELECT DISTINCT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j + k - 1], ' '))) AS s FROM d, (SELECT DISTINCT k FROM q)),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM q GROUP BY item_id),
+        c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM q JOIN x USING (k, s) GROUP BY ALL)
+        SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM c JOIN n USING (item_id) WHERE 5 * n_shared >= 4 * n_shingles""",
+    "op8_secret_scan": f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        found AS ({_RULE_ROWS}),
+        each AS (SELECT doc_id, rule, kind, m, g, unnest(range(1, len(m) + 1)) AS i FROM found),
+        span AS (SELECT doc_id, rule, kind, m[i] AS said, list_sum(list_transform(g[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT AS s FROM each),
+        kept AS (SELECT *, kind || ':' || s || ':' || (s + length(said)) AS txt FROM span WHERE kind <> 'assign' OR length(regexp_extract(said, '{secret_scan.ASSIGN.replace("'", "''")}', 2)) >= 6),
+        by_doc AS (SELECT doc_id, count(*) FILTER (rule = 0) AS n_assign, count(*) FILTER (rule = 1) AS n_access, count(*) FILTER (rule = 2) AS n_hex,
+            string_agg(txt, ',' ORDER BY s, rule) FILTER (rule < 3) AS base, string_agg(txt, ',' ORDER BY s, rule) AS spans FROM kept GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN by_doc USING (doc_id)""",
+}
