@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, piece_codec, quality_fm, quality_rules, secret_scan, toxicity
+from . import decontaminate, jaccard_join, language_id, piece_codec, quality_fm, quality_rules, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rule")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -46,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op4_language_id, op5_sentencepiece, op6_quality_rules, op8_secret_scan, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op10_toxicity)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RULE_ROWS = " UNION ALL ".join(
@@ -64,6 +68,14 @@ ORACLES: dict[str, str] = {
         n AS (SELECT item_id, count(*) AS n_shingles FROM q GROUP BY item_id),
         c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM q JOIN x USING (k, s) GROUP BY ALL)
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM c JOIN n USING (item_id) WHERE 5 * n_shared >= 4 * n_shingles""",
+    "op7_ngram_jaccard_join": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        x AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda j: array_to_string(w[j:j + 2], ' ')) END) AS s FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM x GROUP BY 1),
+        c AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS i FROM x p JOIN x q USING (s) WHERE p.doc_id <> q.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 90 * (na.n + nb.n - i)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY 1) m USING (doc_id)""",
     "op8_secret_scan": f"""
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         found AS ({_RULE_ROWS}),
