@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, piece_codec, quality_fm, quality_rules, secret_scan, toxicity
+from . import decontaminate, jaccard_join, language_id, piece_codec, quality_fm, quality_rules, recompression, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_substring_dedup, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op10_toxicity)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RULE_ROWS = " UNION ALL ".join(
@@ -68,6 +72,15 @@ ORACLES: dict[str, str] = {
         n AS (SELECT item_id, count(*) AS n_shingles FROM q GROUP BY item_id),
         c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM q JOIN x USING (k, s) GROUP BY ALL)
         SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM c JOIN n USING (item_id) WHERE 5 * n_shared >= 4 * n_shingles""",
+    "op3_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        x AS (SELECT doc_id, s, array_to_string(w[s:s + 34], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d)),
+        r AS (SELECT doc_id, s FROM x JOIN (SELECT win FROM x GROUP BY win HAVING count(*) > 1) USING (win)),
+        c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM r),
+        l AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY 1),
+        o AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN l USING (doc_id)),
+        k AS (SELECT o.doc_id, string_agg(o.w[i], ' ' ORDER BY i) AS kept FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM o) o ANTI JOIN c ON c.doc_id = o.doc_id AND c.p = o.i GROUP BY 1)
+        SELECT o.doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM o LEFT JOIN k USING (doc_id)""",
     "op7_ngram_jaccard_join": rf"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
         x AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda j: array_to_string(w[j:j + 2], ' ')) END) AS s FROM w),
