@@ -41,21 +41,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: DataFrame | None = None, may_link: Callable[[str, str], Column] | None = None, stars: int = 2) -> DataFrame:
+def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], stars: int = 2) -> DataFrame:
     """Components (id, component) of the links among ids that share a key; ids without a link may lack.
 
-    rows: (key, id); verify: the linked ones of pairs (a, b); marks: (id, ...) more columns of the ids,
-    for may_link(x, y), a condition on the rows named x and y that every link meets.
-    First, `stars` rounds test each key's members against one centre (another one each round) outside
-    whose component they still are.  Near copies thereby melt into one component at a cost linear in a
-    key's members.  Then all pairs that share a key, are still in different components and may link are
-    tested, so no link between components is lost; the condition is part of the join, so pairs that
-    can't link are never sent on.
+    rows: (key, id).  marks gets the ids (id) that share a key with others and gives more columns of
+    them, for may_link(x, y), a condition on the rows named x and y that every link meets.  verify gives
+    the linked ones of pairs (a, b).
+    First, `stars` rounds test each key's members against one centre outside whose component they still
+    are: at first the member that shares most keys with others, later another one each round.  Near
+    copies thereby melt into one component at a cost linear in a key's members.  Then all pairs that
+    share a key, are still in different components and may link are tested, so no link between
+    components is lost; the condition is part of the join, so pairs that can't link are never sent on.
     """
     shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    near = rows.join(shared, "key").distinct()
-    near = stored(near.join(marks, "id") if marks is not None else near, "near")
-    condition = may_link("x", "y") if may_link else F.lit(True)
+    near = stored(rows.join(shared, "key").distinct(), "shared-keys")
+    sizes = near.groupBy("key").agg(F.count("*").alias("size"))
+    degree = near.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree"))
+    near = stored(near.join(degree, "id").join(marks(near.select("id").distinct()), "id"), "near")
     components = edges = tested = None
     for i in range(stars + 1):
         if components is None:
@@ -68,12 +70,12 @@ def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
                 break
         x, y = own.alias("x"), own.alias("y")
         if i < stars:
-            rank = F.col("id") if i == 0 else F.xxhash64("id", F.lit(i))
-            first = own.groupBy("key").agg(F.min(rank).alias("rank"))
-            centres = own.withColumn("rank", rank).join(first, ["key", "rank"]).alias("y")
-            pairs = x.join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & condition)
+            rank = F.struct(-F.col("degree"), F.col("id")) if i == 0 else F.struct(F.xxhash64("id", F.lit(i)), F.col("id"))
+            first = own.groupBy("key").agg(F.min(rank).alias("first")).select("key", F.col("first.id").alias("id"))
+            centres = own.join(first, ["key", "id"]).alias("y")
+            pairs = x.join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & may_link("x", "y"))
         else:
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & condition)
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
         pairs = pairs.select(F.expr("least(x.id, y.id)").alias("a"), F.expr("greatest(x.id, y.id)").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

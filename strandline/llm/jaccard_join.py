@@ -147,7 +147,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90) -> DataFrame:
     nodes = known.join(sets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keyed = nodes.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     more = nodes.select(F.col("doc_id").alias("id"), "n_shingles", "sketch")
-    found = linked_components(keyed, partial(verified, docs=docs, percent=percent), more, may_link(percent)).withColumnRenamed("id", "node")
+    found = linked_components(keyed, partial(verified, docs=docs, percent=percent), lambda ids: more.join(ids, "id", "left_semi"), may_link(percent)).withColumnRenamed("id", "node")
     sets = sets.join(found, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component"))
     rows = marks.select("doc_id", "n_shingles", "s1", "s2").join(sets, ["s1", "s2", "n_shingles"], "left")
     return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, piece_codec, quality_fm, quality_rules, recompression, secret_scan, toxicity
+from . import decontaminate, jaccard_join, language_id, line_dedup, piece_codec, quality_fm, quality_rules, recompression, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +50,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_substring_dedup, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_substring_dedup, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_line_dedup, op10_toxicity)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RULE_ROWS = " UNION ALL ".join(
