@@ -1,8 +1,8 @@
 """N-gram Jaccard join by parity sketches.
 
-A document's set: its distinct three-word shingles (A-Z lower-cased; with fewer words the whole
+A document's set: its distinct n-word shingles, by default three (A-Z lower-cased; with fewer words the whole
 sequence as one; without words empty and linked with nothing).  Two sets link when
-100 * |A & B| >= 90 * |A | B|, which bounds their symmetric difference by (|A| + |B|) / 19.
+100 * |A & B| >= percent * |A | B|, which bounds their symmetric difference: by (|A| + |B|) / 19 at 90.
 
 Each shingle hash flips one bit of a sketch, so the Hamming distance of two sketches is at most the
 symmetric difference of the sets.  For each band of sizes the sketch is cut into more segments than
@@ -91,14 +91,14 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat.view(np.int64)))
 
 
-def sketches(docs: DataFrame, percent: int) -> DataFrame:
+def sketches(docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
     """doc_id, n_shingles, set hashes s1 and s2, sketch and keys of each row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = shingle_sets(*text_bytes(part.column("text")))
+                sets = shingle_sets(*text_bytes(part.column("text")), words)
                 none = np.zeros(0, U)
                 s1 = np.array([x.sum(dtype=U) for x in sets], U).view(np.int64)
                 s2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else U(0) for x in sets], U).view(np.int64)
@@ -121,7 +121,7 @@ def may_link(percent: int):
     return condition
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
     """The pairs (a, b) of doc_ids that link, by the shingles of their whole texts."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = stored(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "near-texts")
@@ -130,7 +130,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "tb", 1 << 20):
-                left, right = shingle_sets(*text_bytes(part.column("ta"))), shingle_sets(*text_bytes(part.column("tb")))
+                left, right = shingle_sets(*text_bytes(part.column("ta")), words), shingle_sets(*text_bytes(part.column("tb")), words)
                 both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
                 linked = [100 * i >= percent * (len(x) + len(y) - i) for x, y, i in zip(left, right, both)]
                 yield part.select(["a", "b"]).filter(pa.array(linked))
@@ -139,23 +139,23 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
-def jaccard_components(docs: DataFrame, percent: int = 90) -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    marks = stored(sketches(docs, percent), "sketches")
+    marks = stored(sketches(docs, percent, words), "sketches")
     known = marks.where("n_shingles > 0 and doc_id is not null")
     sets = stored(known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "sets")
     nodes = known.join(sets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     keyed = nodes.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
     more = nodes.select(F.col("doc_id").alias("id"), "n_shingles", "sketch")
-    found = linked_components(keyed, partial(verified, docs=docs, percent=percent), lambda ids: more.join(ids, "id", "left_semi"), may_link(percent)).withColumnRenamed("id", "node")
+    found = linked_components(keyed, partial(verified, docs=docs, percent=percent, words=words), lambda ids: more.join(ids, "id", "left_semi"), may_link(percent)).withColumnRenamed("id", "node")
     sets = sets.join(found, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component"))
     rows = marks.select("doc_id", "n_shingles", "s1", "s2").join(sets, ["s1", "s2", "n_shingles"], "left")
     return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = 90) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = 90, words: int = 3) -> DataFrame:
     """The rows of docs less all but the smallest doc_id of each component; rows that repeat a doc_id become one, rows without one stay."""
-    found = jaccard_components(docs, percent)
+    found = jaccard_components(docs, percent, words)
     winners = found.where("n_shingles = 0 or doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))

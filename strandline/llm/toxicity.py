@@ -14,13 +14,14 @@ table.  Null and empty texts have no sentence and score 0.  Repeated rows are sc
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U, hash_spans, map_texts, rows_of, text_bytes, word_spans
+from .arrays import LOWER, U, hash_spans, map_texts, rows_of, slices, text_bytes, word_spans
 from .labelled import held_out, training_rows
 
 BITS = 18
@@ -111,24 +112,38 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 5000, max_chars: int
     return train(buckets, sentence, doc, rows.column("label").to_numpy()[np.sort(single)])
 
 
+def score_rows(model: Model, data: np.ndarray, offsets: np.ndarray):
+    """Score, number of sentences, and start byte and score of the worst sentence of each row."""
+    rows = len(offsets) - 1
+    buckets, sentence, doc, at = sentences(data, offsets)
+    z = model.bias + np.bincount(sentence, model.weights[buckets], len(doc))
+    total = _softplus(model.leak) + np.bincount(doc, _softplus(z), rows)
+    count = np.bincount(doc, minlength=rows)
+    order = np.lexsort((at, -z, doc))
+    top = order[np.r_[True, np.diff(doc[order]) != 0]] if len(order) else order
+    start, worst = np.full(rows, -1, np.int64), np.zeros(rows)
+    start[doc[top]] = at[top] - offsets[doc[top]]
+    worst[doc[top]] = 1 / (1 + np.exp(-z[top]))
+    return 1 - np.exp(-total), count.astype(np.int64), start, worst
+
+
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns `keep`, score, n_sentences, and worst_start and worst_score: byte offset and score of the worst sentence."""
+    kept = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    return map_texts(docs, keep, partial(score_rows, model), f"{kept}, score double, n_sentences bigint, worst_start bigint, worst_score double")
 
-    def fn(data, offsets):
-        rows = len(offsets) - 1
-        buckets, sentence, doc, at = sentences(data, offsets)
-        z = model.bias + np.bincount(sentence, model.weights[buckets], len(doc))
-        total = _softplus(model.leak) + np.bincount(doc, _softplus(z), rows)
-        count = np.bincount(doc, minlength=rows)
-        order = np.lexsort((at, -z, doc))
-        top = order[np.r_[True, np.diff(doc[order]) != 0]] if len(order) else order
-        start, worst = np.full(rows, -1, np.int64), np.zeros(rows)
-        start[doc[top]] = at[top] - offsets[doc[top]]
-        worst[doc[top]] = 1 / (1 + np.exp(-z[top]))
-        return 1 - np.exp(-total), count.astype(np.int64), start, worst
 
-    kept = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
-    return map_texts(docs, keep, fn, f"{kept}, score double, n_sentences bigint, worst_start bigint, worst_score double")
+def without_toxic(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of docs whose score is under the threshold, all columns kept."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                clean = score_rows(model, *text_bytes(part.column("text")))[0] < threshold
+                if clean.any():
+                    yield part.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:
