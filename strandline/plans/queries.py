@@ -1,4 +1,6 @@
 """Registered queries of the interval and embedding operators."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import interval_queries, vector_queries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
