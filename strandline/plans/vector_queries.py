@@ -157,9 +157,9 @@ def pooled(spark, d):
     return tracking.median_pool(files(spark, d), windows(spark, d))
 
 
-@query("a3_median_pool", f"SELECT file_index, block_index, evaluations, round(s_target, 6) AS s_target, round(s_other, 6) AS s_other FROM {_POOLED}")
+@query("a3_median_pool", f"SELECT file_index, block_index, evaluations, round(s_target, 8) AS s_target, round(s_other, 8) AS s_other FROM {_POOLED}")
 def a3(spark, d):
-    return pooled(spark, d).select("file_index", "block_index", "evaluations", F.round("s_target", 6).alias("s_target"), F.round("s_other", 6).alias("s_other"))
+    return pooled(spark, d).select("file_index", "block_index", "evaluations", F.round("s_target", 8).alias("s_target"), F.round("s_other", 8).alias("s_other"))
 
 
 _TIERED = f"""(SELECT p.*, theta_high, theta_med, CASE WHEN s_target IS NULL THEN 'SKIPPED' WHEN s_target > theta_high THEN CASE WHEN s_other IS NOT NULL AND s_target - s_other > 0 THEN 'HIGH' ELSE 'MEDIUM' END
