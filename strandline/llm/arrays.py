@@ -92,15 +92,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, seps: np.ndarray = SEPARAT
     return s, t, np.searchsorted(s, offsets)
 
 
-def hash_spans(data: np.ndarray, s: np.ndarray, t: np.ndarray, seed: int = 1) -> np.ndarray:
-    """64-bit hashes of byte ranges, eight bytes at a time."""
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on, as one integer; zeros follow the end."""
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
-    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    return np.ascontiguousarray(np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,)))
+
+
+def hash_spans(data: np.ndarray, s: np.ndarray, t: np.ndarray, seed: int = 1, eight: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of byte ranges: the first 32 bytes in steps of eight, the rest as a sum over its steps."""
+    eight = eight_bytes(data) if eight is None else eight
     length = t - s
     h = mix(length.astype(U) * _M2 + U(seed))
     todo, done = np.arange(len(s)), 0
-    while len(todo):
+    while len(todo) and done < 32:
         left = length[todo] - done
         x = eight[s[todo] + done]
         short = left < 8
@@ -108,6 +113,16 @@ def hash_spans(data: np.ndarray, s: np.ndarray, t: np.ndarray, seed: int = 1) ->
         h[todo] = mix(h[todo] ^ x)
         done += 8
         todo = todo[left > 8]
+    if len(todo):
+        n = (length[todo] - 25) // 8
+        first = np.cumsum(n) - n
+        own = np.repeat(np.arange(len(todo)), n)
+        k = np.arange(len(own)) - first[own]
+        x = eight[s[todo][own] + 32 + 8 * k]
+        last = first + n - 1
+        left = length[todo] - 24 - 8 * n
+        x[last] &= np.where(left < 8, (U(1) << (left.astype(U) & U(7)) * U(8)) - U(1), ~U(0))
+        h[todo] = mix(h[todo] + np.add.reduceat(mix(x + (k + 1).astype(U) * _M2), first))
     return h
 
 

@@ -1,7 +1,7 @@
 """Line dedup: of each group of equal or nearly equal lines, the first one stays.
 
-Lines end at \\n; lines without a word are left alone.  A line's set is its distinct shingles of eight
-code points (a shorter line is its own one shingle); two lines link at a Jaccard similarity of 0.8.
+Lines end at \\n; lines without a word are left alone.  A line's set is its distinct character
+shingles: from each character on, the next eight bytes (a shorter line is its own one shingle); two lines link at a Jaccard similarity of 0.8.
 MinHash signatures of BANDS bands of ROWS values give candidates: a pair at 0.8 shares a band with
 probability 1 - (1 - 0.8^ROWS)^BANDS = 0.985, one at 0.9 with 0.9999.  Long lines take each band's
 values from an eighth of the shingles each (one-permutation hashing, four times over); short lines,
@@ -20,71 +20,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import SEPARATORS, U, constants, mix, slices, text_bytes
+from .arrays import SEPARATORS, U, constants, eight_bytes, hash_spans, mix, slices, text_bytes
 from .components import linked_components
 from .jaccard_join import may_link, sketch
 from .storage import stored
 from .text_stats import LEADS
 
-CHARS, BANDS, ROWS, SHORT = 8, 8, 4, 64
+WIDTH, BANDS, ROWS, SHORT = 8, 8, 4, 64
 FILTER_BITS = 23
-_C = constants(CHARS, 5150)
+SLICE = 1 << 20
 _SEEDS = constants(BANDS * ROWS, 77)
-_WORD_END = np.zeros(0x110000 + 1, bool)
-_WORD_END[np.flatnonzero(SEPARATORS)] = True
-
-
-def code_points(data: np.ndarray, offsets: np.ndarray):
-    """The rows' code points and their offsets; malformed bytes are replaced first."""
-    try:
-        text = data.tobytes().decode()
-    except UnicodeDecodeError:
-        rows = [data[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(offsets, offsets[1:])]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        data = np.frombuffer(b"".join(rows), np.uint8)
-        text = data.tobytes().decode()
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    return points, np.concatenate([[0], np.cumsum(LEADS[data])])[offsets]
-
-
-def line_spans(points: np.ndarray, offsets: np.ndarray):
-    """Start, end, row and number (in its row, from 0) of each line that has a word."""
-    cut = np.flatnonzero(points == 10)
+
+
+def line_spans(data: np.ndarray, offsets: np.ndarray):
+    """Start, end, row and number (in its row, from 0) of each line that has a word, in bytes."""
+    newline = data == 10
+    cut = np.flatnonzero(newline)
     starts = np.union1d(offsets[:-1], cut + 1)
-    starts = starts[starts < len(points)]
+    starts = starts[starts < len(data)]
     row = np.searchsorted(offsets, starts, "right") - 1
-    ends = np.minimum(np.append(cut, len(points))[np.searchsorted(cut, starts)], offsets[row + 1])
+    ends = np.minimum(np.append(cut, len(data))[np.searchsorted(cut, starts)], offsets[row + 1])
     number = np.arange(len(starts)) - np.searchsorted(starts, offsets[row])
-    words = np.concatenate([[0], np.cumsum(~_WORD_END[points])])
-    full = words[ends] > words[starts]
+    letters = np.flatnonzero(~SEPARATORS[data])
+    full = np.searchsorted(letters, ends) > np.searchsorted(letters, starts)
     return starts[full], ends[full], row[full], number[full]
 
 
-def line_shingles(points: np.ndarray, s: np.ndarray, t: np.ndarray):
-    """Shingle hashes of the lines and the line of each."""
-    n = np.maximum(t - s - CHARS + 1, 1)
-    line = np.repeat(np.arange(len(s)), n)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n) + s[line]
-    wide = np.zeros(len(points) + CHARS, U)
-    wide[: len(points)] = points + U(1)
-    h = np.zeros(len(at), U)
-    if len(at):
-        short = np.minimum(t - s, CHARS)[line]
-        for j in range(CHARS):
-            h += np.where(j < short, wide[at + j], U(0)) * _C[j]
-    return mix(h), line
-
-
-def line_hashes(shingles: np.ndarray, line: np.ndarray, lengths: np.ndarray, seed: int) -> np.ndarray:
-    """64-bit hashes of whole lines, from their shingles in order."""
-    first = np.searchsorted(line, np.arange(len(lengths)))
-    place = (np.arange(len(line)) - first[line]).astype(U)
-    total = np.concatenate([np.zeros(1, U), np.cumsum(mix(shingles + place * _SEEDS[seed]), dtype=U)])
-    bounds = np.append(first, len(line))
-    return mix(total[bounds[1:]] - total[bounds[:-1]] + lengths.astype(U) * _SEEDS[seed + 2])
-
-
-def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> list[np.ndarray]:
+def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndarray | None = None):
+    """Shingle hashes of the lines, and the line of each."""
+    eight = eight_bytes(data) if eight is None else eight
+    # +1 where a line's whole shingles begin, -1 after the last of them
+    step = np.zeros(len(data) + 1, np.int8)
+    long = t - s >= WIDTH
+    np.add.at(step, s[long], 1)
+    np.add.at(step, t[long] - WIDTH + 1, -1)
+    at = np.flatnonzero((np.cumsum(step[:-1], dtype=np.int8) > 0) & LEADS[data])
+    line = np.repeat(np.arange(len(s)), np.searchsorted(at, t) - np.searchsorted(at, s))
+    h = mix(eight[at])
+    if not long.all():
+        few = np.flatnonzero(~long)
+        left = (t - s)[few].astype(U)
+        own = mix((eight[s[few]] & ((U(1) << (left * U(8))) - U(1))) + left * _SEEDS[1])
+        line, h = np.concatenate([line, few]), np.concatenate([h, own])
+        order = np.argsort(line, kind="stable")
+        line, h = line[order], h[order]
+    return h, line
+
+
+def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> pa.ListArray:
     """Band keys of each line."""
     n = np.bincount(line, minlength=lines)
     long, short = n >= SHORT, n < SHORT * 5 // 4
@@ -94,12 +77,11 @@ def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> list[np.nda
         g, at = shingles[use], line[use] * BANDS
         key = np.zeros(lines * BANDS, U)
         for j in range(ROWS):
-            h = mix(g ^ _SEEDS[j])
+            h = g * _SEEDS[j]
             least = np.full(lines * BANDS, ~U(0), U)
-            np.minimum.at(least, at + (h >> U(61)).astype(np.int64), h & U((1 << 61) - 1))
+            np.minimum.at(least, at + (h >> U(61)).astype(np.int64), h)
             key = mix(key + least)
-        keys = mix(key.reshape(lines, BANDS) ^ _SEEDS[:BANDS])
-        out.append((np.flatnonzero(long), keys[long]))
+        out.append((np.flatnonzero(long), mix(key.reshape(lines, BANDS) ^ _SEEDS[:BANDS])[long]))
     if short.any():
         use = short[line]
         g, own = shingles[use], line[use]
@@ -114,8 +96,7 @@ def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> list[np.nda
     ids = np.concatenate([x[0] for x in out]) if out else np.zeros(0, np.int64)
     keys = np.concatenate([x[1] for x in out]) if out else np.zeros((0, BANDS), U)
     order = np.argsort(ids, kind="stable")
-    count = np.bincount(ids, minlength=lines)
-    off = np.concatenate([[0], np.cumsum(count * BANDS)]).astype(np.int32)
+    off = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=lines) * BANDS)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(off), pa.array(keys[order].ravel().view(np.int64)))
 
 
@@ -129,11 +110,12 @@ def lines(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                points, offsets = code_points(*text_bytes(part.column("text")))
-                s, t, row, number = line_spans(points, offsets)
-                g, line = line_shingles(points, s, t)
-                h1, h2 = (line_hashes(g, line, t - s, i).view(np.int64) for i in range(2))
+            for part in slices(batch, "text", SLICE):
+                data, offsets = text_bytes(part.column("text"))
+                s, t, row, number = line_spans(data, offsets)
+                eight = eight_bytes(data)
+                g, line = line_shingles(data, s, t, eight)
+                h1, h2 = (hash_spans(data, s, t, seed, eight).view(np.int64) for seed in (41, 42))
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("k").take(take), pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), band_keys(g, line, len(s))], names=["doc_id", "k", "line", "h1", "h2", "keys"])
 
@@ -142,8 +124,8 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
     """The shingle sets of a column of lines."""
-    points, offsets = code_points(*text_bytes(column))
-    g, line = line_shingles(points, offsets[:-1], offsets[1:])
+    data, offsets = text_bytes(column)
+    g, line = line_shingles(data, offsets[:-1], offsets[1:])
     bounds = np.searchsorted(line, np.arange(len(column) + 1))
     return [np.unique(g[a:b]) for a, b in zip(bounds, bounds[1:])]
 
@@ -167,14 +149,13 @@ class Verifier:
 
         def run(batches):
             for batch in batches:
-                for part in slices(batch, "text"):
-                    points, offsets = code_points(*text_bytes(part.column("text")))
-                    s, t, _, _ = line_spans(points, offsets)
-                    g, line = line_shingles(points, s, t)
-                    h = line_hashes(g, line, t - s, 0)
+                for part in slices(batch, "text", SLICE):
+                    data, offsets = text_bytes(part.column("text"))
+                    s, t, _, _ = line_spans(data, offsets)
+                    h = hash_spans(data, s, t, 41)
                     hit = np.flatnonzero(table[(h >> U(64 - FILTER_BITS)).astype(np.int64)])
                     hit = hit[np.sort(np.unique(h[hit], return_index=True)[1])]
-                    texts = [points[s[i] : t[i]].tobytes().decode("utf-32-le") for i in hit]
+                    texts = [data[s[i] : t[i]].tobytes().decode("utf-8", "replace") for i in hit]
                     yield pa.RecordBatch.from_arrays([pa.array(h[hit].view(np.int64)), pa.array(texts, pa.string())], names=["id", "text"])
 
         found = self.docs.select("text").mapInArrow(run, "id bigint, text string")

@@ -22,16 +22,22 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import U, constants, hash_spans, mix, slices, text_bytes
+from .text_stats import code_points
+
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SCALE, FAN, CACHE = 10_000, 256, 150_000
-LOW = -(1 << 60)
+SCALE, FAN = 10_000, 256
+LOW, LOW32 = -(1 << 60), -(1 << 30)
+#: Units up to so many code points are segmented together, column by column; longer ones one by one.
+WIDE = 64
+_STEP = constants(2, 808)
 #: A unit: what lies between two forced cuts.
 UNIT = re.compile(r" *[^ ]+| +")
 
@@ -45,10 +51,14 @@ class Vocabulary:
     unknown: int  # score of a code point that falls back to bytes
     longest: int
     reach: dict[str, int]  # longest piece that begins with this code point
-    best: dict[str, tuple] = field(default_factory=dict)  # cache: unit -> ids
+    mask: np.ndarray  # by hash slot: 1 a prefix of a piece, 2 a piece
+    keys: np.ndarray  # sorted hashes of the pieces
+    key_ids: np.ndarray
+    key_scores: np.ndarray
+
 
-    def __getstate__(self):
-        return self.__dict__ | {"best": {}}
+def _slot(h: np.ndarray) -> np.ndarray:
+    return ((h ^ (h >> U(31))) * _STEP[1]) >> U(44)
 
 
 def load(path: str = DEFAULT_MODEL) -> Vocabulary:
@@ -69,7 +79,18 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
     reach: dict[str, int] = {}
     for x in text.values():
         reach[x[0]] = max(reach.get(x[0], 0), len(x))
-    return Vocabulary(pieces, {x: i for i, x in text.items()}, {x: value[i] for i, x in text.items()}, zero, min(value.values()) - 10 * SCALE, max(map(len, text.values())), reach)
+    mask, keys = np.zeros(1 << 20, np.uint8), {}
+    for i, x in text.items():
+        h = np.zeros(1, U)
+        for c in x:
+            h = (h + U(ord(c) + 1)) * _STEP[0]
+            mask[_slot(h)] |= 1
+        mask[_slot(h)] |= 2
+        keys[int(h[0])] = i
+    order = np.array(sorted(keys), U)
+    key_ids = np.array([keys[int(k)] for k in order], np.int32)
+    key_scores = np.array([value[int(i)] for i in key_ids], np.int32)
+    return Vocabulary(pieces, {x: i for i, x in text.items()}, {x: value[i] for i, x in text.items()}, zero, min(value.values()) - 10 * SCALE, max(map(len, text.values())), reach, mask, order, key_ids, key_scores)
 
 
 def forward(v: Vocabulary, text: str, lo: int, hi: int, entry: int) -> tuple[list[int], list[int]]:
@@ -112,27 +133,165 @@ def trace(v: Vocabulary, text: str, lo: int, back: list[int], entry: int, exit:
     return out
 
 
-def encode_unit(v: Vocabulary, unit: str) -> tuple:
-    found = v.best.get(unit)
-    if found is None:
-        _, back = forward(v, unit, 0, len(unit), 0)
-        found = tuple(trace(v, unit, 0, back, 0, len(unit)))
-        if len(unit) <= 64:
-            if len(v.best) >= CACHE:
-                v.best.clear()
-            v.best[unit] = found
-    return found
+def encode_unit(v: Vocabulary, unit: str) -> tuple[list[int], int]:
+    """Ids and score of one unit."""
+    best, back = forward(v, unit, 0, len(unit), 0)
+    return trace(v, unit, 0, back, 0, len(unit)), best[len(unit)]
+
+
+def _matches(v: Vocabulary, points: np.ndarray, at: np.ndarray, left: np.ndarray):
+    """Score and id of the piece of each length that begins at each position; code points without one fall back."""
+    scores = np.full((v.longest + 1, len(at)), LOW32, np.int32)
+    ids = np.full((v.longest + 1, len(at)), -1, np.int32)
+    live, h = np.arange(len(at)), np.zeros(len(at), U)
+    for k in range(1, v.longest + 1):
+        fits = left[live] >= k
+        live, h = live[fits], h[fits]
+        h = (h + points[at[live] + (k - 1)].astype(U) + U(1)) * _STEP[0]
+        kind = v.mask[_slot(h)]
+        hit = np.flatnonzero(kind & 2)
+        place = np.minimum(np.searchsorted(v.keys, h[hit]), len(v.keys) - 1)
+        same = v.keys[place] == h[hit]
+        hit, place = live[hit[same]], place[same]
+        scores[k, hit], ids[k, hit] = v.key_scores[place], v.key_ids[place]
+        more = (kind & 1).astype(bool)
+        live, h = live[more], h[more]
+    scores[1, ids[1] < 0] = v.unknown
+    return scores, ids
+
+
+def _utf8(points: np.ndarray):
+    """Lengths of code points in UTF-8, and a (points, 4) array of their bytes."""
+    p = points.astype(np.int64)
+    n = 1 + (p > 0x7F) + (p > 0x7FF) + (p > 0xFFFF)
+    tail = lambda shift: 0x80 | (p >> shift) & 0x3F
+    rows = [np.stack(x, 1) for x in ([p, p, p, p], [0xC0 | p >> 6, tail(0), p, p], [0xE0 | p >> 12, tail(6), tail(0), p], [0xF0 | p >> 18, tail(12), tail(6), tail(0)])]
+    return n, np.choose((n - 1)[:, None], rows)
+
+
+def segment(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarray):
+    """Best segmentations of spans of code points, each a unit: (ids, bounds of each span's ids, scores)."""
+    m = len(s)
+    order = np.argsort(s - t, kind="stable")  # longest first
+    s, t = s[order], t[order]
+    n = t - s
+    start = np.cumsum(n) - n
+    span = np.repeat(np.arange(m), n)
+    inner = np.arange(len(span)) - start[span]
+    scores, ids = _matches(v, points, s[span] + inner, n[span] - inner)
+    base = start + np.arange(m)
+    best, back = np.full(len(span) + m, LOW, np.int64), np.zeros(len(span) + m, np.int8)
+    best[base] = 0
+    for j in range(1, int(n[0]) + 1 if m else 0):
+        c = int(np.searchsorted(-n, -j, "right"))
+        top, last = np.full(c, LOW, np.int64), np.zeros(c, np.int8)
+        for k in range(min(j, v.longest), 0, -1):
+            x = best[base[:c] + j - k] + scores[k, start[:c] + j - k]
+            better = x > top
+            top[better], last[better] = x[better], k
+        best[base[:c] + j], back[base[:c] + j] = top, last
+    who, when, what, at, step = [], [], [], n.copy(), 0
+    live = np.arange(m)
+    while len(live):
+        k = back[base[live] + at[live]].astype(np.int64)
+        at[live] -= k
+        place = start[live] + at[live]
+        found = ids[k, place].astype(np.int64)
+        lost = found < 0
+        found[lost] = -1 - points[s[live[lost]] + at[live[lost]]].astype(np.int64)
+        who.append(live)
+        when.append(np.full(len(live), -step))
+        what.append(found)
+        live, step = live[at[live] > 0], step + 1
+    who, when, what = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, when, what))
+    who = order[who]
+    sort = np.lexsort((when, who))
+    who, what = who[sort], what[sort]
+    lost = np.flatnonzero(what < 0)
+    if len(lost):
+        size, raw = _utf8(-1 - what[lost])
+        times = np.ones(len(what), np.int64)
+        times[lost] = size
+        first = np.cumsum(times) - times
+        who, what = np.repeat(who, times), np.repeat(what, times)
+        for b in range(4):
+            has = size > b
+            what[first[lost[has]] + b] = v.bytes_at + raw[has, b]
+    total = np.empty(m, np.int64)
+    total[order] = best[base + n]
+    return what.astype(np.int32), np.searchsorted(who, np.arange(m + 1)), total
+
+
+def _unique(points: np.ndarray, s: np.ndarray, t: np.ndarray):
+    """First occurrence of each distinct span, and the number of each span's."""
+    h = hash_spans(np.ascontiguousarray(points).view(np.uint8), 4 * s, 4 * t, 5)
+    _, first, number = np.unique(h, return_index=True, return_inverse=True)
+    return first, number
+
+
+def encode_points(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarray):
+    """Ids of many units in order, bounds of each unit's ids, and scores; equal units are segmented once."""
+    first, number = _unique(points, s, t)
+    a, b = s[first], t[first]
+    short = b - a <= WIDE
+    flat, bounds, total = segment(v, points, a[short], b[short])
+    size, score = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+    size[short], score[short] = np.diff(bounds), total
+    long = {}
+    for i in np.flatnonzero(~short):
+        long[i], score[i] = encode_unit(v, points[a[i] : b[i]].tobytes().decode("utf-32-le"))
+        size[i] = len(long[i])
+    begin = np.cumsum(size) - size
+    ids = np.empty(int(size.sum()), np.int32)
+    ids[np.repeat(short, size)] = flat
+    for i, x in long.items():
+        ids[begin[i] : begin[i] + size[i]] = x
+    n = size[number]
+    ends = np.cumsum(n)
+    take = np.arange(int(ends[-1]) if len(n) else 0) - np.repeat(ends - n, n) + np.repeat(begin[number], n)
+    return ids[take], np.concatenate([[0], ends]), score[number]
+
+
+def units(points: np.ndarray, offsets: np.ndarray):
+    """Starts and ends of the units of texts: a unit begins at a text's start and at each space after another character."""
+    space = points == 32
+    head = np.zeros(len(points), bool)
+    head[1:] = space[1:] & ~space[:-1]
+    full = offsets[1:] > offsets[:-1]
+    head[offsets[:-1][full]] = True
+    s = np.flatnonzero(head)
+    return s, np.append(s[1:], len(points))
+
+
+def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+    """Ids of whole texts, and bounds of each text's ids."""
+    points, offsets = code_points(data, offsets)
+    full = np.diff(offsets) > 0
+    shift = np.cumsum(full)  # a space before each text that isn't empty
+    spaced = np.full(len(points) + int(full.sum()), 32, np.uint32)
+    spaced[np.arange(len(points)) + np.repeat(shift, np.diff(offsets))] = points
+    offsets = offsets + np.concatenate([[0], shift])
+    s, t = units(spaced, offsets)
+    ids, bounds, _ = encode_points(v, spaced, s, t)
+    return ids, bounds[np.searchsorted(s, offsets)]
 
 
 def encode_text(v: Vocabulary, text: str) -> list[int]:
-    """Ids of a whole text, one forced unit after another."""
+    """Ids of a whole text, one forced unit after another: the plain form of encode_texts."""
     out: list[int] = []
-    if text:
-        for unit in UNIT.findall(" " + text):
-            out += encode_unit(v, unit)
+    for unit in UNIT.findall(" " + text) if text else ():
+        out += encode_unit(v, unit)[0]
     return out
 
 
+def _encode_units(v: Vocabulary, text: str):
+    """Ids and score of a string that begins and ends at forced cuts."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    s, t = units(points, np.array([0, len(points)]))
+    ids, _, score = encode_points(v, points, s, t)
+    return ids.tolist(), int(score.sum())
+
+
 def score_of(v: Vocabulary, text: str, ids: list[int]) -> int:
     """The score of an encoding; a run of bytes scores by its code points."""
     total, n_bytes = 0, []
@@ -164,7 +323,7 @@ def transfer(v: Vocabulary, text: str, lo: int, hi: int) -> np.ndarray:
             if lo + s <= hi:
                 m[s, :exits] = forward(v, text, lo, hi, lo + s)[0][hi - lo : hi - lo + exits]
         return m
-    middle = sum(forward(v, u, 0, len(u), 0)[0][len(u)] for u in UNIT.findall(text[first:last]))
+    middle = _encode_units(v, text[first:last])[1]
     head = np.array([forward(v, text[:first], lo, first, lo + s)[0][first - lo] if lo + s <= first else LOW for s in range(v.longest)], np.int64)
     tail = np.full(v.longest, LOW, np.int64)
     stop = _next_cut(text, hi)
@@ -204,8 +363,7 @@ def backtrace(v: Vocabulary, text: str, lo: int, hi: int, entry: int, exit: int)
     if first < 0 or a >= hi:
         return trace(v, text, lo, forward(v, text, lo, hi, a)[1], a, b) if a < hi else []
     out = trace(v, text, lo, forward(v, text[:first], lo, first, a)[1], a, first)
-    for u in UNIT.findall(text[first:last]):
-        out += encode_unit(v, u)
+    out += _encode_units(v, text[first:last])[0]
     return out + (trace(v, text, last, forward(v, text[:b], last, hi, last)[1], last, b) if last < hi else [])
 
 
@@ -258,11 +416,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], chunk_chars
 
     def short(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                ids = [np.array(encode_text(v, x or ""), np.int32) for x in part.column(len(keep)).to_pylist()]
-                off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+            for part in slices(batch, "__text", 1 << 20):
+                ids, bounds = encode_texts(v, *text_bytes(part.column("__text")))
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], lists], names=schema.fieldNames())
 
     giant = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
