@@ -2,7 +2,8 @@
 
 A document is a bag of sentences.  A sentence scores log-odds z = b + sum of its words' weights; a
 document is toxic if any sentence is (leaky noisy-or): p = 1 - (1 - leak) * prod(1 - sigmoid(z)).  The leak takes
-up labels that no sentence explains, so that long clean texts don't gather score.  Weights are trained
+up labels that no sentence explains, and sentences without a word that has a weight count as clean, so that
+long clean texts don't gather score.  Weights are trained
 from document labels alone, so the sentence scores, which locate what offends, come for free.
 
 Features are words and their prefixes.  Words are case-folded runs of letters, digits and non-ASCII bytes; sentences end at . ! ? or a new
@@ -77,16 +78,18 @@ def train(buckets, sentence, doc, labels, rounds: int = 250, rate: float = 0.3,
     use = ((z >= least_z) & (seen >= 4))[buckets]
     buckets, sentence = buckets[use], sentence[use]
     ids, local = np.unique(buckets, return_inverse=True)
-    w, b, c, y = np.zeros(len(ids)), -6.0, -3.5, labels.astype(float)
+    known = np.unique(sentence)
+    own = doc[known]
+    w, b, c, y = np.zeros(len(ids)), -3.0, -3.5, labels.astype(float)
     gw, gb, gc = np.full(len(ids), 1e-10), 1e-10, 1e-10
     for _ in range(rounds):
         z = b + np.bincount(sentence, w[local], n_s)
-        total = _softplus(c) + np.bincount(doc, _softplus(z), n_d)
+        total = _softplus(c) + np.bincount(own, _softplus(z[known]), n_d)
         clean = np.exp(-np.minimum(total, 50))
         # d loss / d total: 1 for a clean document, -clean / (1 - clean) for a toxic one
         slope = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-6), 1.0) / n_d
         dz = slope[doc] / (1 + np.exp(-np.clip(z, -40, 40)))
-        g, h, k = np.bincount(local, dz[sentence], len(ids)), dz.sum(), slope.sum() / (1 + np.exp(-c))
+        g, h, k = np.bincount(local, dz[sentence], len(ids)), dz[known].sum(), slope.sum() / (1 + np.exp(-c))
         gw += g * g
         gb += h * h
         gc += k * k
@@ -116,7 +119,9 @@ def score_rows(model: Model, data: np.ndarray, offsets: np.ndarray):
     """Score, number of sentences, and start byte and score of the worst sentence of each row."""
     rows = len(offsets) - 1
     buckets, sentence, doc, at = sentences(data, offsets)
-    z = model.bias + np.bincount(sentence, model.weights[buckets], len(doc))
+    known = np.zeros(len(doc), bool)
+    known[sentence[model.weights[buckets] != 0]] = True
+    z = np.where(known, model.bias + np.bincount(sentence, model.weights[buckets], len(doc)), -np.inf)
     total = _softplus(model.leak) + np.bincount(doc, _softplus(z), rows)
     count = np.bincount(doc, minlength=rows)
     order = np.lexsort((at, -z, doc))
