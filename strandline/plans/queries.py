@@ -1,6 +1,6 @@
 """Registered queries of the interval and embedding operators."""
 
-from . import interval_queries, log_queries, rule_queries, vector_queries  # noqa: F401
+from . import gate_queries, interval_queries, log_queries, rule_queries, vector_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
