@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -468,6 +469,31 @@ def decode_ids(v: Vocabulary, ids) -> str:
     return b"".join([v.pieces[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
+def decode_lists(v: Vocabulary, pieces: pa.Array, lists: pa.ListArray) -> pa.Array:
+    """The texts of a column of id lists; pieces: those of the vocabulary, as Arrow bytes.
+
+    Taking the pieces of all ids lays the texts' bytes end to end.  Texts that don't start with a space
+    or aren't valid UTF-8, which no encoding gives, are decoded one by one.
+    """
+    joined = pieces.take(lists.flatten())
+    _, off, data = joined.buffers()
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    sizes = np.array([0 if n is None else n for n in pa.compute.list_value_length(lists).to_pylist()], np.int64)
+    bounds = np.frombuffer(off, np.int32)[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int64)
+    full = bounds[1:] > bounds[:-1]
+    data = data[bounds[0] : bounds[-1]]
+    heads = bounds[:-1][full] - bounds[0]
+    if (data[heads] == 32).all():
+        try:
+            text = np.delete(data, heads).tobytes()
+            text.decode()
+            ends = (bounds - bounds[0] - np.concatenate([[0], np.cumsum(full)])).astype(np.int32)
+            return pa.StringArray.from_buffers(len(lists), pa.py_buffer(ends), pa.py_buffer(text))
+        except UnicodeDecodeError:
+            pass
+    return pa.array([decode_ids(v, x or ()) for x in lists.to_pylist()], pa.string())
+
+
 def decode(tokens: DataFrame, vocabulary: Vocabulary, keep: list[str]) -> DataFrame:
     """Columns `keep` and text: the pieces of `ids` joined, without the space put first."""
     v = vocabulary
@@ -476,10 +502,10 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, keep: list[str]) -> DataFr
     schema = StructType([tokens.schema[k] for k in keep] + [StructField("text", StringType())])
 
     def run(batches):
+        pieces = pa.array(v.pieces, pa.binary())
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                texts = [decode_ids(v, x or ()) for x in part.column(len(keep)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], decode_lists(v, pieces, part.column(len(keep)))], names=schema.fieldNames())
 
     return tokens.select(*keep, "ids").mapInArrow(run, schema)
