@@ -223,20 +223,37 @@ def segment(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarray):
     return what.astype(np.int32), np.searchsorted(who, np.arange(m + 1)), total
 
 
-def _unique(points: np.ndarray, s: np.ndarray, t: np.ndarray):
-    """First occurrence of each distinct span, and the number of each span's."""
-    h = hash_spans(np.ascontiguousarray(points).view(np.uint8), 4 * s, 4 * t, 5)
-    _, first, number = np.unique(h, return_index=True, return_inverse=True)
-    return first, number
-
-
-def encode_points(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarray):
-    """Ids of many units in order, bounds of each unit's ids, and scores; equal units are segmented once."""
-    first, number = _unique(points, s, t)
-    a, b = s[first], t[first]
+class Memo:
+    """Encodings of the distinct units that a task has met, by hash; emptied when it holds more than `most` units or 16 times as many ids."""
+
+    def __init__(self, most: int = 1 << 17):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.flat = np.zeros(0, U), np.zeros(0, np.int32)
+        self.begin, self.size, self.score = (np.zeros(0, np.int64) for _ in range(3))
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        if len(self.keys) > self.most or len(self.flat) > 16 * self.most:
+            self.clear()
+        if not len(self.keys):
+            return np.ones(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray, score: np.ndarray) -> None:
+        begin = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, flat])
+        order = np.argsort(both := np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = both[order]
+        self.begin, self.size, self.score = (np.concatenate(c)[order] for c in ((self.begin, begin), (self.size, size), (self.score, score)))
+
+
+def _encode_distinct(v: Vocabulary, points: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """Ids of distinct units end to end, their numbers of ids, and scores."""
     short = b - a <= WIDE
     flat, bounds, total = segment(v, points, a[short], b[short])
-    size, score = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+    size, score = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
     size[short], score[short] = np.diff(bounds), total
     long = {}
     for i in np.flatnonzero(~short):
@@ -247,10 +264,22 @@ def encode_points(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarra
     ids[np.repeat(short, size)] = flat
     for i, x in long.items():
         ids[begin[i] : begin[i] + size[i]] = x
-    n = size[number]
+    return ids, size, score
+
+
+def encode_points(v: Vocabulary, points: np.ndarray, s: np.ndarray, t: np.ndarray, memo: Memo | None = None):
+    """Ids of many units in order, bounds of each unit's ids, and scores; equal units are segmented once, also across calls with one memo."""
+    memo = memo or Memo()
+    h = hash_spans(np.ascontiguousarray(points).view(np.uint8), 4 * s, 4 * t, 5)
+    keys, first, number = np.unique(h, return_index=True, return_inverse=True)
+    new = memo.missing(keys)
+    if new.any():
+        memo.add(keys[new], *_encode_distinct(v, points, s[first[new]], t[first[new]]))
+    place = np.searchsorted(memo.keys, keys)[number]
+    n = memo.size[place]
     ends = np.cumsum(n)
-    take = np.arange(int(ends[-1]) if len(n) else 0) - np.repeat(ends - n, n) + np.repeat(begin[number], n)
-    return ids[take], np.concatenate([[0], ends]), score[number]
+    take = np.arange(int(ends[-1]) if len(n) else 0) + np.repeat(memo.begin[place] - (ends - n), n)
+    return memo.flat[take], np.concatenate([[0], ends]), memo.score[place]
 
 
 def units(points: np.ndarray, offsets: np.ndarray):
@@ -264,7 +293,7 @@ def units(points: np.ndarray, offsets: np.ndarray):
     return s, np.append(s[1:], len(points))
 
 
-def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray):
+def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, memo: Memo | None = None):
     """Ids of whole texts, and bounds of each text's ids."""
     points, offsets = code_points(data, offsets)
     full = np.diff(offsets) > 0
@@ -273,7 +302,7 @@ def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray):
     spaced[np.arange(len(points)) + np.repeat(shift, np.diff(offsets))] = points
     offsets = offsets + np.concatenate([[0], shift])
     s, t = units(spaced, offsets)
-    ids, bounds, _ = encode_points(v, spaced, s, t)
+    ids, bounds, _ = encode_points(v, spaced, s, t, memo)
     return ids, bounds[np.searchsorted(s, offsets)]
 
 
@@ -285,11 +314,11 @@ def encode_text(v: Vocabulary, text: str) -> list[int]:
     return out
 
 
-def _encode_units(v: Vocabulary, text: str):
+def _encode_units(v: Vocabulary, text: str, memo: Memo | None = None):
     """Ids and score of a string that begins and ends at forced cuts."""
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
     s, t = units(points, np.array([0, len(points)]))
-    ids, _, score = encode_points(v, points, s, t)
+    ids, _, score = encode_points(v, points, s, t, memo)
     return ids.tolist(), int(score.sum())
 
 
@@ -314,7 +343,7 @@ def _cuts(text: str, lo: int, hi: int) -> tuple[int, int]:
     return first, last
 
 
-def transfer(v: Vocabulary, text: str, lo: int, hi: int) -> np.ndarray:
+def transfer(v: Vocabulary, text: str, lo: int, hi: int, memo: Memo | None = None) -> np.ndarray:
     """The transfer matrix of chunk [lo, hi) of a text given with one code point before and L - 1 after."""
     m = np.full((v.longest, v.longest), LOW, np.int64)
     first, last = _cuts(text, lo, hi)
@@ -324,7 +353,7 @@ def transfer(v: Vocabulary, text: str, lo: int, hi: int) -> np.ndarray:
             if lo + s <= hi:
                 m[s, :exits] = forward(v, text, lo, hi, lo + s)[0][hi - lo : hi - lo + exits]
         return m
-    middle = _encode_units(v, text[first:last])[1]
+    middle = _encode_units(v, text[first:last], memo)[1]
     head = np.array([forward(v, text[:first], lo, first, lo + s)[0][first - lo] if lo + s <= first else LOW for s in range(v.longest)], np.int64)
     tail = np.full(v.longest, LOW, np.int64)
     stop = _next_cut(text, hi)
@@ -357,14 +386,14 @@ def states(matrices: list[np.ndarray], entry: int, exit: int) -> list[int]:
     return out[:0:-1]
 
 
-def backtrace(v: Vocabulary, text: str, lo: int, hi: int, entry: int, exit: int) -> list[int]:
+def backtrace(v: Vocabulary, text: str, lo: int, hi: int, entry: int, exit: int, memo: Memo | None = None) -> list[int]:
     """Ids of the pieces that begin in the chunk, from entry state to exit state."""
     a, b = lo + entry, hi + exit
     first, last = _cuts(text, lo, hi)
     if first < 0 or a >= hi:
         return trace(v, text, lo, forward(v, text, lo, hi, a)[1], a, b) if a < hi else []
     out = trace(v, text, lo, forward(v, text[:first], lo, first, a)[1], a, first)
-    out += _encode_units(v, text[first:last])[0]
+    out += _encode_units(v, text[first:last], memo)[0]
     return out + (trace(v, text, last, forward(v, text[:b], last, hi, last)[1], last, b) if last < hi else [])
 
 
@@ -416,9 +445,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], chunk_chars
     schema = StructType([docs.schema[k] for k in keep] + [StructField("ids", ArrayType(IntegerType()))])
 
     def short(batches):
+        memo = Memo()
         for batch in batches:
             for part in slices(batch, "__text", 1 << 20):
-                ids, bounds = encode_texts(v, *text_bytes(part.column("__text")))
+                ids, bounds = encode_texts(v, *text_bytes(part.column("__text")), memo)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], lists], names=schema.fieldNames())
 
@@ -438,18 +468,20 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], chunk_chars
     chunks = stored(_chunks(giants.dropDuplicates(["blob"]).select("blob", "text"), v.longest, chunk_chars).repartition(parts, "blob", "chunk"), "chunks")
 
     def matrix(batches):
+        memo = Memo()
         for batch in batches:
             d = batch.to_pydict()
-            ms = [transfer(v, t, lo, hi).tobytes() for t, lo, hi in zip(d["piece"], d["lo"], d["hi"])]
+            ms = [transfer(v, t, lo, hi, memo).tobytes() for t, lo, hi in zip(d["piece"], d["lo"], d["hi"])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ms, pa.binary())], names=["blob", "at", "m"])
 
     matrices = stored(chunks.mapInArrow(matrix, "blob string, at bigint, m binary"), "matrices")
     bounds = _scan(matrices, depth).withColumnRenamed("at", "chunk")
 
     def traced(batches):
+        memo = Memo()
         for batch in batches:
             d = batch.to_pydict()
-            ids = [np.array(backtrace(v, t, lo, hi, a, b), "<i4").tobytes() for t, lo, hi, a, b in zip(*(d[k] for k in ("piece", "lo", "hi", "entry", "exit")))]
+            ids = [np.array(backtrace(v, t, lo, hi, a, b, memo), "<i4").tobytes() for t, lo, hi, a, b in zip(*(d[k] for k in ("piece", "lo", "hi", "entry", "exit")))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["blob", "chunk", "ids"])
 
     pieces = chunks.join(bounds, ["blob", "chunk"]).select("blob", "chunk", "piece", "lo", "hi", "entry", "exit").mapInArrow(traced, "blob string, chunk bigint, ids binary")
