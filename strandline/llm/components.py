@@ -49,15 +49,20 @@ def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
     the linked ones of pairs (a, b).
     First, `stars` rounds test each key's members against one centre outside whose component they still
     are: at first the member that shares most keys with others, later another one each round.  Near
-    copies thereby melt into one component at a cost linear in a key's members.  Then all pairs that
-    share a key, are still in different components and may link are tested, so no link between
-    components is lost; the condition is part of the join, so pairs that can't link are never sent on.
+    copies thereby melt into one component at a cost linear in a key's members; as these pairs are few,
+    marks are joined to the distinct ones.  Then all pairs that share a key, are still in different
+    components and may link are tested, so no link between components is lost; there the condition is
+    part of the join, so pairs that can't link are never sent on.
     """
+    spark = rows.sparkSession
     shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    near = stored(rows.join(shared, "key").distinct(), "shared-keys")
+    first_path, near_path = scratch(spark, "shared-keys"), scratch(spark, "near")
+    near = stored(rows.join(shared, "key").distinct(), "shared-keys", first_path)
     sizes = near.groupBy("key").agg(F.count("*").alias("size"))
     degree = near.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree"))
-    near = stored(near.join(degree, "id").join(marks(near.select("id").distinct()), "id"), "near")
+    info = stored(marks(near.select("id").distinct()), "marks")
+    near = stored(near.join(degree, "id"), "near", near_path)
+    remove(spark, first_path)  # nothing reads it any more
     components = edges = tested = None
     for i in range(stars + 1):
         if components is None:
@@ -65,20 +70,26 @@ def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
         else:
             own = near.drop("component").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
             open_ = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-            near = own = stored(own.join(open_, "key"), "open")
+            open_path = scratch(spark, "open")
+            near = own = stored(own.join(open_, "key"), "open", open_path)
+            remove(spark, near_path)
+            near_path = open_path
             if not own.take(1):
                 break
-        x, y = own.alias("x"), own.alias("y")
         if i < stars:
             rank = F.struct(-F.col("degree"), F.col("id")) if i == 0 else F.struct(F.xxhash64("id", F.lit(i)), F.col("id"))
             first = own.groupBy("key").agg(F.min(rank).alias("first")).select("key", F.col("first.id").alias("id"))
             centres = own.join(first, ["key", "id"]).alias("y")
-            pairs = x.join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & may_link("x", "y"))
+            pairs = own.alias("x").join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
         else:
+            marked = own.join(info, "id")
+            x, y = marked.alias("x"), marked.alias("y")
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
         pairs = pairs.select(F.expr("least(x.id, y.id)").alias("a"), F.expr("greatest(x.id, y.id)").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if i < stars:
+            pairs = pairs.join(info.alias("x"), F.col("a") == F.col("x.id")).join(info.alias("y"), F.col("b") == F.col("y.id")).where(may_link("x", "y")).select("a", "b")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         good = stored(verify(pairs), "links")
