@@ -1,7 +1,7 @@
 """Line dedup: of each group of equal or nearly equal lines, the first one stays.
 
 Lines end at \\n; lines without a word are left alone.  A line's set is its distinct character
-shingles: from each character on, the next eight bytes (a shorter line is its own one shingle); two lines link at a Jaccard similarity of 0.8.
+shingles: every eight consecutive characters (a shorter line is its own one shingle); two lines link at a Jaccard similarity of 0.8.
 MinHash signatures of BANDS bands of ROWS values give candidates: a pair at 0.8 shares a band with
 probability 1 - (1 - 0.8^ROWS)^BANDS = 0.985, one at 0.9 with 0.9999.  Long lines take each band's
 values from an eighth of the shingles each (one-permutation hashing, four times over); short lines,
@@ -30,6 +30,7 @@ WIDTH, BANDS, ROWS, SHORT = 8, 8, 4, 64
 FILTER_BITS = 23
 SLICE = 1 << 20
 _SEEDS = constants(BANDS * ROWS, 77)
+_BEYOND_ASCII = U(0x8080808080808080)
 
 
 def line_spans(data: np.ndarray, offsets: np.ndarray):
@@ -49,18 +50,35 @@ def line_spans(data: np.ndarray, offsets: np.ndarray):
 def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndarray | None = None):
     """Shingle hashes of the lines, and the line of each."""
     eight = eight_bytes(data) if eight is None else eight
+    lead = LEADS[data]
+    lead[s[s < t]] = True  # whatever the bytes are, each belongs to a character
+    chars = np.append(np.flatnonzero(lead), len(data))
+    first, last = np.searchsorted(chars, s), np.searchsorted(chars, t)
     # +1 where a line's whole shingles begin, -1 after the last of them
     step = np.zeros(len(data) + 1, np.int8)
-    long = t - s >= WIDTH
+    long = last - first >= WIDTH
     np.add.at(step, s[long], 1)
-    np.add.at(step, t[long] - WIDTH + 1, -1)
-    at = np.flatnonzero((np.cumsum(step[:-1], dtype=np.int8) > 0) & LEADS[data])
-    line = np.repeat(np.arange(len(s)), np.searchsorted(at, t) - np.searchsorted(at, s))
-    h = mix(eight[at])
+    np.add.at(step, chars[last[long] - WIDTH] + 1, -1)
+    at = np.flatnonzero((np.cumsum(step[:-1], dtype=np.int8) > 0) & lead)
+    count = np.where(long, last - first - WIDTH + 1, 0)
+    line = np.repeat(np.arange(len(s)), count)
+    h = eight[at]
+    wide = np.flatnonzero(h & _BEYOND_ASCII)
+    h = mix(h)
+    if len(wide):
+        begin = at[wide]
+        end = chars[wide + (first - np.cumsum(count) + count)[line[wide]] + WIDTH]
+        # up to 16 bytes are the first eight and the last eight
+        own = mix((h[wide] + (end - begin).astype(U)) * _SEEDS[2] ^ eight[end - 8])
+        more = np.flatnonzero(end - begin > 16)
+        own[more] = hash_spans(data, begin[more], end[more], 43, eight)
+        h[wide] = own
     if not long.all():
         few = np.flatnonzero(~long)
-        left = (t - s)[few].astype(U)
-        own = mix((eight[s[few]] & ((U(1) << (left * U(8))) - U(1))) + left * _SEEDS[1])
+        left = (t - s)[few]
+        own = mix((eight[s[few]] & ((U(1) << (np.minimum(left, 7).astype(U) * U(8))) - U(1))) + left.astype(U) * _SEEDS[1])
+        wide = left >= 8
+        own[wide] = hash_spans(data, s[few[wide]], t[few[wide]], 44, eight)
         line, h = np.concatenate([line, few]), np.concatenate([h, own])
         order = np.argsort(line, kind="stable")
         line, h = line[order], h[order]

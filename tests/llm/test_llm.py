@@ -404,6 +404,28 @@ def test_lines_equal_brute_force(spark):
             assert kept[i].text == (t if not got[i] else "\n".join(left)) and (kept[i].n_chars is None or kept[i].n_chars == len(kept[i].text))
 
 
+@pytest.mark.parametrize("letters", ["абвгдежзийклмн     ", "上下左右东西南北春夏秋冬天地", "αéßñaeiou 東😀"])
+def test_lines_in_other_scripts_equal_brute_force(spark, letters):
+    rng = random.Random(22)
+    texts = ["Глава 12", "Глава 13", "第三章上", "第三章下", "第三章上、第三章の上", "第三章上、第三章の下", "Été 1990é1", "Été 1990é2"]
+    for n in (5, 7, 8, 9, 12, 40, 90, 150):
+        base = "x" + "".join(rng.choice(letters) for _ in range(n - 2)) + "y"
+        texts += [base, base[:-1] + "z", base[:-1] + "上", base[:-1] + "下", base[: n // 2] + "é" + base[n // 2 + 1 :]]
+    # each line's set: every eight characters
+    data, offsets = text_bytes(pa.array(texts))
+    h, line = line_dedup.line_shingles(data, offsets[:-1], offsets[1:])
+    sets = [{x[i : i + 8] for i in range(len(x) - 7)} or {x} for x in texts]
+    named = defaultdict(set)
+    for i, x in enumerate(texts):
+        for g, v in zip([x[j : j + 8] for j in range(len(x) - 7)] or [x], h[line == i].tolist(), strict=True):
+            named[g].add(v)
+    assert all(len(v) == 1 for v in named.values()) and len(set().union(*named.values())) == len(named)
+    root = closure(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    want = {i for i in range(len(texts)) if root[i] != i}
+    got = {r.doc_id for r in line_dedup.line_report(make(spark, texts)).collect() if r.n_removed}
+    assert not got - want and len(want - got) <= 1 and not got & set(range(8))
+
+
 # ---- 8
 
 
