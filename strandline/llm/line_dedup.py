@@ -5,7 +5,7 @@ shingles: every eight consecutive characters (a shorter line is its own one shin
 MinHash signatures of BANDS bands of ROWS values give candidates: a pair at 0.8 shares a band with
 probability 1 - (1 - 0.8^ROWS)^BANDS = 0.985, one at 0.9 with 0.9999.  Long lines take each band's
 values from an eighth of the shingles each (one-permutation hashing, four times over); short lines,
-whose eighths may be empty, from all; lengths in between do both.  Candidates are thinned by
+whose eighths may be empty, from all; lengths in between do both, length being the number of distinct shingles.  Candidates are thinned by
 parity sketches, whose distance no link can exceed, and verified by exact Jaccard on the lines' texts; a distributed union-find gives the components.  Of each component the
 line with the least (doc_id, text hash, line number) stays.
 
@@ -85,9 +85,38 @@ def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndar
     return h, line
 
 
+def distinct_counts(shingles: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """How many distinct shingles each line has, as far as both borders of the signature families go.
+
+    Lines with fewer than SHORT shingles keep their number, others that surely have SHORT * 5 // 4
+    distinct ones get this; the rest are counted.
+    """
+    most = SHORT * 5 // 4
+    n = np.bincount(line, minlength=lines)
+    begin = np.cumsum(n) - n
+    unsure = np.flatnonzero(n >= SHORT)
+    for part in np.array_split(unsure, len(unsure) // 4096 + 1):
+        # distinct marks of a line's first shingles are at most its distinct shingles
+        size = np.minimum(n[part], 2 * SHORT)
+        own = np.repeat(np.arange(len(part)), size)
+        at = np.arange(len(own)) + (begin[part] - np.cumsum(size) + size)[own]
+        seen = np.zeros((len(part), 1024), bool)
+        seen[own, (shingles[at] >> U(54)).astype(np.int64)] = True
+        n[part] = np.where(seen.sum(1) >= most, most, -1)
+    few = np.flatnonzero(n < 0)
+    if len(few):
+        place = np.zeros(lines, U)
+        place[few] = np.arange(len(few), dtype=U)
+        use = (n < 0)[line]
+        pairs = np.sort((place[line[use]] << U(40)) | (shingles[use] >> U(24)))
+        first = np.r_[True, pairs[1:] != pairs[:-1]]
+        n[few] = np.bincount((pairs[first] >> U(40)).astype(np.int64), minlength=len(few))
+    return n
+
+
 def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> pa.ListArray:
     """Band keys of each line."""
-    n = np.bincount(line, minlength=lines)
+    n = distinct_counts(shingles, line, lines)
     long, short = n >= SHORT, n < SHORT * 5 // 4
     out = []
     if long.any():

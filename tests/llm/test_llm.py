@@ -426,6 +426,29 @@ def test_lines_in_other_scripts_equal_brute_force(spark, letters):
     assert not got - want and len(want - got) <= 1 and not got & set(range(8))
 
 
+def test_repetitive_lines_meet_across_the_border_of_signatures(spark):
+    # few distinct shingles, many positions: 64 and 80 positions are the borders
+    repeats = [["-" * 70, "-" * 90, "-" * 3000], ["ha " * 20 + "ha", "ha " * 40 + "ha"], ["1" + "." * 55 + "7", "1" + "." * 200 + "7"], ["buy one now, get two! " * 3 + "!", "buy one now, get two! " * 9 + "!"]]
+    texts = [x for group in repeats for x in group]
+    data, offsets = text_bytes(pa.array(texts))
+    h, line = line_dedup.line_shingles(data, offsets[:-1], offsets[1:])
+    keys = [set(k) for k in line_dedup.band_keys(h, line, len(texts)).to_pylist()]
+    i = 0
+    for group in repeats:
+        assert all(keys[i] & keys[i + j] for j in range(1, len(group))), group[0]
+        assert not any(keys[i] & k for j, k in enumerate(keys) if not i <= j < i + len(group))
+        i += len(group)
+    got = {r.doc_id for r in line_dedup.line_report(make(spark, texts)).collect() if r.n_removed}
+    assert got == set(range(len(texts))) - {0, 3, 5, 7}
+    # the number that decides is that of the distinct shingles
+    rng = random.Random(23)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(d)) * k for d in (5, 60, 63, 64, 79, 80, 90, 127, 128, 200) for k in (1, 2, 3, 30)] + ["x" * 300 + "".join(rng.choice("abcdefgh") for _ in range(d)) for d in (10, 70, 300)]
+    data, offsets = text_bytes(pa.array(texts))
+    h, line = line_dedup.line_shingles(data, offsets[:-1], offsets[1:])
+    n = [len({t[i : i + 8] for i in range(max(len(t) - 7, 1))}) for t in texts]
+    assert [(x >= 64, x < 80) for x in line_dedup.distinct_counts(h, line, len(texts)).tolist()] == [(x >= 64, x < 80) for x in n]
+
+
 # ---- 8
 
 
