@@ -4,65 +4,86 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import remove, scratch, stored
+from .storage import Workspace, stored
+
+#: Bits a listed id gets in a bit table, and the most bits a table has (16 MB).
+BITS_AN_ID, MOST_BITS = 16, 27
+
+
+def bit_table(hashes: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """(bits, shift): a table with a bit set at h >>> shift for each 64-bit hash h in a column.
+
+    It holds up to 2^MOST_BITS bits, so its size on the driver and in each task is bounded.  It only thins a
+    scan before a join, which decides; with far more than 2^(MOST_BITS - 4) hashes it thins less and the join does more.
+    """
+    count = hashes.count()
+    bits = min(MOST_BITS, max(16, (BITS_AN_ID * max(count, 1)).bit_length()))
+    place = F.shiftrightunsigned(column, 64 - bits)
+    words = hashes.groupBy(F.shiftrightunsigned(place, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")).alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool), 64 - bits
 
 
 def _fingerprint(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every id in edges (a, b), component being its smallest reachable id.
+def connected_components(edges: DataFrame, keep: Workspace | None = None) -> DataFrame:
+    """(id, component) of every id in edges (a, b), component being its smallest reachable id; stored, in the workspace `keep` if one is given.
 
     Large-star and small-star rounds turn each component into a star around its smallest id.  Each
     round is a pre-aggregated minimum and a join that adaptive execution splits where a hub is hot;
     its result goes to shared storage.  The number of rounds is logarithmic in a component's width.
+    An empty table of edges gives no rows.
     """
-    spark = edges.sparkSession
-    path = scratch(spark, "edges")
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", path)
-    print_ = _fingerprint(now)
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select("a", "b", "m")
-        out = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        new_path = scratch(spark, "edges")
-        now = stored(out, "edges", new_path)
-        remove(spark, path)
-        path, last, print_ = new_path, print_, _fingerprint(now)
-        if print_ == last:
-            break
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-
-
-def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], stars: int = 2) -> DataFrame:
+    with Workspace(edges.sparkSession) as ws:
+        now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        print_ = _fingerprint(now)
+        while True:
+            both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+            large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            low = large.groupBy("a").agg(F.min("b").alias("m"))
+            small = large.join(low, "a").select("a", "b", "m")
+            out = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+            before, now = now, ws.stored(out, "edges")
+            ws.drop(before)
+            last, print_ = print_, _fingerprint(now)
+            if print_ == last:
+                break
+        return (keep.stored if keep else stored)(now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), "components")
+
+
+def shared_rows(rows: DataFrame, once: bool = False) -> DataFrame:
+    """The rows (key, id) whose key another id has too; rows are read twice.  `once` says that no row repeats."""
+    if once:
+        return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "key")
+    return rows.join(rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "key").distinct()
+
+
+def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], ws: Workspace, stars: int = 2) -> DataFrame:
     """Components (id, component) of the links among ids that share a key; ids without a link may lack.
 
-    rows: (key, id).  marks gets the ids (id) that share a key with others and gives more columns of
+    first: the stored result of shared_rows.  marks gets the ids (id) that share a key with others and gives more columns of
     them, for may_link(x, y), a condition on the rows named x and y that every link meets.  verify gives
-    the linked ones of pairs (a, b).
-    First, `stars` rounds test each key's members against one centre outside whose component they still
+    the linked ones of pairs (a, b).  Tables in between, and first, go with the caller's workspace.
+    `stars` rounds test each key's members against one centre outside whose component they still
     are: at first the member that shares most keys with others, later another one each round.  Near
     copies thereby melt into one component at a cost linear in a key's members; as these pairs are few,
     marks are joined to the distinct ones.  Then all pairs that share a key, are still in different
     components and may link are tested, so no link between components is lost; there the condition is
     part of the join, so pairs that can't link are never sent on.
     """
-    spark = rows.sparkSession
-    shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    first_path, near_path = scratch(spark, "shared-keys"), scratch(spark, "near")
-    near = stored(rows.join(shared, "key").distinct(), "shared-keys", first_path)
-    sizes = near.groupBy("key").agg(F.count("*").alias("size"))
-    degree = near.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree"))
-    info = stored(marks(near.select("id").distinct()), "marks")
-    near = stored(near.join(degree, "id"), "near", near_path)
-    remove(spark, first_path)  # nothing reads it any more
+    degree = first.join(first.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("id").agg(F.sum("size").alias("degree"))
+    degree = ws.stored(degree, "degree")
+    info = ws.stored(marks(degree.select("id")), "marks")
+    near = ws.stored(first.join(degree, "id"), "near")
+    ws.drop(first)
     components = edges = tested = None
     for i in range(stars + 1):
         if components is None:
@@ -70,16 +91,15 @@ def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
         else:
             own = near.drop("component").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
             open_ = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-            open_path = scratch(spark, "open")
-            near = own = stored(own.join(open_, "key"), "open", open_path)
-            remove(spark, near_path)
-            near_path = open_path
+            own = ws.stored(own.join(open_, "key"), "open")
+            ws.drop(near)
+            near = own
             if not own.take(1):
                 break
         if i < stars:
             rank = F.struct(-F.col("degree"), F.col("id")) if i == 0 else F.struct(F.xxhash64("id", F.lit(i)), F.col("id"))
-            first = own.groupBy("key").agg(F.min(rank).alias("first")).select("key", F.col("first.id").alias("id"))
-            centres = own.join(first, ["key", "id"]).alias("y")
+            head = own.groupBy("key").agg(F.min(rank).alias("head")).select("key", F.col("head.id").alias("id"))
+            centres = own.join(head, ["key", "id"]).alias("y")
             pairs = own.alias("x").join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
         else:
             marked = own.join(info, "id")
@@ -90,11 +110,11 @@ def linked_components(rows: DataFrame, verify: Callable[[DataFrame], DataFrame],
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         if i < stars:
             pairs = pairs.join(info.alias("x"), F.col("a") == F.col("x.id")).join(info.alias("y"), F.col("b") == F.col("y.id")).where(may_link("x", "y")).select("a", "b")
-        pairs = stored(pairs, "pairs")
+        pairs = ws.stored(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        good = stored(verify(pairs), "links")
-        if edges is not None and not good.take(1):
+        good = ws.stored(verify(pairs), "links")
+        if components is not None and not good.take(1):
             continue  # components are as before
         edges = good if edges is None else edges.unionByName(good)
-        components = connected_components(edges)
+        components = connected_components(edges, ws)
     return components

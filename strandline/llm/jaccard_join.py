@@ -8,18 +8,19 @@ Each shingle hash flips one bit of a sketch, so the Hamming distance of two sket
 symmetric difference of the sets.  For each band of sizes the sketch is cut into more segments than
 the band's largest difference, so linked sets agree on some segments (pigeonhole): `SPARE` + 1 at least.  Sets
 meet on (band, segment, its parity bits); the bits of a segment travel as the XOR of 64-bit hashes.
-Empty segments say little and are sent only by sets with more than SPARE of them, which by the spare
-segments loses nothing.  A set goes to its own band and to those of the larger sets that it can link.
+Empty segments say little: a band has so many spare segments that linked sets as a rule agree on more than
+either has empty, and only a set that has as many empty ones sends these too, so nothing is lost.  A set goes to its own band and to those of the larger sets that it can link.
 Pairs that meet are thinned by sizes and by the Hamming distance of whole sketches, and verified on
 the words.  Equal sets are one node from the start; components come from a distributed union-find.
 
-Repeated rows are copies of each other.  A null doc_id belongs to no component (null component_id) but
-counts its shingles; other columns are ignored.  An empty table gives an empty result.
+Repeated rows are copies of each other; rows that repeat a doc_id with another text are nodes of their own.  A null doc_id
+belongs to no component (null component_id) but counts its shingles; other columns are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from functools import partial
+import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, U, constants, hash_spans, mix, shingle_hashes, slices, text_bytes, word_spans
-from .components import linked_components
-from .storage import stored
+from .components import bit_table, linked_components, shared_rows
+from .storage import Workspace, stored
 
 SPARE, SKETCH_WORDS = 2, 16
 _SEG = constants(4, 99)
@@ -58,15 +59,35 @@ def band_edges(most: int, ratio: float = 1.3) -> np.ndarray:
     return np.array(edges, np.int64)
 
 
+@lru_cache(maxsize=4096)
+def segments(band: int, percent: int) -> tuple[int, int]:
+    """(segments of a band, largest symmetric difference of linked sets in it).
+
+    Linked sets agree on segments - difference of them at least.  Where a few more segments make that more than
+    the empty ones which a set of the band is likely to have, linked sets agree on one that isn't empty.
+    """
+    most = 1
+    while len(edges := band_edges(most)) < band + 2:
+        most = int(edges[-1])
+    difference = (100 - percent) * 2 * (int(edges[band + 1]) - 1) // (100 + percent)
+    least = -(-percent * int(edges[band]) // 100)
+    n = difference + 1 + SPARE
+    for more in range(n, n + n // 3 + 1):
+        empty = more * math.exp(-least / more)
+        if more - difference - 1 >= empty + 3 * math.sqrt(empty):
+            return more, difference
+    return n, difference
+
+
 def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     """The join keys of one set."""
     a = len(grams)
-    edges = band_edges(100 * a // percent)
-    lo, hi = np.searchsorted(edges, [a, 100 * a // percent], "right") - 1
+    most = 100 * a // percent
+    edges = band_edges(most)
+    lo, hi = np.searchsorted(edges, [a, most], "right") - 1
     out = []
     for band in range(lo, hi + 1):
-        difference = (100 - percent) * 2 * (int(edges[band + 1]) - 1) // (100 + percent) if percent else 0
-        n = difference + 1 + SPARE
+        n, difference = segments(band, percent)
         seg = ((grams >> U(32)) % U(n)).astype(np.int64)
         order = np.argsort(seg, kind="stable")
         at = np.searchsorted(seg[order], np.arange(n))
@@ -74,7 +95,7 @@ def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
         parity = np.zeros(n, U)
         parity[filled] = np.bitwise_xor.reduceat(mix(grams[order] ^ _SEG[0]), at[filled])
         keys = mix((parity ^ mix(np.arange(n, dtype=U) * _SEG[1] + np.array([band], U) * _SEG[2])) * _SEG[3])
-        out.append(keys if n - filled.sum() > SPARE else keys[filled])
+        out.append(keys if n - filled.sum() >= n - difference else keys[filled])
     return np.concatenate(out)
 
 
@@ -92,7 +113,10 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketches(docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
-    """doc_id, n_shingles, set hashes s1 and s2, sketch and keys of each row."""
+    """doc_id, k (hash of the row's doc_id and text), row (a number of its own), n_shingles, set hashes s1 and s2, sketch and keys of each row.
+
+    Rows are numbered as partitions are read, so the result has to be stored before it is used twice.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -104,9 +128,10 @@ def sketches(docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
                 s2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else U(0) for x in sets], U).view(np.int64)
                 keys = _lists([segment_keys(x, percent) if len(x) else none for x in sets])
                 bits = _lists([sketch(x) for x in sets])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.array([len(x) for x in sets], np.int64)), pa.array(s1), pa.array(s2), bits, keys], names=["doc_id", "n_shingles", "s1", "s2", "sketch", "keys"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "k", "row")), pa.array(np.array([len(x) for x in sets], np.int64)), pa.array(s1), pa.array(s2), bits, keys], names=["doc_id", "k", "row", "n_shingles", "s1", "s2", "sketch", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, s1 bigint, s2 bigint, sketch array<bigint>, keys array<bigint>")
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(run, f"doc_id {kind}, k bigint, row bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch array<bigint>, keys array<bigint>")
 
 
 def may_link(percent: int):
@@ -121,41 +146,114 @@ def may_link(percent: int):
     return condition
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
-    """The pairs (a, b) of doc_ids that link, by the shingles of their whole texts."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = stored(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "near-texts")
-    full = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "tb", 1 << 20):
-                left, right = shingle_sets(*text_bytes(part.column("ta")), words), shingle_sets(*text_bytes(part.column("tb")), words)
-                both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
-                linked = [100 * i >= percent * (len(x) + len(y) - i) for x, y, i in zip(left, right, both)]
-                yield part.select(["a", "b"]).filter(pa.array(linked))
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    return full.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+class Verifier:
+    """Exact Jaccard on the words of candidates, whose whole texts one scan of the documents gathers."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int, words: int, ws: Workspace):
+        self.docs, self.nodes, self.percent, self.words, self.ws = docs, nodes, percent, words, ws
+        self.texts = None
+
+    def gather(self, ids: DataFrame) -> DataFrame:
+        """Keep the text of each node in ids, and return its n_shingles and sketch.
+
+        A bit table of bounded size thins the scan; a join then decides.
+        """
+        near = self.ws.stored(self.nodes.join(ids, "id", "left_semi"), "near-nodes")
+        table, shift = bit_table(near, "k")
+
+        def run(batches):
+            for batch in batches:
+                hit = table[(batch.column("k").to_numpy().view(U) >> U(shift)).astype(np.int64)]
+                if hit.any():
+                    yield batch.filter(pa.array(hit))
+
+        kind = self.docs.schema["doc_id"].dataType.simpleString()
+        found = self.docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).where("doc_id is not null").mapInArrow(run, f"doc_id {kind}, text string, k bigint")
+        self.texts = self.ws.stored(found.dropDuplicates(["doc_id", "k"]).join(near.select("doc_id", "k", "id"), ["doc_id", "k"]).select("id", "text"), "near-texts")
+        return near.select("id", "n_shingles", "sketch")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        side = lambda c: self.texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
+        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+        percent, words = self.percent, self.words
+
+        def run(batches):
+            for batch in batches:
+                for part in slices(batch, "tb", 1 << 20):
+                    left, right = shingle_sets(*text_bytes(part.column("ta")), words), shingle_sets(*text_bytes(part.column("tb")), words)
+                    both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
+                    linked = [100 * i >= percent * (len(x) + len(y) - i) for x, y, i in zip(left, right, both)]
+                    yield part.select(["a", "b"]).filter(pa.array(linked))
+
+        return full.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _first_of_each(marks: DataFrame, sets: DataFrame, ws: Workspace) -> DataFrame:
+    """(id, keys) of the sets: the rows of marks less those that repeat another one's set.
+
+    A bit table tells most rows that repeat nothing, so only the others are shuffled.
+    """
+    same = [F.col(f"m.{c}") == F.col(f"s.{c}") for c in ("s1", "s2", "n_shingles")]
+    small = marks.where("n_shingles > 0 and doc_id is not null")
+    copies = small.alias("m").join(sets.alias("s"), same).where("m.row <> s.id").select(F.col("m.row").alias("id"))
+    copies = ws.stored(copies.withColumn("h", F.xxhash64("id")), "copies")
+    rows = small.select(F.col("row").alias("id"), "keys", F.xxhash64("row").alias("h"))
+    if not copies.take(1):
+        return rows.drop("h")
+    table, shift = bit_table(copies, "h")
+
+    def those(hit: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(table[(batch.column("h").to_numpy().view(U) >> U(shift)).astype(np.int64)] == hit)).select(["id", "keys"])
+
+        return rows.mapInArrow(run, "id bigint, keys array<bigint>")
+
+    return those(False).unionByName(those(True).join(copies.select("id"), "id", "left_anti"))
+
+
+def _components(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Per row of docs: doc_id, k, n_shingles, component (a number; null without shingles or doc_id) and component_id; stored."""
+    with Workspace(docs.sparkSession) as ws:
+        marks = ws.stored(sketches(docs, percent, words), "sketches")
+        known = marks.where("n_shingles > 0 and doc_id is not null")
+        sets = ws.stored(known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("least"), F.min("row").alias("id")), "sets")
+        keyed = _first_of_each(marks, sets, ws).select(F.explode("keys").alias("key"), "id")
+        shared = ws.stored(shared_rows(keyed, once=True), "shared-keys")
+        rows = ws.stored(marks.drop("keys"), "rows")
+        ws.drop(marks)  # the keys are by far the most of it
+        nodes = rows.where("n_shingles > 0 and doc_id is not null").select(F.col("row").alias("id"), "doc_id", "k", "n_shingles", "sketch")
+        verify = Verifier(docs, nodes, percent, words, ws)
+        found = linked_components(shared, verify, verify.gather, may_link(percent), ws)
+        grown = ws.stored(sets.join(found, "id").select("s1", "s2", "n_shingles", "least", "component"), "grown")
+        named = grown.join(grown.groupBy("component").agg(F.min("least").alias("label")), "component").select("s1", "s2", "n_shingles", "component", "label")
+        own = ["s1", "s2", "n_shingles"]
+        all_sets = sets.join(named, own, "left").select(*own, F.coalesce("component", "id").alias("component"), F.coalesce("label", "least").alias("label"))
+        out = rows.join(all_sets, own, "left")
+        has = F.col("doc_id").isNotNull()
+        out = out.select("doc_id", "k", "n_shingles", F.when(has, F.col("component")).alias("component"), F.when(has, F.coalesce("label", "doc_id")).alias("component_id"))
+        return stored(out, "jaccard-components")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, words: int = 3) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    marks = stored(sketches(docs, percent, words), "sketches")
-    known = marks.where("n_shingles > 0 and doc_id is not null")
-    sets = stored(known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("node")), "sets")
-    nodes = known.join(sets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    keyed = nodes.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    more = nodes.select(F.col("doc_id").alias("id"), "n_shingles", "sketch")
-    found = linked_components(keyed, partial(verified, docs=docs, percent=percent, words=words), lambda ids: more.join(ids, "id", "left_semi"), may_link(percent)).withColumnRenamed("id", "node")
-    sets = sets.join(found, "node", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "node").alias("component"))
-    rows = marks.select("doc_id", "n_shingles", "s1", "s2").join(sets, ["s1", "s2", "n_shingles"], "left")
-    return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return _components(docs, percent, words).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame, percent: int = 90, words: int = 3) -> DataFrame:
-    """The rows of docs less all but the smallest doc_id of each component; rows that repeat a doc_id become one, rows without one stay."""
-    found = jaccard_components(docs, percent, words)
-    winners = found.where("n_shingles = 0 or doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(winners, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """The rows of docs less all but one of each component, the one of the smallest doc_id (and of those that repeat it, of the least text hash).
+
+    Rows of one doc_id and text become one.  Rows without a word or a doc_id are linked with nothing and stay.
+    """
+    found = _components(docs, percent, words)
+    linked = found.where("component is not null")
+    winner = linked.where("doc_id = component_id").groupBy("component").agg(F.min("k").alias("best"))
+    lost = linked.join(winner, "component").where("doc_id <> component_id or k <> best").select("doc_id", "k").distinct()
+    lost = stored(lost, "lost-rows")  # where it is small, the join below then needs no shuffle
+    again = stored(linked.groupBy("doc_id", "k").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "k"), "repeated-rows")
+    same = lambda other: (docs["doc_id"] == other["doc_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == other["k"])
+    kept = docs.join(lost, same(lost), "left_anti")
+    if again.take(1):
+        some = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(again, (kept["doc_id"] == again["doc_id"]) & (F.xxhash64(kept["doc_id"], kept["text"]) == again["k"]), "left_anti").unionByName(some)
+    return kept

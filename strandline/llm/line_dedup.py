@@ -3,9 +3,9 @@
 Lines end at \\n; lines without a word are left alone.  A line's set is its distinct character
 shingles: every eight consecutive characters (a shorter line is its own one shingle); two lines link at a Jaccard similarity of 0.8.
 MinHash signatures of BANDS bands of ROWS values give candidates: a pair at 0.8 shares a band with
-probability 1 - (1 - 0.8^ROWS)^BANDS = 0.985, one at 0.9 with 0.9999.  Long lines take each band's
-values from an eighth of the shingles each (one-permutation hashing, four times over); short lines,
-whose eighths may be empty, from all; lengths in between do both, length being the number of distinct shingles.  Candidates are thinned by
+probability 1 - (1 - 0.8^ROWS)^BANDS = 0.985, one at 0.9 with 0.9999.  Signatures use one-permutation hashing: lines of
+LONG and more take one value from each of 32 parts of their shingles, lines of SHORT and more four values from each of eight parts; shorter lines,
+whose parts may be empty, take all values from all shingles.  Lengths a quarter past a border use both families, length being the number of distinct shingles.  Candidates are thinned by
 parity sketches, whose distance no link can exceed, and verified by exact Jaccard on the lines' texts; a distributed union-find gives the components.  Of each component the
 line with the least (doc_id, text hash, line number) stays.
 
@@ -21,13 +21,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import SEPARATORS, U, constants, eight_bytes, hash_spans, mix, slices, text_bytes
-from .components import linked_components
+from .components import bit_table, linked_components, shared_rows
 from .jaccard_join import may_link, sketch
-from .storage import stored
+from .storage import Workspace, stored
 from .text_stats import LEADS
 
-WIDTH, BANDS, ROWS, SHORT = 8, 8, 4, 64
-FILTER_BITS = 23
+WIDTH, BANDS, ROWS = 8, 8, 4
+#: From so many distinct shingles on signatures use eight bins, and one for each value.
+SHORT, LONG = 64, 160
+MOST = LONG * 5 // 4
 SLICE = 1 << 20
 _SEEDS = constants(BANDS * ROWS, 77)
 _BEYOND_ASCII = U(0x8080808080808080)
@@ -86,23 +88,22 @@ def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndar
 
 
 def distinct_counts(shingles: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-    """How many distinct shingles each line has, as far as both borders of the signature families go.
+    """How many distinct shingles each line has, as far as the borders of the signature families go.
 
-    Lines with fewer than SHORT shingles keep their number, others that surely have SHORT * 5 // 4
+    Lines with fewer than SHORT shingles keep their number, others that surely have MOST
     distinct ones get this; the rest are counted.
     """
-    most = SHORT * 5 // 4
     n = np.bincount(line, minlength=lines)
     begin = np.cumsum(n) - n
     unsure = np.flatnonzero(n >= SHORT)
     for part in np.array_split(unsure, len(unsure) // 4096 + 1):
         # distinct marks of a line's first shingles are at most its distinct shingles
-        size = np.minimum(n[part], 2 * SHORT)
+        size = np.minimum(n[part], MOST * 4 // 3)
         own = np.repeat(np.arange(len(part)), size)
         at = np.arange(len(own)) + (begin[part] - np.cumsum(size) + size)[own]
         seen = np.zeros((len(part), 1024), bool)
         seen[own, (shingles[at] >> U(54)).astype(np.int64)] = True
-        n[part] = np.where(seen.sum(1) >= most, most, -1)
+        n[part] = np.where(seen.sum(1) >= MOST, MOST, -1)
     few = np.flatnonzero(n < 0)
     if len(few):
         place = np.zeros(lines, U)
@@ -114,32 +115,46 @@ def distinct_counts(shingles: np.ndarray, line: np.ndarray, lines: int) -> np.nd
     return n
 
 
+def _binned(g: np.ndarray, own: np.ndarray, lines: int, bins: int) -> np.ndarray:
+    """Band keys by one-permutation hashing: BANDS * ROWS values, the least hashes in `bins` bins for each of several seeds."""
+    values = np.empty((BANDS * ROWS // bins, lines * bins), U)
+    shift, at = U(64 - (bins.bit_length() - 1)), own * bins
+    for j in range(len(values)):
+        h = g * _SEEDS[j]
+        values[j] = ~U(0)
+        np.minimum.at(values[j], at + (h >> shift).astype(np.int64), h)
+    values = values.reshape(len(values), lines, -1, BANDS).transpose(1, 3, 0, 2).reshape(lines, BANDS, ROWS)
+    key = np.full((lines, BANDS), U(bins), U)
+    for j in range(ROWS):
+        key = mix(key + values[:, :, j])
+    return mix(key ^ _SEEDS[:BANDS])
+
+
 def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> pa.ListArray:
-    """Band keys of each line."""
+    """Band keys of each line, by the families that its number of distinct shingles puts it in."""
     n = distinct_counts(shingles, line, lines)
-    long, short = n >= SHORT, n < SHORT * 5 // 4
     out = []
-    if long.any():
-        use = long[line]
-        g, at = shingles[use], line[use] * BANDS
-        key = np.zeros(lines * BANDS, U)
-        for j in range(ROWS):
-            h = g * _SEEDS[j]
-            least = np.full(lines * BANDS, ~U(0), U)
-            np.minimum.at(least, at + (h >> U(61)).astype(np.int64), h)
-            key = mix(key + least)
-        out.append((np.flatnonzero(long), mix(key.reshape(lines, BANDS) ^ _SEEDS[:BANDS])[long]))
-    if short.any():
-        use = short[line]
-        g, own = shingles[use], line[use]
-        begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        keys = np.zeros((len(begin), BANDS), U)
+    for bins, member in ((BANDS * ROWS, n >= LONG), (BANDS, (n >= SHORT) & (n < LONG * 5 // 4)), (0, n < SHORT * 5 // 4)):
+        ids = np.flatnonzero(member)
+        if not len(ids):
+            continue
+        if len(ids) == lines:
+            g, own = shingles, line
+        else:
+            place = np.cumsum(member) - 1
+            use = member[line]
+            g, own = shingles[use], place[line[use]]
+        if bins:
+            out.append((ids, _binned(g, own, len(ids), bins)))
+            continue
+        begin = np.searchsorted(own, np.arange(len(ids)))
+        keys = np.zeros((len(ids), BANDS), U)
         for i in range(BANDS):
-            key = np.zeros(len(begin), U)
+            key = np.zeros(len(ids), U)
             for j in range(ROWS):
-                key = mix(key + np.minimum.reduceat(mix(g ^ _SEEDS[i * ROWS + j]), begin))
+                key = mix(key + np.minimum.reduceat(g * _SEEDS[i * ROWS + j], begin))
             keys[:, i] = mix(key ^ _SEEDS[BANDS + i])
-        out.append((own[begin], keys))
+        out.append((ids, keys))
     ids = np.concatenate([x[0] for x in out]) if out else np.zeros(0, np.int64)
     keys = np.concatenate([x[1] for x in out]) if out else np.zeros((0, BANDS), U)
     order = np.argsort(ids, kind="stable")
@@ -180,42 +195,40 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 class Verifier:
     """Exact Jaccard on the texts of candidate lines, which one scan of the documents gathers."""
 
-    def __init__(self, docs: DataFrame, percent: int):
-        self.docs, self.percent, self.texts = docs, percent, None
+    def __init__(self, docs: DataFrame, percent: int, ws: Workspace):
+        self.docs, self.percent, self.ws, self.texts = docs, percent, ws, None
 
     def gather(self, ids: DataFrame) -> DataFrame:
         """Keep the text of each line in ids, and return n_shingles and a parity sketch of each.
 
-        A bit table of fixed size thins the scan; a join then decides.
+        A bit table of bounded size thins the scan; a join then decides.  Where two lines meet in all 64 bits
+        of id, one of them is kept, with its other hash h2.
         """
-        place = F.shiftrightunsigned("id", 64 - FILTER_BITS)
-        words = ids.groupBy(F.shiftrightunsigned(place, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(id, {64 - FILTER_BITS}) & 63 as int))")).alias("b")).toArrow()
-        table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-        table[words.column("w").to_numpy()] = words.column("b").to_numpy()
-        table = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+        table, shift = bit_table(ids, "id")
 
         def run(batches):
             for batch in batches:
                 for part in slices(batch, "text", SLICE):
                     data, offsets = text_bytes(part.column("text"))
                     s, t, _, _ = line_spans(data, offsets)
-                    h = hash_spans(data, s, t, 41)
-                    hit = np.flatnonzero(table[(h >> U(64 - FILTER_BITS)).astype(np.int64)])
+                    eight = eight_bytes(data)
+                    h = hash_spans(data, s, t, 41, eight)
+                    hit = np.flatnonzero(table[(h >> U(shift)).astype(np.int64)])
                     hit = hit[np.sort(np.unique(h[hit], return_index=True)[1])]
                     texts = [data[s[i] : t[i]].tobytes().decode("utf-8", "replace") for i in hit]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[hit].view(np.int64)), pa.array(texts, pa.string())], names=["id", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[hit].view(np.int64)), pa.array(hash_spans(data, s[hit], t[hit], 42, eight).view(np.int64)), pa.array(texts, pa.string())], names=["id", "h2", "text"])
 
-        found = self.docs.select("text").mapInArrow(run, "id bigint, text string")
-        found = found.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        found = self.docs.select("text").mapInArrow(run, "id bigint, h2 bigint, text string").dropDuplicates(["id"])
+        found = found.join(ids, "id", "left_semi")
 
         def marked(batches):
             for batch in batches:
                 for part in slices(batch, "text", 1 << 20):
                     sets = _sets(part.column("text"))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.array([len(x) for x in sets], np.int64)), pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))], names=["id", "text", "n_shingles", "sketch"])
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.array([len(x) for x in sets], np.int64)), pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))], names=["id", "h2", "text", "n_shingles", "sketch"])
 
-        self.texts = stored(found.mapInArrow(marked, "id bigint, text string, n_shingles bigint, sketch array<bigint>"), "line-texts")
-        return self.texts.drop("text")
+        self.texts = self.ws.stored(found.mapInArrow(marked, "id bigint, h2 bigint, text string, n_shingles bigint, sketch array<bigint>"), "line-texts")
+        return self.texts.select("id", "n_shingles", "sketch")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         side = lambda c: self.texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
@@ -235,18 +248,28 @@ class Verifier:
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, k, n_lines, gone): each document with lines, and the numbers of those that an earlier line stands for."""
-    found = stored(lines(docs), "lines")
-    verify = Verifier(docs, percent)
-    keyed = found.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
-    groups = linked_components(keyed, verify, verify.gather, may_link(percent)).withColumnRenamed("id", "h1")
-    tagged = found.drop("keys").join(groups, "h1", "left").select("doc_id", "k", "line", F.coalesce("component", "h1").alias("g1"), F.when(F.col("component").isNull(), F.col("h2")).otherwise(0).alias("g2"))
-    own = F.struct("doc_id", "k", "line")
-    first = tagged.groupBy("g1", "g2").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    gone = tagged.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).groupBy("doc_id", "k").agg(F.collect_set("line").alias("gone"))
-    per_doc = found.groupBy("doc_id", "k").agg(F.countDistinct("line").alias("n_lines"))
-    gone = gone.select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "gone")
-    return per_doc.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("k2")), "left").select("doc_id", "k", "n_lines", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
+    """(doc_id, k, n_lines, gone): each document with lines, and the numbers of those that an earlier line stands for; stored.
+
+    A line is told by 128 bits (h1, h2); the search for links goes by h1, and its findings hold for the h2 that was verified.
+    """
+    with Workspace(docs.sparkSession) as ws:
+        found = ws.stored(lines(docs), "lines")
+        verify = Verifier(docs, percent, ws)
+        keyed = found.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
+        components = linked_components(ws.stored(shared_rows(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws)
+        near = components.join(verify.texts.select("id", "h2"), "id").select(F.col("id").alias("h1"), "h2", F.col("component").alias("g1"), F.lit(0).cast("long").alias("g2"))
+        equal = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+        equal = equal.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+        groups = ws.stored(near.unionByName(equal), "line-groups")
+        # both sides of these joins are plain tables, so that adaptive execution can split a hot group
+        members = ws.stored(found.drop("keys").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
+        own = F.struct("doc_id", "k", "line")
+        first = ws.stored(members.groupBy("g1", "g2").agg(F.min(own).alias("first")), "first-lines")
+        gone = ws.stored(members.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "line").distinct(), "gone-lines")
+        gone = gone.groupBy("d", "k2").agg(F.collect_list("line").alias("gone"))
+        per_doc = found.select("doc_id", "k", "line").groupBy("doc_id", "k").agg(F.count_distinct("line").alias("n_lines"))
+        out = per_doc.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("k2")), "left")
+        return stored(out.select("doc_id", "k", "n_lines", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")), "repeated-lines")
 
 
 def line_report(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -262,22 +285,14 @@ def without_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Documents that lose every line with a word go; those that never had one stay.
     """
-    r = repeated_lines(docs, percent).where(F.size("gone") > 0).select(F.col("doc_id").alias("__d"), F.col("k").alias("__k2"), F.col("gone").alias("__gone"), (F.col("n_lines") > F.size("gone")).alias("__some"))
-    keyed = docs.withColumn("__k", F.xxhash64("doc_id", "text"))
-    rows = keyed.join(r, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__k") == F.col("__k2")), "left").where("__some is null or __some")
-
-    @F.pandas_udf("string")
-    def cut(texts, gone):
-        import pandas as pd
-
-        out = []
-        for text, numbers in zip(texts, gone):
-            away = set(numbers)
-            out.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in away))
-        return pd.Series(out)
-
-    # the function runs only where lines go
-    same, changed = rows.where("__gone is null"), rows.where("__gone is not null").withColumn("text", cut("text", "__gone"))
+    r = repeated_lines(docs, percent).where(F.size("gone") > 0)
+    rows = docs.join(r, docs["doc_id"].eqNullSafe(r["doc_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == r["k"]), "left")
+    rows = rows.where(r["gone"].isNull() | (r["n_lines"] > F.size(r["gone"])))
+    left = F.array_join(F.filter(F.split(docs["text"], "\n", -1), lambda x, i: ~F.array_contains(r["gone"], i)), "\n")
+    text = F.when(r["gone"].isNull(), docs["text"]).otherwise(left)
+    columns = [docs[c] for c in docs.columns]
+    columns[docs.columns.index("text")] = text.alias("text")
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return same.select(docs.columns).unionByName(changed.select(docs.columns))
+        n = F.when(r["gone"].isNull(), docs["n_chars"]).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+        columns[docs.columns.index("n_chars")] = n.alias("n_chars")
+    return rows.select(*columns)
