@@ -17,6 +17,8 @@ SLICE_BYTES = 4 << 20
 #: The word separators 0x20 and 0x09-0x0D.
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Word separators of the classifiers and of decontamination, all ASCII that is neither letter nor digit.
+NON_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -147,13 +149,9 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int, seed: int = 7):
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of values within consecutive bounds."""
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
-    return total[bounds[1:]] - total[bounds[:-1]]
-
-
-def crc32_mod(column, n: int):
-    """crc32 of the value as text, modulo n; 0 for null is never returned: null stays null."""
-    from pyspark.sql import functions as F
-
-    return F.crc32(F.col(column).cast("string")) % n
+    """Sums of values within consecutive bounds; each depends on its own values alone."""
+    out = np.zeros(len(bounds) - 1, np.float64 if values.dtype.kind == "f" else np.int64)
+    full = bounds[1:] > bounds[:-1]
+    if full.any():
+        out[full] = np.add.reduceat(values[: bounds[-1]], bounds[:-1][full], dtype=out.dtype)
+    return out

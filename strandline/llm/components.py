@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -10,12 +11,24 @@ from pyspark.sql import functions as F
 
 from .storage import Workspace, stored
 
-#: Bits a listed id gets in a bit table, and the most bits a table has (16 MB).
-BITS_AN_ID, MOST_BITS = 16, 27
+#: Bits a listed id gets in a bit table, and the most bits a table has (8 MB).
+BITS_AN_ID, MOST_BITS = 16, 26
 
 
-def bit_table(hashes: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """(bits, shift): a table with a bit set at h >>> shift for each 64-bit hash h in a column.
+@dataclass
+class BitTable:
+    """Whether a 64-bit hash may be one of those listed."""
+
+    words: np.ndarray
+    shift: int
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.uint64) >> np.uint64(self.shift)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def bit_table(hashes: DataFrame, column: str) -> BitTable:
+    """A table with a bit set at h >>> shift for each 64-bit hash h in a column.
 
     It holds up to 2^MOST_BITS bits, so its size on the driver and in each task is bounded.  It only thins a
     scan before a join, which decides; with far more than 2^(MOST_BITS - 4) hashes it thins less and the join does more.
@@ -26,7 +39,7 @@ def bit_table(hashes: DataFrame, column: str) -> tuple[np.ndarray, int]:
     words = hashes.groupBy(F.shiftrightunsigned(place, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")).alias("b")).toArrow()
     table = np.zeros(1 << (bits - 6), np.int64)
     table[words.column("w").to_numpy()] = words.column("b").to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool), 64 - bits
+    return BitTable(table.view(np.uint64), 64 - bits)
 
 
 def _fingerprint(edges: DataFrame):

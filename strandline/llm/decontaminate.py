@@ -9,15 +9,17 @@ Documents probe the sketches of those classes that they are long enough to conta
 verified by exact containment of all the item's shingles in the whole document.
 
 Documents stream once through Arrow batches for each block of items; nothing is shuffled.  A block
-holds about `block_words` words of benchmark text, so what a task is sent is bounded however many
-items there are.  Items with fewer than n words count as one shingle, their whole sequence; items
-without words match nothing.  Null and empty documents hold nothing.  Repeated rows each match.
+holds about `block_words` words of benchmark text (a longer item is a block of its own or with others), is built on the driver and sent to the tasks; so what the driver and a task
+hold at a time is bounded however many items there are.  Items with fewer than n words count as one shingle, their whole sequence; items
+without words match nothing.  Null and empty documents hold nothing.  Repeated rows each match; other columns are ignored
+(leaks) or carried along (without_leaks).  An empty table of documents or items gives no leak.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.types import DoubleType, LongType
 
-from .arrays import LOWER, U, hash_spans, rows_of, shingle_hashes, slices, text_bytes, word_spans
-from .toxicity import NON_WORD
+from .arrays import LOWER, NON_WORD, U, hash_spans, rows_of, shingle_hashes, slices, text_bytes, word_spans
+from .storage import stored
 
 MASK_BITS = 20
 
@@ -113,9 +115,10 @@ def search(block: Block, data: np.ndarray, offsets: np.ndarray, threshold: float
         for row in np.unique(rows):
             own = np.unique(h[begin[row] : begin[row + 1]])
             _, pos = _expand(own, block.shingles)
-            count = np.bincount(block.owners[pos], minlength=items)
             mine = slice(*np.searchsorted(rows, [row, row + 1]))
-            found[mine] += count[pairs[mine] % items]
+            wanted, owners = pairs[mine] % items, block.owners[pos]  # wanted is sorted
+            at = np.minimum(np.searchsorted(wanted, owners), len(wanted) - 1)
+            found[mine] += np.bincount(at[wanted[at] == owners], minlength=len(wanted))
     item = pairs % items
     hit = found >= np.ceil(threshold * block.sizes[item] - 1e-9)
     return rows[hit], item[hit], found[hit]
@@ -133,32 +136,56 @@ def blocks(items: DataFrame, n: int, threshold: float, block_words: int):
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8, block_words: int = 1_000_000) -> DataFrame:
-    """One row for each leak: doc_id, item_id, n_shingles of the item, n_shared, containment."""
+    """One row for each leak: doc_id, item_id, n_shingles of the item, n_shared, containment.
+
+    A benchmark of more than one block is searched a block at a time, its hits stored before the next is built.
+    """
     schema = StructType([
         StructField("doc_id", docs.schema["doc_id"].dataType), StructField("item_id", items.schema["item_id"].dataType),
         StructField("n_shingles", LongType()), StructField("n_shared", LongType()), StructField("containment", DoubleType()),
     ])
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in blocks(items, n, threshold, block_words):
+    return _hits(docs.select("doc_id", "text"), items, n, threshold, block_words, schema, ["doc_id"])
+
 
-        def run(batches, block=block):
+def _hits(docs: DataFrame, items: DataFrame, n: int, threshold: float, block_words: int, schema: StructType, keep: list[str]) -> DataFrame:
+    """Columns `keep` of docs, then item_id, n_shingles, n_shared and containment, one row for each leak."""
+    names = schema.fieldNames()
+
+    def against(block: Block) -> DataFrame:
+        def run(batches):
             for batch in batches:
                 for part in slices(batch, "text"):
                     row, item, shared = search(block, *text_bytes(part.column("text")), threshold)
                     if len(row):
                         size = block.sizes[item]
-                        yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row)), block.ids.take(pa.array(item)), pa.array(size), pa.array(shared), pa.array(shared / size)], names=schema.fieldNames())
+                        yield pa.RecordBatch.from_arrays([*(part.column(c).take(pa.array(row)) for c in keep), block.ids.take(pa.array(item)), pa.array(size), pa.array(shared), pa.array(shared / size)], names=names)
+
+        return docs.mapInArrow(run, schema)
 
-        out = out.unionByName(docs.select("doc_id", "text").mapInArrow(run, schema))
-    return out
+    out = before = None
+    for block in blocks(items, n, threshold, block_words):
+        if before is not None:
+            done = stored(against(before), "leaks")
+            out = done if out is None else out.unionByName(done)
+        before = block
+    if before is None:
+        return docs.sparkSession.createDataFrame([], schema)
+    last = against(before)
+    return last if out is None else out.unionByName(stored(last, "leaks"))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, threshold: float = 0.8, block_words: int = 1_000_000) -> DataFrame:
-    """The rows of docs that hold no item, all columns kept; one pass for each block, nothing shuffled."""
-    out = docs
-    for block in blocks(items, n, threshold, block_words):
+    """The rows of docs that hold no item, all columns kept, in one pass and without a shuffle.
+
+    With more than one block of items hits are searched a block at a time, and an anti join on doc_id and text hash takes them away.
+    """
+    found = list(islice(blocks(items, n, threshold, block_words), 2))
+    if not found:
+        return docs
+    if len(found) == 1:
+        block = found[0]
 
-        def run(batches, block=block):
+        def run(batches):
             for batch in batches:
                 for part in slices(batch, "text"):
                     clean = np.ones(part.num_rows, bool)
@@ -166,5 +193,12 @@ def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, threshold: floa
                     if clean.any():
                         yield part.filter(pa.array(clean))
 
-        out = out.mapInArrow(run, docs.schema)
-    return out
+        return docs.mapInArrow(run, docs.schema)
+    del found
+    schema = StructType([
+        StructField("doc_id", docs.schema["doc_id"].dataType), StructField("k", LongType()), StructField("item_id", items.schema["item_id"].dataType),
+        StructField("n_shingles", LongType()), StructField("n_shared", LongType()), StructField("containment", DoubleType()),
+    ])
+    hits = _hits(docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")), items, n, threshold, block_words, schema, ["doc_id", "k"])
+    hits = stored(hits.select("doc_id", "k").distinct(), "leaking-rows")
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["doc_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == hits["k"]), "left_anti")

@@ -159,11 +159,11 @@ class Verifier:
         A bit table of bounded size thins the scan; a join then decides.
         """
         near = self.ws.stored(self.nodes.join(ids, "id", "left_semi"), "near-nodes")
-        table, shift = bit_table(near, "k")
+        table = bit_table(near, "k")
 
         def run(batches):
             for batch in batches:
-                hit = table[(batch.column("k").to_numpy().view(U) >> U(shift)).astype(np.int64)]
+                hit = table.may_hold(batch.column("k").to_numpy())
                 if hit.any():
                     yield batch.filter(pa.array(hit))
 
@@ -200,12 +200,12 @@ def _first_of_each(marks: DataFrame, sets: DataFrame, ws: Workspace) -> DataFram
     rows = small.select(F.col("row").alias("id"), "keys", F.xxhash64("row").alias("h"))
     if not copies.take(1):
         return rows.drop("h")
-    table, shift = bit_table(copies, "h")
+    table = bit_table(copies, "h")
 
     def those(hit: bool) -> DataFrame:
         def run(batches):
             for batch in batches:
-                yield batch.filter(pa.array(table[(batch.column("h").to_numpy().view(U) >> U(shift)).astype(np.int64)] == hit)).select(["id", "keys"])
+                yield batch.filter(pa.array(table.may_hold(batch.column("h").to_numpy()) == hit)).select(["id", "keys"])
 
         return rows.mapInArrow(run, "id bigint, keys array<bigint>")
 

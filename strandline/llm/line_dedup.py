@@ -204,7 +204,7 @@ class Verifier:
         A bit table of bounded size thins the scan; a join then decides.  Where two lines meet in all 64 bits
         of id, one of them is kept, with its other hash h2.
         """
-        table, shift = bit_table(ids, "id")
+        table = bit_table(ids, "id")
 
         def run(batches):
             for batch in batches:
@@ -213,7 +213,7 @@ class Verifier:
                     s, t, _, _ = line_spans(data, offsets)
                     eight = eight_bytes(data)
                     h = hash_spans(data, s, t, 41, eight)
-                    hit = np.flatnonzero(table[(h >> U(shift)).astype(np.int64)])
+                    hit = np.flatnonzero(table.may_hold(h))
                     hit = hit[np.sort(np.unique(h[hit], return_index=True)[1])]
                     texts = [data[s[i] : t[i]].tobytes().decode("utf-8", "replace") for i in hit]
                     yield pa.RecordBatch.from_arrays([pa.array(h[hit].view(np.int64)), pa.array(hash_spans(data, s[hit], t[hit], 42, eight).view(np.int64)), pa.array(texts, pa.string())], names=["id", "h2", "text"])

@@ -2,7 +2,9 @@
 
 The best segmentation of a text into vocabulary pieces maximises the sum of piece scores (Viterbi).
 Scores are integers, so sums are exact in any order.  A unigram model's own log-probabilities serve
-as scores; a BPE model stores merge ranks instead, so its piece of rank r gets Zipf's -log(r + 1).
+as scores; a BPE model stores merge ranks instead, so its piece of rank r gets Zipf's -log(r + 1), less
+PIECE_COST for each piece: short segmentations win, frequent pieces decide among them.  Such ids are of the
+model's vocabulary and decode exactly, but aren't always those of its own merges (README).
 As in SentencePiece, a space is put before a text, spaces are part of pieces, and a code point that
 no piece covers falls back to its UTF-8 bytes; U+2581 in a text counts as such, so that decoding
 gives every text back exactly.
@@ -15,7 +17,8 @@ state to each exit state.  Max-plus products, which are associative, combine mat
 (down-sweep), and each chunk backtraces by itself.  Spaces force a cut before a word (no piece has a
 space after another character), which keeps matrices cheap; texts without spaces work as well.
 
-Null and empty texts have no piece and decode to the empty string.  Equal texts are encoded alike.
+Null and empty texts have no piece and decode to the empty string.  Equal texts, so also repeated rows, are encoded alike;
+other columns are ignored, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from .text_stats import code_points
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SCALE, FAN = 10_000, 256
+PIECE_COST = 10.0
 LOW, LOW32 = -(1 << 60), -(1 << 30)
 #: Units up to so many code points are segmented together, column by column; longer ones one by one.
 WIDE = 64
@@ -71,7 +75,7 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
     usual = [i for i in range(n) if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))]
     scores = {i: sp.get_score(i) for i in usual}
     ranks = all(float(s).is_integer() for s in scores.values())
-    value = {i: round(SCALE * (-math.log(r + 1) if ranks else scores[i])) for r, i in enumerate(usual, 1)}
+    value = {i: round(SCALE * (-math.log(r + 1) - PIECE_COST if ranks else scores[i])) for r, i in enumerate(usual, 1)}
     text = {i: sp.id_to_piece(i).replace("▁", " ") for i in usual}
     pieces = [text[i].encode() if i in text else b"" for i in range(n)]
     zero = sp.piece_to_id("<0x00>")
@@ -462,7 +466,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], chunk_chars
         depth, n = depth + 1, math.ceil(n / FAN)
 
     giants = docs.where(giant).select("text").withColumn("blob", F.sha2("text", 256))
-    from .storage import stored
+    from .storage import Workspace, stored
 
     parts = spark.sparkContext.defaultParallelism * 2
     chunks = stored(_chunks(giants.dropDuplicates(["blob"]).select("blob", "text"), v.longest, chunk_chars).repartition(parts, "blob", "chunk"), "chunks")
@@ -474,8 +478,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], chunk_chars
             ms = [transfer(v, t, lo, hi, memo).tobytes() for t, lo, hi in zip(d["piece"], d["lo"], d["hi"])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ms, pa.binary())], names=["blob", "at", "m"])
 
-    matrices = stored(chunks.mapInArrow(matrix, "blob string, at bigint, m binary"), "matrices")
-    bounds = _scan(matrices, depth).withColumnRenamed("at", "chunk")
+    with Workspace(spark) as ws:
+        matrices = ws.stored(chunks.mapInArrow(matrix, "blob string, at bigint, m binary"), "matrices")
+        bounds = stored(_scan(matrices, depth).withColumnRenamed("at", "chunk"), "bounds")
 
     def traced(batches):
         memo = Memo()

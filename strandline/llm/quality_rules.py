@@ -7,7 +7,8 @@ and the next rule grows, until a rule would be right less than `least_precision`
 The list is ordered: the first rule that holds decides; else the text is kept.
 
 The labelled sample is bounded (`max_rows` rows of six numbers).  Statistics cover every whole text.
-A null or empty text has no word and fails the base rule (n_words < 50).
+A null or empty text has no word and fails the base rule (n_words < 50).  Repeated rows are judged each alike; other columns
+are ignored.  An empty table gives an empty result; without labels only the base rule rejects.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import map_texts
+from .labelled import remainder
 from .text_stats import structure
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -121,11 +123,11 @@ def with_rates(stats: DataFrame) -> DataFrame:
     return stats.withColumns({k: F.expr(v) for k, v in RATES.items()})
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> list[Rule]:
-    """Learn from a bounded sample of labelled rows that pass the base rule."""
-    marks = labels.where("quality is not null").groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("bad")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, n: int = 5, fold: int = 0) -> list[Rule]:
+    """Learn from a bounded sample of labelled rows that pass the base rule; documents of the fold, for measuring, are never learnt from."""
+    marks = labels.where(F.col("quality").isNotNull() & (remainder(n) != fold)).groupBy("doc_id").agg((F.avg("quality") < 0.5).alias("bad")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     sample = statistics(docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left_semi")).join(F.broadcast(marks), "doc_id")
-    rows = with_rates(sample.where(f"not ({BASE_FAILED})")).select("doc_id", "bad", *RATES).toPandas().sort_values("doc_id", kind="stable")
+    rows = with_rates(sample.where(f"not ({BASE_FAILED})")).select("doc_id", "bad", *RATES).toPandas().sort_values(["doc_id", *RATES], kind="stable")
     return learn({k: rows[k].to_numpy(np.int64) for k in RATES}, rows["bad"].to_numpy(bool)) if len(rows) else []
 
 

@@ -7,7 +7,8 @@ findings back to every path that ever held the blob.
 
 Spans come from the built-in regular expressions: the pieces between matches (split) and the matches
 (regexp_extract_all) alternate, so a running sum of their lengths gives code point offsets.  A null
-text is the empty blob.  Repeated rows and copies share a blob, are scanned once and all reported.
+text is the empty blob.  Repeated rows and copies share a blob, are scanned once and all reported.  Other columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,7 +81,8 @@ def update_ledger(versions: DataFrame, ledger: str) -> DataFrame:
         seen = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == RULE_VERSION).select("blob").distinct()
         blobs = blobs.join(seen, "blob", "left_anti")
     scan_blobs(blobs).write.mode("append").parquet(ledger)
-    return spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == RULE_VERSION)
+    # two writers may have appended one blob; its findings are the same
+    return spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == RULE_VERSION).dropDuplicates(["blob"])
 
 
 def scan(versions: DataFrame, ledger: str | None = None) -> DataFrame:

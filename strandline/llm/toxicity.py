@@ -9,7 +9,8 @@ from document labels alone, so the sentence scores, which locate what offends, c
 Features are words and their prefixes.  Words are case-folded runs of letters, digits and non-ASCII bytes; sentences end at . ! ? or a new
 line.  Training is numpy gradient descent on a bounded sample (`max_docs` documents of at most
 `max_chars` code points); scoring runs over whole texts in Arrow batches, with a fixed-size weight
-table.  Null and empty texts have no sentence and score 0.  Repeated rows are scored each alike.
+table.  Null and empty texts have no sentence and score the leak alone.  Repeated rows are scored each alike; other columns
+are ignored (scores) or carried along (filter).  An empty table gives an empty result; without labels nothing is toxic.
 """
 
 from __future__ import annotations
@@ -22,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, U, hash_spans, map_texts, rows_of, slices, text_bytes, word_spans
-from .labelled import held_out, training_rows
+from .arrays import LOWER, NON_WORD, U, hash_spans, map_texts, rows_of, slices, text_bytes, word_spans
+from .labelled import distinct_texts, held_out, training_rows
 
 BITS = 18
+#: Where a sentence's bias starts; chosen on a split inside the training rows (README).
+START_BIAS = -5.0
 PREFIXES = (6, 7, 8, 9)
-#: Word separators here: all ASCII that is neither letter nor digit.
-NON_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 #: Bytes that end a sentence.
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n"]] = True
@@ -68,28 +69,31 @@ def _softplus(z):
     return np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
 
 
-def train(buckets, sentence, doc, labels, rounds: int = 250, rate: float = 0.3, l1: float = 2e-4, least_z: float = 5.0) -> Model:
+def train(buckets, sentence, doc, labels, rounds: int = 250, rate: float = 0.3, l1: float = 2e-4, least_z: float = 5.0, bias: float = START_BIAS) -> Model:
     """Fit the weights of words that toxic documents hold more often than chance (by `least_z` deviations)."""
     n_s, n_d = len(doc), len(labels)
-    pairs = np.unique(doc[sentence] * (1 << BITS) + buckets)
+    pairs = np.sort(doc[sentence].astype(np.int64) << BITS | buckets)
+    pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
     word, marks = pairs & ((1 << BITS) - 1), labels[pairs >> BITS] > 0
     seen, base = np.bincount(word, minlength=1 << BITS), max(labels.mean(), 1e-6)
     z = (np.bincount(word[marks], minlength=1 << BITS) - seen * base) / np.sqrt(np.maximum(seen, 1) * base * (1 - base) + 1e-9)
+    del pairs, word, marks
     use = ((z >= least_z) & (seen >= 4))[buckets]
     buckets, sentence = buckets[use], sentence[use]
     ids, local = np.unique(buckets, return_inverse=True)
-    known = np.unique(sentence)
-    own = doc[known]
-    w, b, c, y = np.zeros(len(ids)), -3.0, -3.5, labels.astype(float)
+    # only sentences with a weighted word matter from here on
+    known, sentence = np.unique(sentence, return_inverse=True)
+    own, n_s = doc[known], len(known)
+    w, b, c, y = np.zeros(len(ids)), bias, -3.5, labels.astype(float)
     gw, gb, gc = np.full(len(ids), 1e-10), 1e-10, 1e-10
     for _ in range(rounds):
         z = b + np.bincount(sentence, w[local], n_s)
-        total = _softplus(c) + np.bincount(own, _softplus(z[known]), n_d)
+        total = _softplus(c) + np.bincount(own, _softplus(z), n_d)
         clean = np.exp(-np.minimum(total, 50))
         # d loss / d total: 1 for a clean document, -clean / (1 - clean) for a toxic one
         slope = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-6), 1.0) / n_d
-        dz = slope[doc] / (1 + np.exp(-np.clip(z, -40, 40)))
-        g, h, k = np.bincount(local, dz[sentence], len(ids)), dz[known].sum(), slope.sum() / (1 + np.exp(-c))
+        dz = slope[own] / (1 + np.exp(-np.clip(z, -40, 40)))
+        g, h, k = np.bincount(local, dz[sentence], len(ids)), dz.sum(), slope.sum() / (1 + np.exp(-c))
         gw += g * g
         gb += h * h
         gc += k * k
@@ -103,16 +107,23 @@ def train(buckets, sentence, doc, labels, rounds: int = 250, rate: float = 0.3,
     return Model(float(c), float(b), weights)
 
 
+def bags(texts: pa.Array):
+    """sentences() of many texts, extracted a few megabytes at a time: buckets, sentence of each, row of each sentence."""
+    parts, n_s, n_d = [], 0, 0
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 1 << 20):
+        b, s, d, _ = sentences(*text_bytes(part.column("text")))
+        parts.append((b.astype(np.int32), (s + n_s).astype(np.int32), (d + n_d).astype(np.int32)))
+        n_s, n_d = n_s + len(d), n_d + part.num_rows
+    return [np.concatenate([p[i] for p in parts]) for i in range(3)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 5000, max_chars: int = 20_000, n: int = 4, fold: int = 2) -> Model:
     """Train on a bounded sample of labelled documents outside the held-out fold."""
-    rows = training_rows(docs, labels, "toxic", n, fold, max_docs, max_chars).orderBy("doc_id").toArrow()
+    rows = training_rows(docs, labels, "toxic", n, fold, max_docs, max_chars).toArrow()
     if not rows.num_rows:
         return Model(-6.0, -10.0, np.zeros(1 << BITS, np.float32))
-    texts = pa.concat_arrays(rows.column("text").chunks)
-    data, offsets = text_bytes(texts)
-    _, single = np.unique(hash_spans(data, offsets[:-1], offsets[1:]), return_index=True)  # copies count once
-    buckets, sentence, doc, _ = sentences(*text_bytes(texts.take(pa.array(np.sort(single)))))
-    return train(buckets, sentence, doc, rows.column("label").to_numpy()[np.sort(single)])
+    texts, label = distinct_texts(rows)
+    return train(*bags(texts), label)
 
 
 def score_rows(model: Model, data: np.ndarray, offsets: np.ndarray):
