@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns a DataFrame,
 which is written as Parquet and read again as the next stage's docs.  All but the last return the columns
-of documents.
+of documents.  Null and empty texts hold nothing toxic, repeated or leaked, so they pass every filter and encode
+to no ids; the near-duplicate stage makes rows of one doc_id and text one.  Empty tables give empty results,
+and further columns of documents are carried along to the last stage.
 """
 
 from __future__ import annotations
