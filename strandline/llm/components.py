@@ -92,8 +92,8 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
     components and may link are tested, so no link between components is lost; there the condition is
     part of the join, so pairs that can't link are never sent on.
     """
-    degree = first.join(first.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("id").agg(F.sum("size").alias("degree"))
-    degree = ws.stored(degree, "degree")
+    sizes = ws.stored(first.groupBy("key").agg(F.count("*").alias("size")), "sizes")  # a plain table, so that a hot key's join can be split
+    degree = ws.stored(first.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree")), "degree")
     info = ws.stored(marks(degree.select("id")), "marks")
     near = ws.stored(first.join(degree, "id"), "near")
     ws.drop(first)
@@ -110,9 +110,12 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
             if not own.take(1):
                 break
         if i < stars:
-            rank = F.struct(-F.col("degree"), F.col("id")) if i == 0 else F.struct(F.xxhash64("id", F.lit(i)), F.col("id"))
-            head = own.groupBy("key").agg(F.min(rank).alias("head")).select("key", F.col("head.id").alias("id"))
-            centres = own.join(head, ["key", "id"]).alias("y")
+            # one number, so that hash aggregation finds the least; members that tie are all centres
+            chance = F.xxhash64("id", F.lit(i))
+            rank = chance.bitwiseAND((1 << 20) - 1) - F.least("degree", F.lit(1 << 42)) * (1 << 20) if i == 0 else chance
+            own = own.withColumn("rank", rank)
+            head = own.groupBy("key").agg(F.min("rank").alias("rank"))
+            centres = own.join(head, ["key", "rank"]).alias("y")
             pairs = own.alias("x").join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
         else:
             marked = own.join(info, "id")

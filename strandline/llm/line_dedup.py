@@ -30,7 +30,7 @@ WIDTH, BANDS, ROWS = 8, 8, 4
 #: From so many distinct shingles on signatures use eight bins, and one for each value.
 SHORT, LONG = 64, 160
 MOST = LONG * 5 // 4
-SLICE = 1 << 20
+SLICE = 1 << 18
 _SEEDS = constants(BANDS * ROWS, 77)
 _BEYOND_ASCII = U(0x8080808080808080)
 
