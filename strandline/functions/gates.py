@@ -26,3 +26,24 @@ def speaking_click(window_ms: Column, other_present: Column, other_closed: Colum
 def anti_click(target_sim: Column, target_mar: Column, voiced: Column, same_min: float = 0.40, mar_on: float = 0.15) -> Column:
     """Guardrails of a click on another speaker; a null target_mar means that the target isn't seen."""
     return F.when(target_sim >= same_min, "anti_click_matches_target").when(target_mar >= mar_on, "target_lips_open_at_anti_click").when(~voiced, "no_audio_energy_at_anti_click")
+
+
+def mixed_trap(sim: Column, limit: float = 0.60) -> Column:
+    """Whether an anti-profile window is to be discarded: it sounds too much like the target."""
+    return F.coalesce(sim > limit, F.lit(False))
+
+
+def batch_end(verified_ms: Column, state: Column, variance: Column, marginal_ms: int = 20_000, variance_high: float = 0.05) -> Column:
+    """What the end of a batch says of an enrollment: a halt, a warning, or null."""
+    failed = (verified_ms < marginal_ms) | (state == "INSUFFICIENT")
+    return F.when(failed, "critical_enrollment_failure").when(variance > variance_high, "high_pool_variance_operator_review")
+
+
+def clamp_local(pts: Column, start: Column, duration: Column) -> Column:
+    """A local time held within its recording."""
+    return F.least(F.greatest(pts, start), start + duration)
+
+
+def activity_review(ratio_level: Column) -> Column:
+    """The warning that a file with next to no target speech gets."""
+    return F.when(ratio_level == "NEAR_ZERO_ALERT", "near_zero_activity_manual_review")

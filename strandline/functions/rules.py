@@ -62,7 +62,7 @@ def tier(target: Column, other: Column, high: Column, med: Column, p: TierParams
 
 
 def activity_level(ratio: Column) -> Column:
-    return F.when(ratio.isNull(), "NO_SPEECH").when(ratio > 0.25, "NORMAL").when(ratio >= 0.10, "LOW_ADVISORY").otherwise("VERY_LOW")
+    return F.when(ratio.isNull(), "NO_SPEECH").when(ratio > 0.25, "NORMAL").when(ratio >= 0.10, "LOW_ADVISORY").otherwise("NEAR_ZERO_ALERT")
 
 
 def contamination_level(similarity: Column) -> Column:

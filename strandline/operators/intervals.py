@@ -54,7 +54,7 @@ def near(points: DataFrame, segments: DataFrame, ids: list[str], at: str, tolera
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, take: list[str], within: int | None = None) -> DataFrame:
     """left with the right row nearest in time (of two as near the earlier; of equal times the one with the least `take`).
 
-    One sort of both sides together and two running values: no join, so a hot key costs a sort only.
+    One exchange of both sides together, two sorts and two running values: no join, so a hot key costs its sorts only.
     """
     value = F.struct(F.col(right_at).alias("at"), *(F.col(c).alias(c) for c in take))
     rights = right.groupBy(key, right_at).agg(F.min(F.struct(*take)).alias("__t")).select(key, right_at, "__t.*") if take else right.select(key, right_at).distinct()
@@ -64,7 +64,9 @@ def asof_nearest(left: DataFrame, right: DataFrame, key: str, left_at: str, righ
     w = Window.partitionBy("__k").orderBy("__at", "__side")
     both = l.unionByName(r)
     both = both.withColumn("__p", F.last("__v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("__n", F.first("__v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    # backwards a running value again: a frame that ends at the last row would be computed anew for every row
+    back = Window.partitionBy("__k").orderBy(F.desc("__at"), F.desc("__side")).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__n", F.last("__v", ignorenulls=True).over(back))
     out = both.where("__side = 1")
     ahead, behind = F.col("__n.at") - F.col("__at"), F.col("__at") - F.col("__p.at")
     best = F.when(F.col("__p").isNull() | (ahead < behind), F.col("__n")).otherwise(F.col("__p"))

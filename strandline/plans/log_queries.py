@@ -10,7 +10,7 @@ from ..streaming import windows as st
 from .registry import ORACLES, query
 from .rule_queries import frames
 from .vector_queries import _TIERED, tiers
-from .views import spans, spans_sql, table
+from .views import shared_path, spans, spans_sql, table
 
 _PAYLOAD = """'{"event_id":' || event_id || ',"kind":"' || event_type || '"}'"""
 _LOG = f"(SELECT user_id, event_id, event_type AS operation, epoch_us(ts) // 10000000 AS start_ms, event_id % 5 AS file_index, {_PAYLOAD} AS payload FROM events)"
@@ -110,14 +110,7 @@ def s_late(spark, d):
 
 def _streamed(spark, stream, name):
     """Run a stream to its end and read what it wrote."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="strandline-")
-    at = f"{base.rstrip('/')}/strandline/{name}-{uuid.uuid4().hex}"
+    at = shared_path(spark, name)
     q = stream.writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
@@ -142,10 +135,7 @@ def s_sessions(spark, d):
 @query("s_speaking_stream", f"SELECT * FROM ({ORACLES['w14_speaking_windows']}) WHERE reason <> 'end_of_video'")
 def s_fsm(spark, d):
     """The machine as a stream over stored frames; equals w14 without the windows that the end closes."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp"
-    at = f"{base.rstrip('/')}/strandline/frames-{uuid.uuid4().hex}"
+    at = shared_path(spark, "frames")
     f = frames(spark, d)
     f.write.parquet(at)
     return _streamed(spark, st.speaking_windows_stream(spark.readStream.schema(f.schema).parquet(at)), "speaking")

@@ -84,7 +84,7 @@ def c3(spark, d):
     return table(spark, d, "events").select("event_id", rules.contamination_level(F.col("value") / 490).alias("level"))
 
 
-@query("a8_activity_levels", "SELECT event_id, CASE WHEN event_type = 'error' THEN 'NO_SPEECH' WHEN value / 100 > 0.25 THEN 'NORMAL' WHEN value / 100 >= 0.1 THEN 'LOW_ADVISORY' ELSE 'VERY_LOW' END AS level FROM events")
+@query("a8_activity_levels", "SELECT event_id, CASE WHEN event_type = 'error' THEN 'NO_SPEECH' WHEN value / 100 > 0.25 THEN 'NORMAL' WHEN value / 100 >= 0.1 THEN 'LOW_ADVISORY' ELSE 'NEAR_ZERO_ALERT' END AS level FROM events")
 def a8(spark, d):
     ratio = F.when(F.col("event_type") != "error", F.col("value") / 100)
     return table(spark, d, "events").select("event_id", rules.activity_level(ratio).alias("level"))
@@ -186,7 +186,10 @@ def l1(spark, d):
     s = F.round(cosine(F.col("v"), F.col("mean")), 6)
     good = (F.col("label") == 0) & (F.col("s") >= 0.1)
     per_file = v.join(F.broadcast(seed)).withColumn("s", s).groupBy("file_index").agg(F.count_if(good).alias("accepted"), F.coalesce(F.sum(F.when(good, F.col("dur_ms"))), F.lit(0)).alias("ms"))
-    # one row a file by now; the running sum orders files
-    running = F.sum("ms").over(Window.partitionBy(F.lit(0)).orderBy("file_index"))
-    out = per_file.withColumn("verified_ms", running)
+    # running sums within ranges of files, each range after what the ranges before it total; only those totals, one for 1,024 files, meet in one task
+    ranged = per_file.withColumn("range", F.expr("file_index div 1024"))
+    totals = ranged.groupBy("range").agg(F.sum("ms").alias("total"))
+    before = totals.select("range", (F.sum("total").over(Window.orderBy("range")) - F.col("total")).alias("before"))
+    inner = F.sum("ms").over(Window.partitionBy("range").orderBy("file_index"))
+    out = ranged.withColumn("inner", inner).join(before, "range").withColumn("verified_ms", F.col("inner") + F.col("before"))
     return out.select("file_index", "accepted", "verified_ms", rules.quality_state(F.col("verified_ms"), F.lit(0.0), F.lit(True)).alias("state"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import TierParams
 from ..functions.vectors import cosine, normalize
 from ..operators import islands as isl
-from ..operators import pools, tracking
+from ..operators import pairing, pools, tracking
 from .registry import query
 from .views import VECTORS, table, vectors
 
@@ -137,20 +137,32 @@ def w15(spark, d):
     return tracking.plan_windows(files(spark, d)).select("file_index", "ws", "we")
 
 
-@query("v10_chunks", "SELECT l_orderkey, l_linenumber, g AS chunk, g * 58000 AS start_ms, least(g * 58000 + 60000, dur) AS end_ms FROM (SELECT *, unnest(range(0, greatest(ceil((dur - 2000) / 58000)::BIGINT, 1))) AS g FROM (SELECT l_orderkey, l_linenumber, l_quantity::BIGINT * 5000 AS dur FROM lineitem WHERE l_linenumber <= 2))")
+@query("v10_chunks", "SELECT l_orderkey, l_linenumber, g AS chunk, g * 58000 AS start_ms, least(g * 58000 + 60000, dur) AS end_ms FROM (SELECT *, unnest(range(0, greatest(ceil((dur - 2000) / 58000)::BIGINT, 1))) AS g FROM (SELECT l_orderkey, l_linenumber, l_quantity::BIGINT * 5000 AS dur FROM lineitem))")
 def v10(spark, d):
-    l = table(spark, d, "lineitem").where("l_linenumber <= 2").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("long") * 5000).alias("duration_ms"))
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("long") * 5000).alias("duration_ms"))
     return tracking.plan_chunks(l).select("l_orderkey", "l_linenumber", "chunk", "start_ms", "end_ms")
 
 
+#: One window a vector; the seconds of vectors of label 0 are speech.
+_SPOKEN = f"(SELECT a.vec_id, a.file_index, a.pos, 1000 * count(b.vec_id) AS overlap_ms FROM {VECTORS} a LEFT JOIN {VECTORS} b ON b.file_index = a.file_index AND b.label = 0 AND b.pos BETWEEN a.pos AND a.pos + 4 GROUP BY ALL)"
+
+
+def spoken_windows(spark, d):
+    """Windows with their speech overlap, and whether it is enough for scoring."""
+    v = vectors(spark, d).select("vec_id", "file_index", "pos", "label", (F.col("pos") * 1000).alias("start_ms"))
+    speech = v.where("label = 0").select("file_index", "start_ms", (F.col("start_ms") + 1000).alias("end_ms"))
+    return pairing.speech_share(v.drop("label").withColumn("end_ms", F.col("start_ms") + 5000), speech, ["vec_id"], "file_index")
+
+
 def windows(spark, d):
-    """Scored windows: one a vector; those at positions 0 to 2 of ten lack speech and are skipped."""
-    return scores(spark, d).where("pos % 10 > 2").select("file_index", (F.col("pos") * 1000).alias("ws"), (F.col("pos") * 1000 + 5000).alias("we"), "s_t", "s_i")
+    """Scored windows; those with too little speech are skipped."""
+    enough = spoken_windows(spark, d).where("scored").select("vec_id")
+    return scores(spark, d).join(enough, "vec_id").select("file_index", (F.col("pos") * 1000).alias("ws"), (F.col("pos") * 1000 + 5000).alias("we"), "s_t", "s_i")
 
 
 _POOLED = f"""(SELECT file_index, block_index, coalesce(n, 0) AS evaluations, s_t AS s_target, s_i AS s_other
     FROM (SELECT file_index, unnest(range(0, duration_ms // 1000)) AS block_index FROM {_FILES})
-    LEFT JOIN (SELECT file_index, b AS block_index, count(*) AS n, median(s_t) AS s_t, median(s_i) AS s_i FROM (SELECT *, unnest(range(pos, pos + 5)) AS b FROM {_SCORES} WHERE pos % 10 > 2) GROUP BY ALL) USING (file_index, block_index))"""
+    LEFT JOIN (SELECT file_index, b AS block_index, count(*) AS n, median(s_t) AS s_t, median(s_i) AS s_i FROM (SELECT *, unnest(range(pos, pos + 5)) AS b FROM {_SCORES} WHERE vec_id IN (SELECT vec_id FROM {_SPOKEN} WHERE overlap_ms >= 1000)) GROUP BY ALL) USING (file_index, block_index))"""
 
 
 def pooled(spark, d):
@@ -220,7 +232,7 @@ def w18(spark, d):
 
 
 @query("a7_file_summary", "SELECT file_index, " + ", ".join(f"n_{t}" for t in ("high", "medium", "sub", "reject", "skipped")) + f""", high_ms, silero_ms, round(high_ms / nullif(silero_ms, 0), 6) AS ratio,
-    CASE WHEN silero_ms = 0 THEN 'NO_SPEECH' WHEN high_ms / silero_ms > 0.25 THEN 'NORMAL' WHEN high_ms / silero_ms >= 0.10 THEN 'LOW_ADVISORY' ELSE 'VERY_LOW' END AS ratio_level, greatest(silero_ms - high_ms, 0) AS unattributed_ms
+    CASE WHEN silero_ms = 0 THEN 'NO_SPEECH' WHEN high_ms / silero_ms > 0.25 THEN 'NORMAL' WHEN high_ms / silero_ms >= 0.10 THEN 'LOW_ADVISORY' ELSE 'NEAR_ZERO_ALERT' END AS ratio_level, greatest(silero_ms - high_ms, 0) AS unattributed_ms
     FROM (SELECT file_index, {", ".join(f"count(*) FILTER (tier = '{t.upper()}') AS n_{t}" for t in ("high", "medium", "sub", "reject", "skipped"))} FROM {_TIERED} GROUP BY 1)
     JOIN (SELECT file_index, coalesce(sum(ne - ns) FILTER (ns < ne), 0)::BIGINT AS high_ms FROM {_FILES} LEFT JOIN {_REFINED} USING (file_index) GROUP BY 1) USING (file_index)
     JOIN (SELECT file_index, sum(dur_ms)::BIGINT AS silero_ms FROM {VECTORS} GROUP BY 1) USING (file_index)""")
