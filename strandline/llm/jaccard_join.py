@@ -99,10 +99,14 @@ def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def sketch_bits(grams: np.ndarray) -> np.ndarray:
+    """The bit of a sketch that each shingle flips."""
+    return (mix(grams ^ _SEG[3]) >> U(54)).astype(np.int64)  # 1024 bits
+
+
 def sketch(grams: np.ndarray) -> np.ndarray:
     """The parity sketch: 64 * SKETCH_WORDS bits as longs."""
-    bit = (mix(grams ^ _SEG[3]) >> U(54)).astype(np.int64)  # 1024 bits
-    odd = (np.bincount(bit, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    odd = (np.bincount(sketch_bits(grams), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .arrays import SEPARATORS, U, constants, eight_bytes, hash_spans, mix, slices, text_bytes
 from .components import bit_table, linked_components, shared_rows
-from .jaccard_join import may_link, sketch
+from .jaccard_join import SKETCH_WORDS, may_link, sketch_bits
 from .storage import Workspace, stored
 from .text_stats import LEADS
 
@@ -192,6 +192,20 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
     return [np.unique(g[a:b]) for a, b in zip(bounds, bounds[1:])]
 
 
+def line_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of distinct shingles, and the parity sketch (jaccard_join.sketch), of each line in a column."""
+    data, offsets = text_bytes(column)
+    g, line = line_shingles(data, offsets[:-1], offsets[1:])
+    order = np.lexsort((g, line))
+    g, line = g[order], line[order]
+    first = np.ones(len(g), bool)
+    first[1:] = (g[1:] != g[:-1]) | (line[1:] != line[:-1])
+    g, line = g[first], line[first]
+    n, wide = len(column), 64 * SKETCH_WORDS
+    odd = np.bincount(line * wide + sketch_bits(g), minlength=n * wide).astype(np.uint8) & 1
+    return np.bincount(line, minlength=n).astype(np.int64), np.packbits(odd.reshape(n, wide), axis=1, bitorder="little").view(np.int64)
+
+
 class Verifier:
     """Exact Jaccard on the texts of candidate lines, which one scan of the documents gathers."""
 
@@ -223,9 +237,10 @@ class Verifier:
 
         def marked(batches):
             for batch in batches:
-                for part in slices(batch, "text", 1 << 20):
-                    sets = _sets(part.column("text"))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.array([len(x) for x in sets], np.int64)), pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))], names=["id", "h2", "text", "n_shingles", "sketch"])
+                for part in slices(batch, "text", SLICE):
+                    n, sketches = line_marks(part.column("text"))
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * SKETCH_WORDS), pa.array(sketches.ravel()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n), lists], names=["id", "h2", "text", "n_shingles", "sketch"])
 
         self.texts = self.ws.stored(found.mapInArrow(marked, "id bigint, h2 bigint, text string, n_shingles bigint, sketch array<bigint>"), "line-texts")
         return self.texts.select("id", "n_shingles", "sketch")

@@ -477,6 +477,13 @@ def test_union_find(spark):
     assert got == {i: want[i] for e in edges if e[0] != e[1] for i in e}
 
 
+def test_marks_of_lines():
+    texts = pa.array(["abcdefgh" * 9, "x", "", "short", "éa" * 30, "the quick brown fox jumps over the lazy dog"])
+    n, sketches = line_dedup.line_marks(texts)
+    for i, s in enumerate(line_dedup._sets(texts)):
+        assert n[i] == len(s) and (sketches[i] == jaccard_join.sketch(s)).all()
+
+
 def test_lines_equal_brute_force(spark):
     rng = random.Random(21)
     letters = "abcdefghijklmnopqrstuvwxyz    "
