@@ -31,6 +31,8 @@ from .labelled import distinct_texts, held_out, remainder
 BITS, DIM = 15, 12
 #: Least number of steps of gradient descent.
 STEPS = 210
+#: Parts of a language, by hash of doc_id, that a sample is taken from alike.
+PARTS = 16
 #: Letters stay (ASCII case-folded), bytes over 127 stay, all else becomes the word-end mark 0.
 FOLD = np.array([b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 0 for b in range(256)], np.uint8)
 
@@ -194,10 +196,10 @@ def fit(docs: DataFrame, per_lang: int = 600, max_docs: int = 2500, max_chars: i
     """
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= max_chars) & (remainder(n) != fold))
     ranked = usable.select("doc_id", "lang").withColumn("h", F.xxhash64("doc_id"))
-    # least hashes of each part of a language first, so that no task sorts a whole language
-    best = lambda df, *by: df.withColumn("i", F.row_number().over(Window.partitionBy("lang", *by).orderBy("h", "doc_id"))).where(F.col("i") <= per_lang)
-    few = best(ranked.withColumn("part", F.pmod("h", F.lit(256))), "part").dropDuplicates(["doc_id", "lang"])
-    chosen = best(few).orderBy("i", "h").limit(max_docs).select("doc_id", "lang")
+    # the least hashes of each of PARTS parts of a language, so that no task sorts a whole language
+    least = lambda df, n, *by: df.withColumn("i", F.row_number().over(Window.partitionBy("lang", *by).orderBy("h", "doc_id"))).where(F.col("i") <= n)
+    few = least(ranked.withColumn("part", F.pmod("h", F.lit(PARTS))), -(-per_lang // PARTS), "part").dropDuplicates(["doc_id", "lang"])
+    chosen = least(few, per_lang).orderBy("i", "h").limit(max_docs).select("doc_id", "lang")
     rows = usable.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).orderBy("doc_id").toArrow()
     if not rows.num_rows:
         return Model(["und"], np.zeros((1 << BITS, 1), np.float32), np.zeros(1), 1.0, np.zeros(1 << BITS, bool), np.array([-10.0, 0.0, 0.0]))
