@@ -98,7 +98,7 @@ def unwrap(entries: DataFrame) -> DataFrame:
 
 def verdict(tier: Column, target: Column, other: Column, margin_failed: Column, high: float, med: float, margin: float, floor: float) -> Column:
     """A sentence for a block's tier."""
-    f = lambda c, places=3: F.coalesce(F.format_string(f"%.{places}f", c), F.lit("-"))
+    f = lambda c, places=3: F.when(c.isNull(), "-").otherwise(F.format_string(f"%.{places}f", c))
     t, h, m = f(target), f"{high:.3f}", f"{med:.3f}"
     gap = f(target - other)
     return (
