@@ -16,6 +16,21 @@ def weighted_mean(df: DataFrame, keys: list[str], vector: str, weight: Column) -
     return dims.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__m"))), lambda s: s["__m"]).alias("mean"))
 
 
+def window_vectors(chunks: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    """keys, n_chunks, duration_ms and vector of each window, from the vectors of its chunks (start_ms, end_ms).
+
+    Chunks are weighed by their durations and the mean is normalised; the vector of a window of one chunk stays as it is.
+    A window lasts from its first chunk's start to its last one's end.  A window of several chunks that all last 0 ms fails.
+    """
+    each = chunks.select(*keys, "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).cast("double").alias("__w"), F.posexplode(vector).alias("__i", "__x"))
+    total = F.when(F.sum("__w") > 0, F.sum("__w")).otherwise(F.raise_error(F.lit("a window's total duration must be positive")).cast("double"))
+    mean = F.when(F.count("*") == 1, F.min("__x")).otherwise(F.sum(F.col("__w") * F.col("__x")) / total)
+    dims = each.groupBy(*keys, "__i").agg(mean.alias("__m"), F.count("*").alias("n_chunks"), (F.max("end_ms") - F.min("start_ms")).alias("duration_ms"))
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("__i", "__m"))), lambda s: s["__m"])
+    windows = dims.groupBy(*keys, "n_chunks", "duration_ms").agg(mean.alias("vector"))
+    return windows.withColumn("vector", F.when(F.col("n_chunks") == 1, F.col("vector")).otherwise(normalize(F.col("vector"))))
+
+
 def leave_one_out(df: DataFrame, keys: list[str], vector: str, weight: str) -> DataFrame:
     """df with loo: cosine of each vector to the weighted mean of the others; keys with one vector give no row.
 

@@ -64,9 +64,10 @@ def loo(spark, d):
     return pools.leave_one_out(pool, ["label"], "v", "dur_ms").select("vec_id", (F.round("loo", 6) + 0.0).alias("loo"))
 
 
-@query("v5_leave_one_out", f"SELECT vec_id, loo FROM {_LOO}")
+@query("v5_leave_one_out", f"""SELECT vec_id, round(list_cosine_similarity(any_value(v), list(rest ORDER BY i)), 6) + 0.0 AS loo FROM (SELECT a.vec_id, a.v, t.i, t.s - a.v[t.i] * a.dur_ms AS rest
+    FROM {VECTORS} a JOIN (SELECT label, i, sum(v[i] * dur_ms) AS s, count(*) AS n FROM {VECTORS}, range(1, 65) r(i) GROUP BY label, i) t ON t.label = a.label AND t.n > 1) GROUP BY vec_id""")
 def v5(spark, d):
-    return loo(spark, d)
+    return pools.leave_one_out(vectors(spark, d), ["label"], "v", "dur_ms").select("vec_id", (F.round("loo", 6) + 0.0).alias("loo"))
 
 
 @query("v6_pair_variance", f"SELECT a.label, count(*) AS pairs, round(var_pop(list_cosine_similarity(a.v, b.v)), 6) AS variance FROM {VECTORS} a JOIN {VECTORS} b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1")
@@ -91,12 +92,12 @@ def v12(spark, d):
     return s.select(F.round("s", 6).alias("similarity"), contamination_level(F.col("s")).alias("level"))
 
 
-@query("v14_consensus_anchor", f"""WITH a AS {sql_mean('label = 0 AND vec_id < 60')}, k AS (SELECT v.vec_id, v.v, v.dur_ms FROM {VECTORS} v, a WHERE round(list_cosine_similarity(v.v, a.m), 6) >= 0.15),
+@query("v14_consensus_anchor", f"""WITH a AS {sql_mean('label = 0 AND dur_ms >= 3000')}, k AS (SELECT v.vec_id, v.v, v.dur_ms FROM {VECTORS} v, a WHERE round(list_cosine_similarity(v.v, a.m), 6) >= 0.15),
     b AS (SELECT list(x ORDER BY i) AS m FROM (SELECT i, sum(v[i] * dur_ms) / sum(dur_ms) AS x FROM k, range(1, 65) t(i) GROUP BY i))
     SELECT k.vec_id, round(list_cosine_similarity(k.v, b.m), 6) + 0.0 AS similarity, round(list_cosine_similarity(k.v, b.m), 6) < 0.3 AS outlier FROM k, b""")
 def v14(spark, d):
     v = vectors(spark, d)
-    anchor = pools.weighted_mean(v.where("label = 0 and vec_id < 60"), [], "v", F.col("dur_ms")).withColumnRenamed("mean", "anchor")
+    anchor = pools.weighted_mean(v.where("label = 0 and dur_ms >= 3000"), [], "v", F.col("dur_ms")).withColumnRenamed("mean", "anchor")
     near = v.join(F.broadcast(anchor)).where(F.round(cosine(F.col("v"), F.col("anchor")), 6) >= 0.15).select("vec_id", "v", "dur_ms")
     consensus = pools.weighted_mean(near, [], "v", F.col("dur_ms"))
     s = F.round(cosine(F.col("v"), F.col("mean")), 6) + 0.0
@@ -143,6 +144,15 @@ def v10(spark, d):
     return tracking.plan_chunks(l).select("l_orderkey", "l_linenumber", "chunk", "start_ms", "end_ms")
 
 
+@query("v10_window_vectors", f"""WITH d AS (SELECT file_index, label, i, count(*) AS n_chunks, (max(pos * 1000 + dur_ms) - min(pos * 1000))::BIGINT AS duration_ms, sum(v[i] * dur_ms) / sum(dur_ms) AS m FROM {VECTORS}, range(1, 65) t(i) GROUP BY ALL)
+    SELECT file_index, label, n_chunks, duration_ms, i::BIGINT - 1 AS dim, round(CASE WHEN n_chunks = 1 THEN m ELSE m / sqrt(sum(m * m) OVER (PARTITION BY file_index, label)) END, 6) + 0.0 AS x FROM d""")
+def v10_pooled(spark, d):
+    chunks = vectors(spark, d).withColumn("start_ms", F.col("pos") * 1000).withColumn("end_ms", F.col("start_ms") + F.col("dur_ms"))
+    pooled = pools.window_vectors(chunks, ["file_index", "label"], "v")
+    each = pooled.select("file_index", "label", "n_chunks", "duration_ms", F.posexplode("vector").alias("p", "x"))
+    return each.select("file_index", "label", "n_chunks", "duration_ms", F.col("p").cast("long").alias("dim"), (F.round("x", 6) + 0.0).alias("x"))
+
+
 #: One window a vector; the seconds of vectors of label 0 are speech.
 _SPOKEN = f"(SELECT a.vec_id, a.file_index, a.pos, 1000 * count(b.vec_id) AS overlap_ms FROM {VECTORS} a LEFT JOIN {VECTORS} b ON b.file_index = a.file_index AND b.label = 0 AND b.pos BETWEEN a.pos AND a.pos + 4 GROUP BY ALL)"
 

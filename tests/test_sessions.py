@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.operators import audit, sessions
+from strandline.operators import audit, pools, sessions
 from strandline.sources import clicks
 
 
@@ -85,3 +85,16 @@ def test_texts_and_timeline(spark):
     assert got[0] == "EXCLUDED: simultaneous speech in 1-5 ms" and "bridged" not in got[1] and got[2].startswith("The speaking window lasts ? ms")
     face = sessions.timeline(row).first()
     assert face.vad is False and tuple(face.faces[0]) == ([1.3], None, 0.123, 3.1)
+
+
+def test_window_vectors(spark):
+    rows = [(1, 0, 60_000, [1.0, 0.0]), (1, 58_000, 78_000, [0.0, 1.0]), (2, 0, 5_000, [0.3, 0.4]), (None, 0, 1_000, [2.0, 0.0]), (None, 0, 1_000, [2.0, 0.0])]
+    chunks = spark.createDataFrame(rows, "w int, start_ms long, end_ms long, v array<double>")
+    got = {r.w: r for r in pools.window_vectors(chunks, ["w"], "v").collect()}
+    assert (got[1].n_chunks, got[1].duration_ms) == (2, 78_000)
+    assert got[1].vector == pytest.approx([3 / 10**0.5, 1 / 10**0.5])
+    assert got[2].vector == [0.3, 0.4]
+    assert got[None].vector == pytest.approx([1.0, 0.0])
+    assert pools.window_vectors(chunks.where("false"), ["w"], "v").count() == 0
+    with pytest.raises(Exception, match="total duration"):
+        pools.window_vectors(chunks.withColumn("end_ms", chunks.start_ms), ["w"], "v").collect()
