@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, piece_codec, quality_fm, quality_rules, recompression, secret_scan, toxicity
+from . import decontaminate, jaccard_join, language_id, line_dedup, lloyd, piece_codec, quality_fm, quality_rules, ranked_search, recompression, secret_scan, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,13 +58,39 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_substring_dedup, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_line_dedup, op10_toxicity)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_quality_classifier, op3_substring_dedup, op4_language_id, op5_sentencepiece, op6_quality_rules, op7_ngram_jaccard_join,
+        op8_secret_scan, op9_line_dedup, op10_toxicity, op11_centroid_clustering, op12_ranked_search, op13_simhash,
+    )
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RULE_ROWS = " UNION ALL ".join(
     f"SELECT doc_id, {i} AS rule, '{k}' AS kind, regexp_extract_all(t, '{p.replace("'", "''")}') AS m, string_split_regex(t, '{p.replace("'", "''")}') AS g FROM docs"
     for i, (k, p) in enumerate(secret_scan.RULES.items())
 )
+#: A Lloyd round in SQL: the assignment to the centroids c{i}, and the centroids after it.
+_ASSIGNED = "SELECT vec_id, q, arg_min(c, d * 64 + c) AS c, min(d) AS d FROM (SELECT vec_id, q, c, list_sum(list_transform(list_zip(q, v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM q, c{i}) GROUP BY vec_id, q"
+_ROUND = """a{i} AS MATERIALIZED ({assigned}),
+        s{i} AS (SELECT c, j, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(q) AS x, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY c, j),
+        m{i} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS v FROM s{i} GROUP BY c),
+        c{n} AS MATERIALIZED (SELECT c{i}.c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))"""
+_ROUNDS = ", ".join(_ROUND.format(i=i, n=i + 1, assigned=_ASSIGNED.format(i=i)) for i in range(5))
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_UPPER, _LOWER)
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
 
 ORACLES: dict[str, str] = {
@@ -103,4 +129,20 @@ ORACLES: dict[str, str] = {
             string_agg(txt, ',' ORDER BY s, rule) FILTER (rule < 3) AS base, string_agg(txt, ',' ORDER BY s, rule) AS spans FROM kept GROUP BY doc_id)
         SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM docs LEFT JOIN by_doc USING (doc_id)""",
+    "op11_centroid_clustering": f"""
+        WITH q AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, q AS v FROM q ORDER BY sha256('2:' || vec_id) LIMIT 40),
+        {_ROUNDS},
+        f AS MATERIALIZED ({_ASSIGNED.format(i=5)})
+        SELECT vec_id, f.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY f.c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256 FROM f JOIN c5 USING (c)""",
+    "op12_ranked_search": f"""
+        WITH t AS MATERIALIZED (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM t GROUP BY 1),
+        z AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM n),
+        q AS MATERIALIZED (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        p AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM t SEMI JOIN q USING (term) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY 1), z),
+        s AS (SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // l))))::BIGINT AS score FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (doc_id), z GROUP BY ALL)
+        SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0) WHERE rank <= 20""",
 }
