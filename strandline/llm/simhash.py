@@ -98,8 +98,9 @@ def steps(parts: int, radius: int) -> list[int]:
 def links_within(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that connect what links of the radius connect between two chunks (`same`: within one), at most one a member."""
     left, right = [], []
+    x, y = a.view(U), b.view(U)  # of signed integers numpy counts the magnitude's bits
     for lo in range(0, len(a), BLOCK):
-        i, j = np.nonzero(np.bitwise_count(a[lo : lo + BLOCK, None] ^ b[None, :]) <= radius)
+        i, j = np.nonzero(np.bitwise_count(x[lo : lo + BLOCK, None] ^ y[None, :]) <= radius)
         if same:
             i, j = i[i + lo < j], j[i + lo < j]
         if len(i):
