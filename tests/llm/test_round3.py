@@ -263,3 +263,16 @@ def test_simhash_uses_sparks_own_hash(spark):
 @pytest.mark.parametrize("name", ["op11_centroid_clustering", "op12_ranked_search", "op13_simhash"])
 def test_registered(spark, name):
     assert q.QUERIES[name](spark, SF).count() > 0
+
+
+# ---- 9: cutting lines
+
+
+def test_lines_are_cut_in_linear_time(spark):
+    """200,000 lines of one text, half of them to go; an expression that looks each number up in an array takes hours."""
+    from strandline.llm.line_dedup import _without
+
+    text = "\n".join(f"line {i}" for i in range(200_000))
+    df = spark.createDataFrame([(1, text, list(range(0, 200_000, 2))), (2, "a\nb\n", [1]), (3, None, [0]), (4, "\n\n", [])], "id long, text string, gone array<int>")
+    got = {r.id: r.left for r in df.select("id", _without("text", "gone").alias("left")).collect()}
+    assert got == {1: "\n".join(f"line {i}" for i in range(1, 200_000, 2)), 2: "a\n", 3: None, 4: "\n\n"}
