@@ -49,30 +49,6 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callab
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, out)
 
 
-def greedy_spacing(df: DataFrame, keys: list[str], at: str, least: int) -> DataFrame:
-    """Points at least `least` after the last accepted one."""
-
-    def step(last, row):
-        if last is not None and row[at] - last < least:
-            return last, ()
-        return row[at], ((row[at],),)
-
-    return ordered_fold(df.select(*keys, at), keys, [at], lambda: None, step, f"{at} bigint")
-
-
-def moving_average(df: DataFrame, keys: list[str], order: list[str], value: str, keep: list[str], span: int = 5) -> DataFrame:
-    """Causal exponential average with alpha 2 / (span + 1); a null resets it and the next value seeds it anew."""
-    alpha = 2.0 / (span + 1)
-
-    def step(ema, row):
-        x = row[value]
-        ema = None if x is None else x if ema is None else alpha * x + (1 - alpha) * ema
-        return ema, ((*(row[k] for k in keep), ema),)
-
-    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
-    return ordered_fold(df.select(*dict.fromkeys([*keys, *order, value, *keep])), keys, order, lambda: None, step, f"{types}, ema double")
-
-
 def greedy_clusters(df: DataFrame, keys: list[str], order: list[str], vector: str, keep: list[str], threshold: float) -> DataFrame:
     """Each vector joins the first cluster whose first member is similar enough, else begins one (number from 0)."""
 

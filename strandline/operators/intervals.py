@@ -1,8 +1,10 @@
 """Interval joins on integer time: overlap, semi, anti, sums, nearness, as-of, bridging.
 
-A plain overlap predicate plans as a nested loop.  Here both sides are cut into buckets of time, met
-by an equi-join on (key, bucket), and each pair is reported from its first common bucket only, so no
-distinct is needed.  bucket_ms should be near the usual interval length: rows grow by length / bucket.
+A plain overlap predicate plans as a nested loop.  Here intervals fall into classes by length, each 8 times the one before,
+and time into buckets of each class's length, so an interval touches two buckets of its own class or of a longer one.  Two intervals meet by an
+equi-join on (key, class, bucket) in the class of the longer one, where the shorter one is placed too if the other side has that class at all.  A row
+thereby takes two places for each class present, however long its interval is, and adaptive execution can split a hot bucket.
+Each pair is reported from its first common bucket only, so no distinct is needed.  bucket_ms, the length of the first class, should be near the usual interval length.
 Intervals are half-open; null bounds match nothing.
 """
 
@@ -11,20 +13,63 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Times a class is as long as the one before.
+FACTOR = 8
 
-def _bucketed(df: DataFrame, start: str, end: str, bucket_ms: int, name: str) -> DataFrame:
-    last = f"greatest({end} - 1, {start}) div {bucket_ms}"
-    return df.where(f"{start} is not null and {end} is not null").withColumn(name, F.explode(F.expr(f"sequence({start} div {bucket_ms}, {last})")))
 
+def _sizes(bucket_ms: int) -> list[int]:
+    sizes = [bucket_ms]
+    while sizes[-1] < 1 << 58:
+        sizes.append(sizes[-1] * FACTOR)
+    return sizes
 
-def interval_join(left: DataFrame, right: DataFrame, key: str = "key", bucket_ms: int = 4000, residual: Column | None = None) -> DataFrame:
-    """Pairs of overlapping (key, start_ms, end_ms) rows; right's columns come with the prefix r_."""
+
+def _array(sizes: list[int]) -> str:
+    return "array(" + ", ".join(f"{s}L" for s in sizes) + ")"
+
+
+def _class(start: str, end: str, sizes: list[int]) -> str:
+    """The number of the first class that is as long as the interval."""
+    return f"size(filter({_array(sizes)}, s -> s < {end} - {start}))"
+
+
+def _present(df: DataFrame, start: str, end: str, sizes: list[int], longest_ms: int | None) -> Column:
+    """The classes that df has, as bits; those up to longest_ms, if that is given."""
+    if longest_ms is not None:
+        return F.lit((2 << sum(longest_ms > s for s in sizes)) - 1).cast("bigint")
+    return df.select(F.expr(f"shiftleft(1L, {_class(start, end, sizes)})").alias("m")).agg(F.coalesce(F.bit_or("m"), F.lit(0).cast("bigint"))).scalar()
+
+
+def _placed(df: DataFrame, start: str, end: str, sizes: list[int], there: Column, side: int, name: str) -> DataFrame:
+    """df with its places (c, side, b, size): class, side, bucket and the class's length.
+
+    On side 0 left intervals are in their own class and right ones of no longer class come to them; on side 1 right intervals are in
+    their own class and left ones of a shorter class come to them.  So two intervals meet on one side, in one class.  `there` has the other input's classes.
+    """
+    known = df.where(f"{start} is not null and {end} is not null").withColumn("__own", F.expr(_class(start, end, sizes))).withColumn("__there", there)
+    longer, has = ("c > __own", "true") if side == 0 else ("c >= __own", "(__there & (shiftleft(1L, __own) - 1)) != 0")
+    both = f"""concat(filter(array(named_struct('c', __own, 'side', {side})), p -> {has}),
+        transform(filter(sequence(0, {len(sizes) - 1}), c -> {longer} and (__there & shiftleft(1L, c)) != 0), c -> named_struct('c', c, 'side', {1 - side})))"""
+    size = f"{_array(sizes)}[p.c]"
+    buckets = f"sequence({start} div {size}, greatest({end} - 1, {start}) div {size})"
+    places = f"flatten(transform({both}, p -> transform({buckets}, b -> named_struct('c', p.c, 'side', p.side, 'b', b, 'size', {size}))))"
+    return known.withColumn(name, F.explode(F.expr(places))).drop("__own", "__there")
+
+
+def interval_join(left: DataFrame, right: DataFrame, key: str = "key", bucket_ms: int = 4000, residual: Column | None = None, longest_ms: int | None = None) -> DataFrame:
+    """Pairs of overlapping (key, start_ms, end_ms) rows; right's columns come with the prefix r_.
+
+    longest_ms says that no interval of either side is longer, which saves looking which classes there are.
+    """
+    sizes = _sizes(bucket_ms)
     r = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))
-    l, r = _bucketed(left, "start_ms", "end_ms", bucket_ms, "__b"), _bucketed(r, "r_start_ms", "r_end_ms", bucket_ms, "__rb")
-    on = (F.col(key) == F.col(f"r_{key}")) & (F.col("__b") == F.col("__rb")) & (F.col("start_ms") < F.col("r_end_ms")) & (F.col("r_start_ms") < F.col("end_ms"))
+    there_l, there_r = _present(left, "start_ms", "end_ms", sizes, longest_ms), _present(r, "r_start_ms", "r_end_ms", sizes, longest_ms)
+    l, r = _placed(left, "start_ms", "end_ms", sizes, there_r, 0, "__p"), _placed(r, "r_start_ms", "r_end_ms", sizes, there_l, 1, "__q")
+    on = (F.col(key) == F.col(f"r_{key}")) & (F.col("__p.c") == F.col("__q.c")) & (F.col("__p.side") == F.col("__q.side")) & (F.col("__p.b") == F.col("__q.b"))
+    on = on & (F.col("start_ms") < F.col("r_end_ms")) & (F.col("r_start_ms") < F.col("end_ms"))
     on = on if residual is None else on & residual
-    once = F.expr(f"greatest(start_ms, r_start_ms) div {bucket_ms}") == F.col("__b")
-    return l.join(r, on & once).drop("__b", "__rb", f"r_{key}")
+    once = F.expr("greatest(start_ms, r_start_ms) div __p.size = __p.b")
+    return l.join(r, on & once).drop("__p", "__q", f"r_{key}")
 
 
 def interval_semi(left: DataFrame, right: DataFrame, ids: list[str], key: str = "key", bucket_ms: int = 4000, residual: Column | None = None) -> DataFrame:

@@ -76,9 +76,9 @@ def seed_excluded(spans: DataFrame, seeds: DataFrame, ids: list[str], key: str,
 
 
 def speech_share(windows: DataFrame, speech: DataFrame, ids: list[str], key: str, least: float = 0.20, bucket_ms: int = 4000) -> DataFrame:
-    """windows with overlap_ms and scored: whether speech covers at least that share of one; the others are to be reported as skipped."""
+    """windows with overlap_ms and scored: whether speech covers at least that share of one; the others, those of no length too, are to be reported as skipped."""
     out = overlap_ms(windows, speech, ids, key, bucket_ms)
-    return out.withColumn("scored", F.col("overlap_ms") / (F.col("end_ms") - F.col("start_ms")) >= least)
+    return out.withColumn("scored", F.coalesce(F.col("overlap_ms") / F.nullif(F.col("end_ms") - F.col("start_ms"), F.lit(0)) >= least, F.lit(False)))
 
 
 def longest(spans: DataFrame, keys: list[str], n: int = 8) -> DataFrame:

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import TierParams
 from ..functions.vectors import cosine, normalize
+from .sums import exact_vector_sum, gram_sums, gram_variance
 
 
 def weighted_mean(df: DataFrame, keys: list[str], vector: str, weight: Column) -> DataFrame:
-    """Weighted mean vector of each key, summed dimension by dimension with map-side partial sums."""
-    each = df.select(*keys, weight.cast("double").alias("__w"), F.posexplode(vector).alias("__i", "__x"))
-    dims = each.groupBy(*keys, "__i").agg((F.sum(F.col("__w") * F.col("__x")) / F.sum("__w")).alias("__m"))
-    return dims.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__m"))), lambda s: s["__m"]).alias("mean"))
+    """Weighted mean vector of each key: exact sums, rounded once, so the bits don't depend on how rows are dealt."""
+    sums = exact_vector_sum(df, keys, vector, weight)
+    return sums.select(*keys, F.transform("total", lambda x: x / F.col("weight_total")).alias("mean"))
 
 
 def window_vectors(chunks: DataFrame, keys: list[str], vector: str) -> DataFrame:
@@ -34,48 +34,40 @@ def window_vectors(chunks: DataFrame, keys: list[str], vector: str) -> DataFrame
 def leave_one_out(df: DataFrame, keys: list[str], vector: str, weight: str) -> DataFrame:
     """df with loo: cosine of each vector to the weighted mean of the others; keys with one vector give no row.
 
-    The others' sum is the total less the own share, so the cost is linear.
+    The others' sum is the (exact) total less the own share, so the cost is linear.
     """
     w = F.col(weight).cast("double")
-    each = df.select(*keys, w.alias("__w"), F.posexplode(vector).alias("__i", "__x"))
-    dims = each.groupBy(*keys, "__i").agg(F.sum(F.col("__w") * F.col("__x")).alias("__s"), F.count("*").alias("__n"))
-    totals = dims.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__s"))), lambda s: s["__s"]).alias("__t"), F.max("__n").alias("__n"))
+    n = df.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n >= 2")
+    totals = exact_vector_sum(df, keys, vector, w, "__t").drop("weight_total").join(n, keys)
     rest = F.zip_with("__t", vector, lambda t, x: t - w * x)
-    return df.join(totals.where("__n >= 2"), keys).withColumn("loo", cosine(F.col(vector), rest)).drop("__t", "__n")
+    return df.join(totals, keys).withColumn("loo", cosine(F.col(vector), rest)).drop("__t", "__n")
 
 
 def pair_variance(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    """Population variance of the cosines of all pairs of a key; 0 with fewer than two vectors.
+    """Population variance of the cosines of all pairs of a key; 0 with fewer than two vectors.  No pair is formed: see sums.gram_variance."""
+    return gram_variance(gram_sums(df, keys, vector), keys)
 
-    With unit vectors u: sum of pair cosines = (|S|^2 - n) / 2 for S = sum u, and sum of squared pair
-    cosines = (|M|_F^2 - n) / 2 for M = sum u u^T, so no pair is formed: the cost is linear in vectors.
-    Vectors of zero norm have cosine 0 to all.
-    """
-    unit = df.select(*keys, normalize(F.col(vector)).alias("u"))
-    live = F.aggregate("u", F.lit(0.0), lambda s, x: s + x * x)
-    n = unit.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(live).alias("m"))
-    first = unit.select(*keys, F.posexplode("u").alias("i", "x")).groupBy(*keys, "i").agg(F.sum("x").alias("s")).groupBy(*keys).agg(F.sum(F.col("s") * F.col("s")).alias("ss"))
-    outer = unit.select(*keys, "u", F.posexplode("u").alias("i", "x")).select(*keys, "i", "x", F.posexplode("u").alias("j", "y")).where("i <= j")
-    outer = outer.groupBy(*keys, "i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("m2"))
-    second = outer.groupBy(*keys).agg(F.sum(F.when(F.col("i") == F.col("j"), 1.0).otherwise(2.0) * F.col("m2") * F.col("m2")).alias("mm"))
-    pairs = F.col("n") * (F.col("n") - 1) / 2
-    mean = (F.col("ss") - F.col("m")) / 2 / pairs
-    variance = (F.col("mm") - F.col("m")) / 2 / pairs - mean * mean
-    return n.join(first, keys).join(second, keys).select(*keys, "n", F.when(F.col("n") < 2, 0.0).otherwise(F.greatest(variance, F.lit(0.0))).alias("variance"))
-
-
-def best_match(df: DataFrame, vector: str, candidates: DataFrame, name: str, candidate_vector: str, threshold: float = -2.0, digits: int = 6) -> DataFrame:
+
+def consensus(df: DataFrame, vector: str, weight: Column, anchor: DataFrame, near: float, outlier: float, digits: int = 6) -> DataFrame:
+    """Vectors near an anchor (one row, column mean), with similarity to their own weighted mean and whether one is an outlier of it."""
+    close = df.join(F.broadcast(anchor.select(F.col("mean").alias("__anchor")))).where(F.round(cosine(F.col(vector), F.col("__anchor")), digits) >= near).drop("__anchor")
+    s = F.round(cosine(F.col(vector), F.col("mean")), digits) + 0.0
+    return close.join(F.broadcast(weighted_mean(close, [], vector, weight))).withColumn("similarity", s).withColumn("outlier", F.col("similarity") < outlier).drop("mean")
+
+
+def best_match(df: DataFrame, vector: str, candidates: DataFrame, name: str, candidate_vector: str, threshold: float = -2.0, digits: int = 6, most: int = 10_000) -> DataFrame:
     """df with the candidate of the highest cosine (of equal ones the least name) if it reaches the threshold.
 
-    candidates is a small table of known size, such as class centroids; it's broadcast and gathered into one array.
+    candidates is a small table, such as class centroids, that goes to all tasks as one array; more than `most` fail.
     """
-    from pyspark.sql.functions import broadcast
-
-    bag = candidates.agg(F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(candidate_vector).alias("v")))).alias("__bag"))
-    scored = df.join(broadcast(bag)).withColumn("__s", F.transform("__bag", lambda c: F.struct((-F.round(cosine(F.col(vector), c["v"]), digits)).alias("s"), c["name"].alias("name"))))
+    entries = F.array_sort(F.collect_list(F.struct(F.col(name).alias("name"), F.col(candidate_vector).alias("v"))))
+    # one candidate more than allowed is enough to tell, so no task gathers more
+    bag = candidates.limit(most + 1).agg(entries.alias("__bag"), F.count("*").alias("__n"))
+    bag = bag.where(F.assert_true(F.col("__n") <= most, F.lit(f"more than {most} candidates")).isNull())
+    scored = df.join(F.broadcast(bag)).withColumn("__s", F.transform("__bag", lambda c: F.struct((-F.round(cosine(F.col(vector), c["v"]), digits)).alias("s"), c["name"].alias("name"))))
     best = F.array_min("__s")
     hit = -best["s"] >= threshold
-    return scored.withColumn("match", F.when(hit, best["name"])).withColumn("similarity", F.when(hit, -best["s"] + 0.0)).drop("__bag", "__s")
+    return scored.withColumn("match", F.when(hit, best["name"])).withColumn("similarity", F.when(hit, -best["s"] + 0.0)).drop("__bag", "__s", "__n")
 
 
 def calibrate(genuine: DataFrame, impostor: DataFrame, p: TierParams = TierParams(), anti: bool = True) -> DataFrame:

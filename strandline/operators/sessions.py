@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.clicks import required
 from .audit import GENESIS, verify
 
 NOTICES = ("warning", "blocking_halt", "drift_notice")
@@ -68,9 +69,8 @@ def resume_points(entries: DataFrame, keys: list[str], verified: bool = True) ->
     tail = entries.groupBy(*keys).agg((F.max("seq") + 1).alias("next_seq"), F.max_by("entry_sha256", "seq").alias("prev_sha256"))
     if not verified:
         return tail
-    bad = F.concat(F.lit("the log's chain breaks at seq "), F.col("first_bad").cast("string"))
     checked = tail.join(verify(entries, keys).select(*keys, "first_bad"), keys)
-    return checked.withColumn("next_seq", F.when(F.col("first_bad").isNotNull(), F.raise_error(bad).cast("long")).otherwise(F.col("next_seq"))).drop("first_bad")
+    return required(checked, F.col("first_bad").isNull(), F.concat(F.lit("the log's chain breaks at seq "), F.col("first_bad").cast("string"))).drop("first_bad")
 
 
 def starts(sessions: DataFrame, resumed: DataFrame, keys: list[str]) -> DataFrame:

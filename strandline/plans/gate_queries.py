@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import gates
-from ..operators import enrollment
+from ..functions.vectors import cosine
+from ..operators import enrollment, pools
 from .registry import query
 from .rule_queries import frames
 from .vector_queries import _SCORES, scores
@@ -61,3 +62,56 @@ def a14(spark, d):
 @query("a2_median", "SELECT l_suppkey, round(median(l_extendedprice::DOUBLE), 6) AS mid FROM lineitem GROUP BY 1")
 def a2(spark, d):
     return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.round(F.median(F.col("l_extendedprice").cast("double")), 6).alias("mid"))
+
+
+#: Sessions of five files.  Windows are the vectors of labels 0 and 2, five seconds from their slot on: coverage by the seconds of labels 0, 2 and 4, present and closed
+#: faces by the slots of labels from 5 and those of them under three seconds.  Anti vectors are those of label 1.
+_SLOTS = f"""(SELECT a.vec_id, a.file_index // 5 AS session, a.file_index, a.v, a.dur_ms, count(*) FILTER (b.label IN (0, 2, 4)) / 5 AS coverage, count(*) FILTER (b.label >= 5) AS present, count(*) FILTER (b.label >= 5 AND b.dur_ms < 3000) AS closed
+    FROM {VECTORS} a JOIN {VECTORS} b ON b.file_index = a.file_index AND b.pos BETWEEN a.pos AND a.pos + 4 WHERE a.label IN (0, 2) GROUP BY ALL)"""
+_COURSE = f"""
+    WITH RECURSIVE x AS MATERIALIZED (SELECT session, list(m ORDER BY i) AS seed FROM (SELECT file_index // 5 AS session, i, sum(v[i] * dur_ms) / sum(dur_ms) AS m FROM {VECTORS}, range(1, 65) t(i) WHERE label = 0 AND file_index % 5 = 0 GROUP BY ALL) GROUP BY session),
+    n AS MATERIALIZED (SELECT file_index // 5 AS session, file_index, label, v, dur_ms FROM {VECTORS} WHERE label = 1),
+    f AS MATERIALIZED (SELECT DISTINCT file_index // 5 AS session, file_index FROM {VECTORS} WHERE label IN (0, 1, 2)),
+    a AS MATERIALIZED (SELECT session, file_index, CASE WHEN count(b) > 0 THEN list(b ORDER BY i) END AS before, list(c ORDER BY i) AS after FROM (SELECT f.session, f.file_index, i, sum(v[i] * dur_ms) FILTER (n.file_index < f.file_index) / sum(dur_ms) FILTER (n.file_index < f.file_index) AS b, sum(v[i] * dur_ms) / sum(dur_ms) AS c
+        FROM f JOIN n ON n.session = f.session AND n.file_index <= f.file_index, range(1, 65) t(i) GROUP BY ALL) GROUP BY ALL),
+    s AS MATERIALIZED (SELECT w.*, round(list_cosine_similarity(w.v, x.seed), 6) AS seed, CASE WHEN a.before IS NOT NULL THEN round(list_cosine_similarity(w.v, a.before), 6) END AS s1, CASE WHEN a.after IS NOT NULL THEN round(list_cosine_similarity(w.v, a.after), 6) END AS s2
+        FROM {_SLOTS} w JOIN x USING (session) LEFT JOIN a USING (session, file_index)),
+    g AS MATERIALIZED (SELECT *, coverage >= 0.4 AND (present = 0 OR closed / present >= 0.5) AND seed >= 0 AS ab FROM s),
+    p AS MATERIALIZED (SELECT session, file_index, vec_id, v, dur_ms, CASE WHEN s1 IS NULL OR (s1 <= 0 AND seed >= s1) THEN 1 WHEN s2 <= 0 AND seed >= s2 THEN 2 END AS k FROM g WHERE ab),
+    c AS MATERIALIZED (SELECT y.session, y.vec_id AS a, z.vec_id AS b, list_cosine_similarity(y.v, z.v) AS s FROM p y JOIN p z ON y.session = z.session AND y.vec_id < z.vec_id WHERE y.k > 0 AND z.k > 0),
+    o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY session ORDER BY file_index) AS i, coalesce((SELECT list(vec_id) FROM p WHERE p.file_index = f.file_index AND k = 1), []) AS one, coalesce((SELECT list(vec_id) FROM p WHERE p.file_index = f.file_index AND k = 2), []) AS two,
+        EXISTS (SELECT 1 FROM n WHERE n.session = f.session AND n.file_index <= f.file_index) AS has_anti FROM f),
+    r AS (SELECT session, 0::BIGINT AS i, NULL::BIGINT AS file_index, []::BIGINT[] AS ids, 0::BIGINT AS accepted, 0::BIGINT AS second_pass, 0::BIGINT AS verified_ms, 0::DOUBLE AS var, '' AS first_state, '' AS state FROM (SELECT DISTINCT session FROM o)
+      UNION ALL SELECT session, i, file_index, ids2, len(one), CASE WHEN again THEN len(two) ELSE 0 END, ms2, var2, first_state,
+        CASE WHEN ms2 >= CASE WHEN has_anti THEN 45000 ELSE 60000 END AND var2 <= 0.05 THEN 'STRONG' WHEN ms2 >= 20000 THEN 'MARGINAL' ELSE 'INSUFFICIENT' END
+      FROM (SELECT *, (SELECT coalesce(sum(dur_ms), 0)::BIGINT FROM p WHERE list_contains(ids2, vec_id)) AS ms2, (SELECT coalesce(var_pop(s), 0) FROM c WHERE list_contains(ids2, a) AND list_contains(ids2, b)) AS var2
+      FROM (SELECT *, first_state = 'MARGINAL' AND has_anti AS again, CASE WHEN first_state = 'MARGINAL' AND has_anti THEN list_concat(ids1, two) ELSE ids1 END AS ids2
+      FROM (SELECT *, CASE WHEN ms1 >= CASE WHEN has_anti THEN 45000 ELSE 60000 END AND var1 <= 0.05 THEN 'STRONG' WHEN ms1 >= 20000 THEN 'MARGINAL' ELSE 'INSUFFICIENT' END AS first_state
+      FROM (SELECT *, (SELECT coalesce(sum(dur_ms), 0)::BIGINT FROM p WHERE list_contains(ids1, vec_id)) AS ms1, (SELECT coalesce(var_pop(s), 0) FROM c WHERE list_contains(ids1, a) AND list_contains(ids1, b)) AS var1
+      FROM (SELECT o.session, o.i, o.file_index, o.one, o.two, o.has_anti, list_concat(r.ids, o.one) AS ids1 FROM r JOIN o ON o.session = r.session AND o.i = r.i + 1))))))
+    SELECT session, file_index, accepted, second_pass, verified_ms, len(ids) AS pool_size, round(var, 6) AS pool_variance, first_state, state FROM r WHERE i > 0"""
+
+
+def course(spark, d):
+    v = vectors(spark, d).withColumn("session", F.expr("file_index div 5"))
+    near = v.select("file_index", "pos", F.col("label").alias("l"), F.col("dur_ms").alias("ms")).withColumn("at", F.explode(F.expr("sequence(greatest(pos - 4, 0), pos)"))).drop("pos")
+    target = v.where("label in (0, 2)").withColumnRenamed("pos", "at")
+    sides = [F.count_if(F.col("l").isin(0, 2, 4)), F.count_if(F.col("l") >= 5), F.count_if((F.col("l") >= 5) & (F.col("ms") < 3000))]
+    seen = target.select("vec_id", "file_index", "at").join(near, ["file_index", "at"]).groupBy("vec_id").agg((sides[0] / 5).alias("coverage"), sides[1].alias("present"), sides[2].alias("closed"))
+    seeds = pools.weighted_mean(v.where("label = 0 and file_index % 5 = 0"), ["session"], "v", F.col("dur_ms"))
+    windows = target.join(seen, "vec_id").join(seeds, "session").withColumn("seed", F.round(cosine(F.col("v"), F.col("mean")), 6))
+    windows = windows.select("session", "file_index", F.col("v").alias("vector"), F.col("dur_ms").alias("duration_ms"), "coverage", "present", "closed", "seed")
+    anti = v.where("label = 1").select("session", "file_index", F.col("v").alias("vector"), F.col("dur_ms").alias("duration_ms"))
+    return enrollment.enrollment_course(windows, anti, ["session"], "file_index", coverage_min=0.4, closed_min=0.5, seed_min=0.0, anti_max=0.0, margin=0.0)
+
+
+@query("c12_enrollment_course", _COURSE)
+def c12_course(spark, d):
+    return course(spark, d).drop("sim_composite_anti").withColumn("pool_variance", F.round("pool_variance", 6))
+
+
+@query("c10_batch_verdict", f"""SELECT session, state, verified_ms, pool_variance, CASE WHEN verified_ms < 20000 OR state = 'INSUFFICIENT' THEN 'critical_enrollment_failure' WHEN pool_variance > 0.05 THEN 'high_pool_variance_operator_review' ELSE 'ok' END AS outcome
+    FROM ({_COURSE}) QUALIFY row_number() OVER (PARTITION BY session ORDER BY file_index DESC) = 1""")
+def c10_verdict(spark, d):
+    out = enrollment.batch_verdict(course(spark, d), ["session"], "file_index")
+    return out.select("session", "state", "verified_ms", F.round("pool_variance", 6).alias("pool_variance"), F.coalesce("outcome", F.lit("ok")).alias("outcome"))

@@ -6,11 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import audit
+from ..sources.shared import shared_path
 from ..streaming import windows as st
 from .registry import ORACLES, query
 from .rule_queries import frames
 from .vector_queries import _TIERED, tiers
-from .views import shared_path, spans, spans_sql, table
+from .views import spans, spans_sql, table
 
 _PAYLOAD = """'{"event_id":' || event_id || ',"kind":"' || event_type || '"}'"""
 _LOG = f"(SELECT user_id, event_id, event_type AS operation, epoch_us(ts) // 10000000 AS start_ms, event_id % 5 AS file_index, {_PAYLOAD} AS payload FROM events)"
@@ -102,12 +103,6 @@ def p13(spark, d):
     return b.select("file_index", "block_index", audit.verdict(F.col("tier"), F.col("t"), F.col("o"), F.col("margin_failed"), 0.04, 0.0, 0.0, -0.04).alias("verdict"))
 
 
-@query("s_late_drop", f"SELECT id FROM (SELECT id, start_ms, max(start_ms) OVER (PARTITION BY key ORDER BY id * 7919 % 1009, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM {spans_sql()}) WHERE top IS NULL OR start_ms >= top - 60000")
-def s_late(spark, d):
-    s = spans(spark, d).withColumn("arrival", F.struct((F.col("id") * 7919 % 1009).alias("a"), F.col("id").alias("b")))
-    return st.drop_late(s, ["key"], "arrival", "start_ms", 60_000).select("id")
-
-
 def _streamed(spark, stream, name):
     """Run a stream to its end and read what it wrote."""
     at = shared_path(spark, name)
@@ -116,6 +111,14 @@ def _streamed(spark, stream, name):
     return spark.read.schema(stream.schema).parquet(f"{at}/out")
 
 
+def _dealt(spark, df, batch, batches, name):
+    """A stream of df in micro-batches, by the number in column `batch`: one folder of one file each, in order."""
+    at = shared_path(spark, name)
+    for b in range(batches):
+        df.where(F.col(batch) == b).coalesce(1).write.mode("append").parquet(at)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(at)
+
+
 def _event_stream(spark, d):
     schema = table(spark, d, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
@@ -132,10 +135,22 @@ def s_sessions(spark, d):
     return _streamed(spark, out, "sessions").select("user_id", ms("start").alias("start_ms"), ms("end").alias("end_ms"), "n")
 
 
-@query("s_speaking_stream", f"SELECT * FROM ({ORACLES['w14_speaking_windows']}) WHERE reason <> 'end_of_video'")
+@query("s_speaking_stream", ORACLES["w14_speaking_windows"])
 def s_fsm(spark, d):
-    """The machine as a stream over stored frames; equals w14 without the windows that the end closes."""
-    at = shared_path(spark, "frames")
-    f = frames(spark, d)
-    f.write.parquet(at)
-    return _streamed(spark, st.speaking_windows_stream(spark.readStream.schema(f.schema).parquet(at)), "speaking")
+    """The machine as a stream over shuffled micro-batches; equals w14, windows that the end closes included."""
+    f = frames(spark, d).withColumn("shift", F.xxhash64("key", "pts_ms") % 2001)
+    span = f.agg(F.max("pts_ms")).first()[0] // 5 + 1
+    dealt = f.select("*", F.expr(f"cast(least(4, (pts_ms + abs(shift)) div {span}) as int)").alias("batch")).drop("shift")
+    beat = dealt.limit(1).select(*(F.lit(None).cast(t).alias(c) if c not in ("pts_ms", "batch") else F.lit(5 * span + 70_000 if c == "pts_ms" else 5).cast(t).alias(c) for c, t in dealt.dtypes))
+    with st.state_store(spark):
+        return _streamed(spark, st.speaking_windows_stream(_dealt(spark, dealt.unionByName(beat), "batch", 6, "frames"), 3000), "speaking")
+
+
+_ARRIVALS = "(SELECT event_id, ts, least(4, (event_id * 7919 % 1009) // 202) AS batch FROM events)"
+
+
+@query("s_late_drop", f"SELECT event_id FROM {_ARRIVALS} a WHERE ts > coalesce((SELECT max(ts) FROM {_ARRIVALS} b WHERE b.batch < a.batch - 1) - INTERVAL 10 DAY, TIMESTAMP '1970-01-01')")
+def s_late(spark, d):
+    """Events in five micro-batches; a batch's late rows are those under the watermark that the batch before it ran with."""
+    e = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.expr("cast(least(4, (event_id * 7919 % 1009) div 202) as int)").alias("batch"))
+    return _streamed(spark, st.first_in_time(_dealt(spark, e, "batch", 5, "arrivals"), "ts", ["event_id"], "10 days"), "late").select("event_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.vectors import cosine
-from ..operators import folds, pools
+from ..operators import folds, pools, scans
 from ..sources import media
 from .registry import query
 from .vector_queries import _SCORES, scores, sql_mean
@@ -29,7 +29,7 @@ def io4(spark, d):
     start = F.when(k % 5 == 0, "N/A").otherwise(F.format_string("%.3f", k * 3 / 1000))
     video = F.concat(F.lit('{"codec_type":"video","avg_frame_rate":"30000/1001","r_frame_rate":"'), F.when(k % 3 == 0, "30/1").otherwise("60000/2002"), F.lit('"}'))
     probe = F.concat(F.lit('{"streams":['), video, F.lit(',{"codec_type":"audio","sample_rate":"48000","start_time":"'), start, F.lit('"}]}'))
-    return table(spark, d, "events").select("event_id", media.parse_probe(probe).alias("p")).select("event_id", "p.*")
+    return table(spark, d, "events").select("event_id", media.parse_probe(probe).alias("p")).select("event_id", "p.*").drop("error")
 
 
 @query("p1_ms_from_samples", "SELECT event_id, (floor(value * 1000)::BIGINT * 1000) // 16000 AS ms FROM events")
@@ -122,7 +122,7 @@ def w12(spark, d):
     from .views import spans
 
     points = spans(spark, d).select(F.col("key").alias("user_id"), F.col("start_ms").alias("pt"))
-    return folds.greedy_spacing(points, ["user_id"], "pt", 2000)
+    return scans.greedy_spacing(points, ["user_id"], "pt", 2000)
 
 
 @query("w13_moving_average", """WITH RECURSIVE p AS (SELECT user_id, event_id, CASE WHEN event_type <> 'error' THEN value END AS x, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
@@ -130,7 +130,7 @@ def w12(spark, d):
     SELECT user_id, event_id, round(ema, 6) AS ema FROM r""")
 def w13(spark, d):
     e = table(spark, d, "events").withColumn("x", F.when(F.col("event_type") != "error", F.col("value")))
-    return folds.moving_average(e, ["user_id"], ["event_id"], "x", ["event_id"]).select("user_id", "event_id", F.round("ema", 6).alias("ema"))
+    return scans.moving_average(e, ["user_id"], ["event_id"], "x", ["event_id"]).select("user_id", "event_id", F.round("ema", 6).alias("ema"))
 
 
 def frames(spark, d):

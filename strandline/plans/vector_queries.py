@@ -97,11 +97,8 @@ def v12(spark, d):
     SELECT k.vec_id, round(list_cosine_similarity(k.v, b.m), 6) + 0.0 AS similarity, round(list_cosine_similarity(k.v, b.m), 6) < 0.3 AS outlier FROM k, b""")
 def v14(spark, d):
     v = vectors(spark, d)
-    anchor = pools.weighted_mean(v.where("label = 0 and dur_ms >= 3000"), [], "v", F.col("dur_ms")).withColumnRenamed("mean", "anchor")
-    near = v.join(F.broadcast(anchor)).where(F.round(cosine(F.col("v"), F.col("anchor")), 6) >= 0.15).select("vec_id", "v", "dur_ms")
-    consensus = pools.weighted_mean(near, [], "v", F.col("dur_ms"))
-    s = F.round(cosine(F.col("v"), F.col("mean")), 6) + 0.0
-    return near.join(F.broadcast(consensus)).select("vec_id", s.alias("similarity"), (s < 0.3).alias("outlier"))
+    anchor = pools.weighted_mean(v.where("label = 0 and dur_ms >= 3000"), [], "v", F.col("dur_ms"))
+    return pools.consensus(v, "v", F.col("dur_ms"), anchor, 0.15, 0.3).select("vec_id", "similarity", "outlier")
 
 
 @query("a1_quantile", "SELECT user_id, round(quantile_cont(value, 0.1), 6) AS q10, round(median(value), 6) AS q50 FROM events GROUP BY 1")

@@ -5,10 +5,6 @@ Time is an integer count of ticks, called ms throughout; an events tick is ten s
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; in local mode a temporary one will do."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="strandline-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/strandline/{name}-{uuid.uuid4().hex}"
-
-
 def epoch_ms(column: str):
     """Milliseconds since 1970 of a timestamp without zone, whatever the session's zone is."""
     return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', {column}) div 1000")

@@ -14,12 +14,18 @@ def discover_videos(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "length").orderBy("path")
 
 
+def required(df: DataFrame, good: Column, message: Column) -> DataFrame:
+    """df, if good holds for each of its rows; one for which it doesn't fails the query.
+
+    The check is a filter, so it is made whichever columns are read, and for a count too.
+    """
+    return df.where(F.assert_true(F.coalesce(good, F.lit(False)), message).isNull())
+
+
 def present(expected: DataFrame, found: DataFrame, path: str = "path") -> DataFrame:
     """expected, if found has each of its paths; a missing one fails the query."""
     have = found.select(path).distinct().withColumn("__found", F.lit(True))
-    missing = F.raise_error(F.concat(F.lit("missing file: "), F.col(path))).cast("string")
-    joined = expected.join(have, path, "left")
-    return joined.withColumn(path, F.when(F.col("__found").isNull(), missing).otherwise(F.col(path))).drop("__found")
+    return required(expected.join(have, path, "left"), F.col("__found"), F.concat(F.lit("missing file: "), F.coalesce(path, F.lit("null")))).drop("__found")
 
 
 def parse_clicks(text: Column) -> Column:
@@ -55,5 +61,4 @@ def parse_clicks(text: Column) -> Column:
 def read_clicks(spark: SparkSession, path: str) -> DataFrame:
     """(path, speaking, extra_seeds, anti, target_bearded, interviewer_bearded) of click documents; an invalid one fails."""
     files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), parse_clicks(F.col("value")).alias("c"))
-    failed = F.raise_error(F.concat("path", F.lit(": "), F.col("c.error"))).cast("string")
-    return files.select(F.when(F.col("c.error").isNotNull(), failed).otherwise(F.col("path")).alias("path"), "c.speaking", "c.extra_seeds", "c.anti", "c.target_bearded", "c.interviewer_bearded")
+    return required(files, F.col("c.error").isNull(), F.concat("path", F.lit(": "), F.col("c.error"))).select("path", "c.speaking", "c.extra_seeds", "c.anti", "c.target_bearded", "c.interviewer_bearded")

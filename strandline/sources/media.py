@@ -7,11 +7,16 @@ import struct
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .clicks import required
+
 PROBE = "struct<streams: array<struct<codec_type: string, start_time: string, sample_rate: string, avg_frame_rate: string, r_frame_rate: string>>>"
 
 
 def parse_probe(text: Column) -> Column:
-    """A probe document's first audio stream's start (ms; "N/A" is 0 and missing) and rate, and whether its video's rate varies."""
+    """A probe document's first audio stream's start (ms; "N/A" is 0 and missing) and rate, whether its video's rate varies, and its error.
+
+    error is null for a good document and says what is wrong with one without an audio stream: see probes, which fails then.
+    """
     from ..functions.rules import half_even_ms
 
     streams = F.from_json(text, PROBE)["streams"]
@@ -21,12 +26,20 @@ def parse_probe(text: Column) -> Column:
     a, r = video["avg_frame_rate"], video["r_frame_rate"]
     varies = part(a, 1) * part(r, 2) != part(r, 1) * part(a, 2)
     start = audio["start_time"].try_cast("decimal(28,9)")
+    error = F.when(streams.isNull(), "not a probe document").when(audio.isNull(), "no audio stream")
     return F.struct(
         F.coalesce(half_even_ms(start), F.lit(0)).alias("audio_start_ms"), start.isNull().alias("audio_start_missing"),
-        audio["sample_rate"].try_cast("int").alias("sample_rate"), F.coalesce(varies, F.lit(False)).alias("vfr_suspected"),
+        audio["sample_rate"].try_cast("int").alias("sample_rate"), F.coalesce(varies, F.lit(False)).alias("vfr_suspected"), error.alias("error"),
     )
 
 
+def probes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, audio_start_ms, audio_start_missing, sample_rate, vfr_suspected) of probe documents, one a file; one without a usable audio stream fails."""
+    files = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), parse_probe(F.col("value")).alias("p"))
+    good = required(files, F.col("p.error").isNull(), F.concat("path", F.lit(": "), F.col("p.error")))
+    return good.select("path", "p.audio_start_ms", "p.audio_start_missing", "p.sample_rate", "p.vfr_suspected")
+
+
 def canonical_order(df: DataFrame, keys: list[str], path: str) -> DataFrame:
     """file_index from 0 by path components, not by raw strings, within keys."""
     from pyspark.sql import Window

@@ -1,44 +1,115 @@
-"""Structured Streaming forms: the speaking-window machine, sessions, late rows."""
+"""Structured Streaming forms: the speaking-window machine over frames that arrive out of order, sessions, late rows."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.folds import EMPTY, WINDOW_SCHEMA, window_step
+from ..operators.folds import EMPTY, WINDOW_SCHEMA, window_finish, window_step
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FRAME = ("pts_ms", "target_present", "target_mar", "target_suspended", "other_present", "other_mar", "vad")
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which timers and list state need; the session's own setting comes back after."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, STATE_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
 
 
 class SpeakingWindows(StatefulProcessor):
-    """Keeps each key's machine between micro-batches; a batch's frames are taken in order of pts_ms."""
+    """Frames wait in list state until the watermark has passed them, and then run through their key's machine in order of pts_ms.
+
+    A timer stands at a key's first waiting frame, or, when none waits, idle_ms after the last one that ran: nothing more has come then, so the
+    open window is closed as the end of the video and the key's state is dropped.  A frame that waits is held as a row of its own, so a
+    key's machine never holds more than what lies between its frames and the watermark.
+    """
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("machine", "said string")
+        self.handle = handle
+        self.machine = handle.getValueState("machine", "said string")
+        self.waiting = handle.getListState("waiting", "said string")
+        self.timer = handle.getValueState("timer", "at bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.state.get()[0]) if self.state.exists() else dict(EMPTY)
-        frames = pd.concat(list(rows)).sort_values("pts_ms", kind="stable").astype(object)
+        for frame in rows:
+            plain = frame[list(FRAME)].astype(object)
+            self.waiting.appendList([(json.dumps(r),) for r in plain.where(plain.notna(), None).to_dict("records")])
+        yield self._advance(key, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._advance(key, timerValues)
+
+    def _advance(self, key, timerValues) -> pd.DataFrame:
+        """Run what the watermark has passed, close a video that has ended, and set the next timer."""
+        now = timerValues.getCurrentWatermarkInMs()
+        frames = sorted((json.loads(r[0]) for r in self.waiting.get()), key=lambda f: f["pts_ms"]) if self.waiting.exists() else []
+        ready = [f for f in frames if f["pts_ms"] <= now]
+        state = json.loads(self.machine.get()[0]) if self.machine.exists() else dict(EMPTY)
         found = []
-        for row in frames.where(frames.notna(), None).to_dict("records"):
-            state, done = window_step(state, row)
+        for f in ready:
+            state, done = window_step(state, f)
             found += [(*key, *x) for x in done]
-        self.state.update((json.dumps(state),))
-        yield pd.DataFrame(found, columns=["key", *(c.split()[0] for c in WINDOW_SCHEMA.split(", "))])
+        left = frames[len(ready) :]
+        last = state["previous"]
+        if not left and last is not None and last + self.idle_ms <= now:
+            found += [(*key, *x) for x in window_finish(state)]
+            self.machine.clear()
+            self.waiting.clear()
+            self._set(None)
+        else:
+            if ready:
+                self.machine.update((json.dumps(state),))
+                if left:
+                    self.waiting.put([(json.dumps(f),) for f in left])
+                else:
+                    self.waiting.clear()
+            self._set(left[0]["pts_ms"] if left else last + self.idle_ms)
+        return pd.DataFrame(found, columns=["key", *(c.split()[0] for c in WINDOW_SCHEMA.split(", "))])
+
+    def _set(self, at: int | None) -> None:
+        """Leave one timer, at `at`, or none."""
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if old == at:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if at is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
 
     def close(self) -> None:
         pass
 
 
-def speaking_windows_stream(frames: DataFrame) -> DataFrame:
-    """Finished windows of a stream of frames (key, pts_ms, ...); open ones stay in state."""
-    frames.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    return frames.groupBy("key").transformWithStateInPandas(SpeakingWindows(), f"key bigint, {WINDOW_SCHEMA}", "Append", "None")
+def speaking_windows_stream(frames: DataFrame, late_ms: int, idle_ms: int = 60_000) -> DataFrame:
+    """Speaking windows of a stream of frames (key, pts_ms, ...), by any order of arrival within late_ms; start it inside state_store().
+
+    Event time is pts_ms, shared by the keys.  A row with a null key only moves the watermark: such a heartbeat, late_ms + idle_ms after
+    the last frame, lets a bounded stream close every video.  A frame that comes after the watermark has passed it is dropped.
+    """
+    timed = frames.withColumn("__at", F.timestamp_millis("pts_ms")).withWatermark("__at", f"{late_ms} milliseconds")
+    return timed.groupBy("key").transformWithStateInPandas(SpeakingWindows(idle_ms), f"key bigint, {WINDOW_SCHEMA}", "Append", "EventTime").where("key is not null")
 
 
 def session_counts(events: DataFrame, ts: str, key: str, gap: str, lateness: str) -> DataFrame:
@@ -47,8 +118,6 @@ def session_counts(events: DataFrame, ts: str, key: str, gap: str, lateness: str
     return marked.groupBy(key, F.session_window(ts, gap).alias("s")).agg(F.count("*").alias("n")).select(key, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
 
 
-def drop_late(df: DataFrame, keys: list[str], arrival: str, at: str, lateness_ms: int) -> DataFrame:
-    """Rows that a watermark trailing the running maximum by lateness_ms would keep, in order of arrival."""
-    w = Window.partitionBy(*keys).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    top = F.max(at).over(w)
-    return df.withColumn("__top", top).where(F.col("__top").isNull() | (F.col(at) >= F.col("__top") - lateness_ms)).drop("__top")
+def first_in_time(events: DataFrame, ts: str, ids: list[str], lateness: str) -> DataFrame:
+    """Rows of a stream, one of those that repeat ids; what comes later than the watermark, which trails the latest row by `lateness`, is dropped by the engine."""
+    return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(ids)

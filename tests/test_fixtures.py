@@ -77,8 +77,8 @@ def test_probe(spark):
     video = '{{"codec_type":"video","avg_frame_rate":"30000/1001","r_frame_rate":"{}"}}'
     rows = [(f'{{"streams":[{video.format("30/1")},{{"codec_type":"audio","start_time":"N/A","sample_rate":"48000"}}]}}',), (f'{{"streams":[{video.format("60000/2002")},{{"codec_type":"audio","start_time":"0.023220"}}]}}',)]
     got = spark.createDataFrame(rows, "t string").select(media.parse_probe(F.col("t")).alias("p")).select("p.*").collect()
-    assert tuple(got[0]) == (0, True, 48000, True)
-    assert tuple(got[1]) == (23, False, None, False)
+    assert tuple(got[0]) == (0, True, 48000, True, None)
+    assert tuple(got[1]) == (23, False, None, False, None)
 
 
 def merged(spark, rows):
