@@ -103,9 +103,11 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
             own = near.withColumn("component", F.col("id"))
         else:
             own = near.drop("component").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            open_ = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-            own = ws.stored(own.join(open_, "key"), "open")
-            ws.drop(near)
+            # keys and their members are plain tables, so that adaptive execution can split a hot key's join
+            named = ws.stored(own, "named")
+            open_ = ws.stored(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "open-keys")
+            own = ws.stored(named.join(open_, "key"), "open")
+            ws.drop(near, named, open_)
             near = own
             if not own.take(1):
                 break
@@ -114,8 +116,8 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
             chance = F.xxhash64("id", F.lit(i))
             rank = chance.bitwiseAND((1 << 20) - 1) - F.least("degree", F.lit(1 << 42)) * (1 << 20) if i == 0 else chance
             own = own.withColumn("rank", rank)
-            head = own.groupBy("key").agg(F.min("rank").alias("rank"))
-            centres = own.join(head, ["key", "rank"]).alias("y")
+            head = ws.stored(own.groupBy("key").agg(F.min("rank").alias("rank")), "heads")
+            centres = ws.stored(own.join(head, ["key", "rank"]), "centres").alias("y")
             pairs = own.alias("x").join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
         else:
             marked = own.join(info, "id")
