@@ -86,3 +86,8 @@ def triple_gate(coverage: Column, present: Column, closed: Column, seed: Column,
     )
     gate = F.when(reason.isin("vad_coverage_low", "interviewer_lips_open"), "A").when(reason == "low_sim_to_seed", "B").when(reason.isNotNull(), "C")
     return F.struct(reason.isNull().alias("accepted"), gate.alias("gate"), reason.alias("reason"))
+
+
+def utc_stamp(at: Column) -> Column:
+    """A time as UTC text with milliseconds, cut off, and a Z; the session's zone has to be UTC for a timestamp with zone."""
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

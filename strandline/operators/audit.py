@@ -63,6 +63,29 @@ def chain(entries: DataFrame, keys: list[str]) -> DataFrame:
     return ordered_fold(entries.select(*keys, "seq", "operation", "payload_sha256"), keys, ["seq"], lambda: GENESIS, step, "seq bigint, prev_sha256 string, entry_sha256 string")
 
 
+def linked(entries: DataFrame, keys: list[str], order: list[str], heads: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Number and link entries (operation, payload_sha256) of each session in `order`, from its head (next_seq, prev_sha256) on; without one from the beginning.
+
+    The result has the keys, seq, operation, payload_sha256, prev_sha256, entry_sha256 and the columns `keep`.
+    """
+    keep = keep or []
+    columns = list(dict.fromkeys([*order, "operation", "payload_sha256", *keep]))
+    rows = entries.select(*keys, *columns, F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__seq"), F.lit(None).cast("string").alias("__prev"))
+    if heads is not None:
+        empty = [F.lit(None).cast(entries.schema[c].dataType).alias(c) for c in columns]
+        rows = rows.unionByName(heads.select(*keys, *empty, F.lit(0).alias("__kind"), F.col("next_seq").alias("__seq"), F.col("prev_sha256").alias("__prev")))
+
+    def step(state, row):
+        if not row["__kind"]:
+            return (row["__seq"], row["__prev"]), ()
+        seq, previous = state
+        entry = hashlib.sha256(f"{seq}|{row['operation']}|{row['payload_sha256']}|{previous}".encode()).hexdigest()
+        return (seq + 1, entry), ((seq, row["operation"], row["payload_sha256"], previous, entry, *(row[c] for c in keep)),)
+
+    kept = "".join(f", `{c}` {entries.schema[c].dataType.simpleString()}" for c in keep)
+    return ordered_fold(rows, keys, ["__kind", *order], lambda: (0, GENESIS), step, f"seq bigint, operation string, payload_sha256 string, prev_sha256 string, entry_sha256 string{kept}")
+
+
 def verify(entries: DataFrame, keys: list[str], terminal: str | None = None) -> DataFrame:
     """Per session: entries, first bad seq (null: none) and whether the last entry is the terminal operation.
 

@@ -10,10 +10,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
+from ..functions.vectors import TINY
+
 
 def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callable[[], Any], step: Callable, schema: str, finish: Callable | None = None) -> DataFrame:
     """Fold the rows of each key in order.
@@ -52,17 +55,22 @@ def ordered_fold(df: DataFrame, keys: list[str], order: list[str], start: Callab
 def greedy_clusters(df: DataFrame, keys: list[str], order: list[str], vector: str, keep: list[str], threshold: float) -> DataFrame:
     """Each vector joins the first cluster whose first member is similar enough, else begins one (number from 0)."""
 
-    def step(first, row):
-        v = row[vector]
-        n = sum(x * x for x in v) ** 0.5
-        u = [x / n if n > 1e-12 else 0.0 for x in v]
-        for i, c in enumerate(first):
-            if round(sum(x * y for x, y in zip(u, c)), 6) >= threshold:
-                return first, ((*(row[k] for k in keep), i),)
-        return [*first, u], ((*(row[k] for k in keep), len(first)),)
+    def step(state, row):
+        """state: unit vectors of the first members, as the rows of a matrix that grows twofold, and their number."""
+        first, n = state
+        v = np.array(row[vector], np.float64)
+        norm = np.sqrt(v @ v)
+        u = v / norm if norm > TINY else np.zeros(len(v))
+        near = np.flatnonzero(np.round(first[:n] @ u, 6) >= threshold) if n else ()
+        if len(near):
+            return state, ((*(row[k] for k in keep), int(near[0])),)
+        if first is None or n == len(first):
+            first = np.concatenate([np.zeros((0, len(u))) if first is None else first, np.zeros((max(16, n), len(u)))])
+        first[n] = u
+        return (first, n + 1), ((*(row[k] for k in keep), n),)
 
     types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
-    return ordered_fold(df.select(*dict.fromkeys([*keys, *order, vector, *keep])), keys, order, list, step, f"{types}, cluster bigint")
+    return ordered_fold(df.select(*dict.fromkeys([*keys, *order, vector, *keep])), keys, order, lambda: (None, 0), step, f"{types}, cluster bigint")
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import interval_semi, overlap_ms, with_flag
+from .intervals import interval_join, interval_semi, overlap_ms, with_flag
 
 
 def contains_point(x: Column, y: Column) -> Column:
@@ -60,6 +60,13 @@ def paired_identities(faces: DataFrame, frame: list[str], threshold: float, know
     return marked.groupBy(*frame).agg(F.max(F.when(F.col("__target"), F.col("ord"))).alias("target"), F.max(F.when(F.col("__other"), F.col("ord"))).alias("other"))
 
 
+def hit_first(points: DataFrame, spans: DataFrame, ids: list[str], at: str, key: str = "key", take: str = "id", bucket_ms: int = 4000) -> DataFrame:
+    """points with hit: `take` of the first span (least start, then least `take`) that holds the point, its end left out; null if none does."""
+    p = points.select(key, *ids, F.col(at).alias("start_ms"), (F.col(at) + 1).alias("end_ms"))
+    hits = interval_join(p, spans.select(key, take, "start_ms", "end_ms"), key, bucket_ms).groupBy(*ids).agg(F.min_by(f"r_{take}", F.struct("r_start_ms", f"r_{take}")).alias("hit"))
+    return points.join(hits, ids, "left")
+
+
 def match_with_thresholds(rows: DataFrame, row: str, score: str, least: str, name: str) -> DataFrame:
     """For each row the candidate of greatest score among those that reach their own threshold; rows without one go."""
     best = rows.where(F.col(score) >= F.col(least)).groupBy(row).agg(F.min_by(F.struct(name, score), F.struct(-F.col(score), F.col(name))).alias("b"))

@@ -110,7 +110,7 @@ def exact_vector_sum(df: DataFrame, keys: list[str], vector: str, weight: Column
 
         return pd.Series([one(p) for p in parts])
 
-    return gathered.select(*keys, F.transform(fold("__p"), _or_nan).alias("__s")).select(*keys, F.get("__s", F.lit(0)).alias("weight_total"), F.slice("__s", F.lit(2), F.size("__s") - 1).alias(name))
+    return gathered.select(*keys, F.transform(fold("__p"), _or_nan).alias("__s")).select(*keys, F.get("__s", F.lit(0)).alias("weight_total"), F.slice("__s", F.lit(2), F.greatest(F.size("__s") - 1, F.lit(0))).alias(name))
 
 
 #: Keys whose matrices a task holds at once; more are sent on in parts, which merge.

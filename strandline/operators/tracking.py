@@ -41,11 +41,37 @@ def median_pool(files: DataFrame, windows: DataFrame, block_ms: int = 1000) -> D
 
 
 def tiered(blocks: DataFrame, calibration: DataFrame, p: TierParams = TierParams(), anti: bool = True) -> DataFrame:
-    """Blocks with tier and margin_failed; calibration is the one row of calibrate()."""
-    both = blocks.join(F.broadcast(calibration.select("theta_high", "theta_med")))
+    """Blocks with tier and margin_failed; calibration is the one row of calibrate(), read as scalar subqueries."""
+    high, med = calibration.select("theta_high").scalar(), calibration.select("theta_med").scalar()
+    both = blocks.withColumns({"theta_high": high, "theta_med": med})
     return both.withColumn("__t", tier(F.col("s_target"), F.col("s_other"), F.col("theta_high"), F.col("theta_med"), p, anti)).select(*blocks.columns, "theta_high", "theta_med", "__t.*")
 
 
+def adjusted_tiers(blocks: DataFrame, reached: DataFrame) -> DataFrame:
+    """blocks with the tier after trimming: a HIGH block that no trimmed run reaches (file_index, block_index) counts as MEDIUM."""
+    at = reached.select("file_index", "block_index").distinct().withColumn("__reached", F.lit(True))
+    lost = (F.col("tier") == "HIGH") & F.col("__reached").isNull()
+    return blocks.join(at, ["file_index", "block_index"], "left").withColumn("tier", F.when(lost, "MEDIUM").otherwise(F.col("tier"))).drop("__reached")
+
+
+def fine_windows(runs: DataFrame, files: DataFrame, window_ms: int = 2000, least_ms: int = 1000) -> DataFrame:
+    """Fine windows around both edges of each run: file_index, start_ms, leading, p, ws, we.
+
+    A window begins at its position p on the leading edge and ends at it on the trailing one, is held within the file, and goes if under least_ms long.
+    """
+    edge = lambda leading, at: F.struct(F.lit(leading).alias("leading"), F.col(at).alias("edge"))
+    edges = runs.select("file_index", "start_ms", F.explode(F.array(edge(True, "start_ms"), edge(False, "end_ms"))).alias("e"))
+    p = edges.select("file_index", "start_ms", "e.leading", F.explode(fine_positions(F.col("e.edge"))).alias("p")).join(files, "file_index")
+    start = F.greatest(F.col("p") - F.when(F.col("leading"), 0).otherwise(window_ms), F.lit(0))
+    end = F.least(F.col("p") + F.when(F.col("leading"), window_ms).otherwise(0), "duration_ms")
+    return p.withColumn("ws", start).withColumn("we", end).where(F.col("we") - F.col("ws") >= least_ms).drop("duration_ms")
+
+
+def fine_passes(target: Column, other: Column, theta_high: Column, margin: float) -> Column:
+    """Whether a fine window passes: over the threshold, and by the margin over the other speaker if there is one."""
+    return (target > theta_high) & F.coalesce(target - other > margin, F.lit(True))
+
+
 def fine_positions(edge: Column, span_ms: int = 2000, step_ms: int = 250) -> Column:
     return F.sequence(edge - span_ms, edge + span_ms, F.lit(step_ms).cast("long"))
 
@@ -89,6 +115,13 @@ def first_high_mean(blocks: DataFrame, keys: list[str], order: str, duration: Co
     return early.where(F.col("__before") < limit_ms).groupBy(*keys).agg(F.avg(score).alias("first_mean"))
 
 
+def variance_jumps(rows: DataFrame, keys: list[str], order: str, known: str, now: str, limit: float, digits: int = 6) -> DataFrame:
+    """Rows with a known value that exceeds the last known one before them by more than `limit`, with the increase (rounded)."""
+    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.withColumn("increase", F.round(F.col(now) - F.last(known, ignorenulls=True).over(w), digits))
+    return out.where(F.col(known).isNotNull() & (F.col("increase") > limit))
+
+
 def drift(files: DataFrame, keys: list[str], order: str, mean: str, first: str, limit: float = 0.10) -> DataFrame:
     """Rows whose first-blocks mean fell more than `limit` below the last known mean before them, in order within keys."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import gates
 from ..functions.rules import triple_gate
-from ..operators import pairing
+from ..operators import pairing, tracking
 from .registry import query
-from .vector_queries import _REFINED, _SCORES, _SPOKEN, _TIERED, refined, scores, spoken_windows, tiers
+from .vector_queries import _REFINED, _SCORES, _SPOKEN, _TIERED, scores, spoken_windows, tracked
 from .views import VECTORS, spans, spans_sql, table, vectors
 
 #: Four consecutive vectors of a file are the faces of a frame; boxes come from their numbers.
@@ -105,24 +105,20 @@ def v8(spark, d):
 _RUN_BLOCKS = f"""(SELECT r.file_index, r.start_ms, b.block_index, greatest(r.ns, b.block_index * 1000) AS from_ms, least(r.ne, b.block_index * 1000 + 1000) AS to_ms FROM {_REFINED} r JOIN {_TIERED} b ON b.file_index = r.file_index AND b.tier = 'HIGH' AND b.block_index * 1000 < r.ne AND b.block_index * 1000 + 1000 > r.ns WHERE r.ns < r.ne)"""
 
 
-def _trimmed(spark, d):
-    return refined(spark, d).where("survives").select("file_index", F.col("new_start_ms").alias("start_ms"), F.col("new_end_ms").alias("end_ms"))
-
-
 @query("j12_run_blocks", f"SELECT file_index, block_index, from_ms, to_ms FROM {_RUN_BLOCKS}")
 def j12(spark, d):
-    return pairing.run_blocks(_trimmed(spark, d), tiers(spark, d)).select("file_index", "block_index", "from_ms", "to_ms")
+    t = tracked(spark, d)
+    return pairing.run_blocks(t.trimmed(), t.tiers).select("file_index", "block_index", "from_ms", "to_ms")
 
 
 @query("a6_adjusted_counts", f"""SELECT t.file_index, count(*) FILTER (t.tier = 'HIGH' AND b.block_index IS NOT NULL) AS n_high, count(*) FILTER (t.tier = 'MEDIUM' OR t.tier = 'HIGH' AND b.block_index IS NULL) AS n_medium, count(*) FILTER (t.tier = 'SUB') AS n_sub, count(*) FILTER (t.tier = 'REJECT') AS n_reject, count(*) FILTER (t.tier = 'SKIPPED') AS n_skipped
     FROM {_TIERED} t LEFT JOIN (SELECT DISTINCT file_index, block_index FROM {_RUN_BLOCKS}) b USING (file_index, block_index) GROUP BY 1""")
 def a6_adjusted(spark, d):
     """Tier counts after demotion: a HIGH block that no trimmed run reaches counts as MEDIUM."""
-    t = tiers(spark, d)
-    reached = pairing.run_blocks(_trimmed(spark, d), t).select("file_index", "block_index").distinct().withColumn("reached", F.lit(True))
-    t = t.join(reached, ["file_index", "block_index"], "left").withColumn("tier", F.when((F.col("tier") == "HIGH") & F.col("reached").isNull(), "MEDIUM").otherwise(F.col("tier")))
+    t = tracked(spark, d)
+    adjusted = tracking.adjusted_tiers(t.tiers, pairing.run_blocks(t.trimmed(), t.tiers))
     names = ("HIGH", "MEDIUM", "SUB", "REJECT", "SKIPPED")
-    return t.groupBy("file_index").agg(*(F.count_if(F.col("tier") == n).alias(f"n_{n.lower()}") for n in names))
+    return adjusted.groupBy("file_index").agg(*(F.count_if(F.col("tier") == n).alias(f"n_{n.lower()}") for n in names))
 
 
 @query("c2_mixed_trap", f"SELECT vec_id, s_t > 0.1 AS discarded FROM {_SCORES}")

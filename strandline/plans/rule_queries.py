@@ -170,7 +170,11 @@ def w14(spark, d):
     return folds.speaking_windows(frames(spark, d), ["key"])
 
 
-@query("v9_greedy_clusters")
+@query("v9_greedy_clusters", f"""WITH RECURSIVE p AS (SELECT *, row_number() OVER (PARTITION BY file_index ORDER BY pos) AS n FROM {VECTORS}),
+    r AS (SELECT file_index, vec_id, n, 0::BIGINT AS cluster, [v] AS firsts FROM p WHERE n = 1
+      UNION ALL SELECT file_index, vec_id, n, coalesce(hit, len(firsts)), CASE WHEN hit IS NULL THEN list_append(firsts, v) ELSE firsts END
+      FROM (SELECT p.file_index, p.vec_id, p.n, p.v, r.firsts, list_position(list_transform(r.firsts, lambda f: round(list_cosine_similarity(f, p.v), 6) >= 0.25), true) - 1 AS hit FROM r JOIN p ON p.file_index = r.file_index AND p.n = r.n + 1))
+    SELECT file_index, vec_id, cluster FROM r""")
 def v9(spark, d):
     return folds.greedy_clusters(vectors(spark, d), ["file_index"], ["pos"], "v", ["vec_id"], 0.25)
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import sessions
+from ..functions.gates import activity_review
+from ..functions.rules import activity_level, utc_stamp
+from ..operators import intervals as iv
+from ..operators import islands as isl
+from ..operators import pairing, sessions
 from ..sources.clicks import parse_clicks
+from .interval_queries import _DECIDED, MERGED, _evidence
 from .registry import query
 from .views import spans, spans_sql, table
 
@@ -66,3 +71,110 @@ def a10(spark, d):
 def p12(spark, d):
     s = states(spark, d).withColumn("why", F.coalesce("reason", F.when(F.col("event_id") % 7 == 0, "seed_too_short"))).where("why is not null")
     return s.select("user_id", "event_id", sessions.refusal_text(F.col("why"), F.col("event_id"), F.lit(3000)).alias("message"))
+
+
+_EPOCHS = _STATES[: _STATES.index("SELECT s.user_id")] + "SELECT c.*, e.value FROM c JOIN events e USING (user_id, event_id))"
+
+
+@query("u7_anchors", f"""SELECT user_id, event_id, round(CASE WHEN tb THEN avg(value) FILTER (said) OVER w ELSE last_value(CASE WHEN said THEN value END IGNORE NULLS) OVER w END, 6) AS x,
+    round(CASE WHEN tb THEN avg(event_id % 7) FILTER (said) OVER w ELSE last_value(CASE WHEN said THEN event_id % 7 END IGNORE NULLS) OVER w END, 6) AS y FROM (SELECT *, action = 'speaking' AS said FROM {_EPOCHS}) WINDOW w AS (PARTITION BY user_id, ep ORDER BY n)""")
+def u7_anchors(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", F.expr(_ACTION).alias("action"), (F.col("event_id") % 20 == 0).alias("target_flag"), F.array("value", (F.col("event_id") % 7).cast("double")).alias("face"))
+    a = sessions.session_anchors(e, ["user_id"], ["event_id"], "face")
+    return a.select("user_id", "event_id", *(F.round(F.get("anchor", F.lit(i)), 6).alias(n) for i, n in enumerate("xy")))
+
+
+@query("u7_refused_clicks", f"SELECT user_id, event_id, seeds, speaking_id, anti_id FROM {_STATES.replace(_ACTION + ' AS action', 'CASE WHEN event_id % 3 = 0 AND (' + _ACTION + ") IN ('speaking', 'anti') THEN 'refused' ELSE " + _ACTION + ' END AS action')}")
+def u7_refused(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", F.expr(_ACTION).alias("action"), (F.col("event_id") % 20 == 0).alias("target_flag"), (F.col("event_id") % 3 > 0).alias("valid"))
+    return sessions.session_states(e, ["user_id"], ["event_id"]).select("user_id", "event_id", "seeds", "speaking_id", "anti_id")
+
+
+@query("io24_payloads", f"""WITH l AS (SELECT * FROM {_STATES} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1), c AS (SELECT event_id, '{{"file_index":0,"pts_ms":' || event_id * 10 || ',"x":' || round_even(value, 2) || ',"y":' || round_even(value * 3, 2) || '}}' AS j FROM events)
+    SELECT l.user_id, '{{' || CASE WHEN a.j IS NULL THEN '' ELSE '"anti_click":' || a.j || ',' END || CASE WHEN l.user_id % 3 = 0 THEN '"interviewer_bearded":true,' ELSE '' END || '"speaking_click":' || s.j || CASE WHEN l.target_bearded THEN ',"target_bearded":true' ELSE '' END || '}}' AS payload
+    FROM l JOIN c s ON s.event_id = l.speaking_id LEFT JOIN c a ON a.event_id = l.anti_id""")
+def io24_payloads(spark, d):
+    """The click document of each session that has a speaking click, read back as a check."""
+    clicks = table(spark, d, "events").select("event_id", F.struct(F.lit(0).alias("file_index"), (F.col("event_id") * 10).alias("pts_ms"), F.col("value").alias("x"), (F.col("value") * 3).alias("y")).alias("c"))
+    last = states(spark, d).groupBy("user_id").agg(F.max_by(F.struct("speaking_id", "anti_id", "target_bearded"), "event_id").alias("s")).select("user_id", "s.*").where("speaking_id is not null")
+    side = lambda n: clicks.select(F.col("event_id").alias(f"{n}_id"), F.col("c").alias(n))
+    both = last.join(side("speaking"), "speaking_id").join(side("anti"), "anti_id", "left")
+    none = F.array_remove(F.array("speaking"), F.col("speaking"))
+    payload = sessions.export_payload(F.col("speaking"), none, F.col("anti"), F.col("target_bearded"), F.col("user_id") % 3 == 0)
+    return sessions.checked_exports(both.withColumn("payload", payload)).select("user_id", "payload")
+
+
+_SAY = {
+    0: ("no_face_at_speaking_click", "'No face is seen within 500 ms of this time; click inside a face''s box.'"), 1: ("no_face_at_anti_click", "'No face is seen within 500 ms of this time; the other person has to be in the picture.'"),
+    2: ("click_not_in_solo_speech", "'With the target''s lips unseen a seed needs 500 ms of speech with no other face in the picture.'"), 3: ("invalid_request", "'The request is malformed: pts_ms must be an integer, x and y numbers, type ''speaking'' or ''anti''.'"),
+    4: ("click_outside_speaking_window", "'The target doesn''t speak here; click where it clearly does.'"), 5: ("no_audio_energy_at_anti_click", "'Nobody speaks at this time.'"), 6: ("export_requires_speaking_click", "'No speaking click is registered.'"),
+    7: ("anti_click_required_beard", "'With the target''s lips unseen an anti click is required.'"), 8: ("anti_click_not_registered", "'The anti click to be exported isn''t registered.'"), 9: ("seed_too_short", "'The speaking window lasts ' || event_id || ' ms, and a seed needs 500 ms.'"),
+}
+
+
+@query("p12_reasons", f"SELECT event_id, CASE event_id % 11 {' '.join(f'WHEN {k} THEN {t}' for k, (_, t) in _SAY.items())} END AS message FROM events")
+def p12_reasons(spark, d):
+    reason = F.element_at(F.create_map(*(F.lit(x) for k, (r, _) in _SAY.items() for x in (k, r))), (F.col("event_id") % 11).cast("int"))
+    return table(spark, d, "events").select("event_id", sessions.refusal_text(reason, F.col("event_id"), F.lit(500)).alias("message"))
+
+
+@query("u8_timeline", """WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events), s AS (SELECT user_id, i * 40 AS a, i * 40 + 20 AS b FROM e WHERE event_type = 'view' AND value > 50)
+    SELECT user_id, i, i * 40 AS pts_ms, EXISTS (SELECT 1 FROM s WHERE s.user_id = e.user_id AND e.i * 40 BETWEEN s.a - 50 AND s.b + 50) AS vad, (value > 30)::INT AS n_faces, CASE WHEN value > 30 THEN round_even(value, 1) END AS x0,
+    CASE WHEN value > 30 AND event_type <> 'error' THEN round_even(value / 490, 4) END AS mar, CASE WHEN value > 30 THEN round_even(value / 500, 3) END AS det FROM e""")
+def u8(spark, d):
+    from pyspark.sql import Window
+
+    e = table(spark, d, "events").withColumn("i", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long") - 1).withColumn("pts_ms", F.col("i") * 40)
+    face = F.struct(F.array("value").alias("bbox"), F.when(F.col("event_type") != "error", F.col("value") / 490).alias("mar"), (F.col("value") / 500).alias("det_score"), (F.col("value") - 60).alias("yaw"))
+    frames = e.where("value > 30").select("user_id", "pts_ms", F.array(face).alias("faces"))
+    speech = e.where("event_type = 'view' and value > 50").select("user_id", F.col("pts_ms").alias("start_ms"), (F.col("pts_ms") + 20).alias("end_ms"))
+    shown = sessions.display_frames(e.select("user_id", "i", "pts_ms"), frames, speech, "user_id")
+    first = F.get("faces", F.lit(0))
+    return shown.select("user_id", "i", "pts_ms", "vad", F.size("faces").alias("n_faces"), F.get(first["bbox"], F.lit(0)).alias("x0"), first["mar"].alias("mar"), first["det"].alias("det"))
+
+
+@query("a17_notices", "SELECT user_id, CASE event_type WHEN 'error' THEN 'warning' ELSE 'drift_notice' END AS kind, count(*) AS n FROM events WHERE event_type IN ('error', 'purchase') GROUP BY ALL")
+def a17_notices(spark, d):
+    operation = F.when(F.col("event_type") == "error", "warning").when(F.col("event_type") == "purchase", "drift_notice").otherwise(F.col("event_type"))
+    return sessions.notices(table(spark, d, "events").withColumn("operation", operation)).groupBy("user_id", "kind").agg(F.count("*").alias("n"))
+
+
+@query("c13_activity_review", "SELECT event_id, 'near_zero_activity_manual_review' AS warning FROM events WHERE event_type <> 'error' AND value / 100 < 0.1")
+def c13(spark, d):
+    level = activity_level(F.when(F.col("event_type") != "error", F.col("value") / 100))
+    return table(spark, d, "events").select("event_id", activity_review(level).alias("warning")).where("warning is not null")
+
+
+@query("p19_utc_stamp", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS at FROM events")
+def p19(spark, d):
+    return table(spark, d, "events").select("event_id", utc_stamp(F.col("ts")).alias("at"))
+
+
+@query("j19_hover", f"""SELECT b.id, (SELECT r.id FROM {spans_sql('error')} r WHERE r.key = b.key AND r.start_ms <= b.start_ms AND b.start_ms < r.end_ms ORDER BY r.start_ms, r.id LIMIT 1) AS hit FROM {spans_sql('click', 'purchase')} b""")
+def j19(spark, d):
+    points = spans(spark, d, "click", "purchase").select("key", "id", F.col("start_ms").alias("at"))
+    over = spans(spark, d, "error").select("key", F.col("id").alias("span"), "start_ms", "end_ms")
+    return pairing.hit_first(points, over, ["id"], "at", take="span").select("id", "hit")
+
+
+@query("set3_concatenated", f"SELECT key, kind AS lane, start_ms, end_ms FROM {spans_sql('click')} UNION ALL SELECT key, 'merged', start_ms, end_ms FROM ({MERGED.format(src=spans_sql('view'))})")
+def set3(spark, d):
+    """Lanes of different make one after the other, repeats kept."""
+    one = spans(spark, d, "click").select("key", F.col("kind").alias("lane"), "start_ms", "end_ms")
+    return one.unionByName(isl.merge_intervals(spans(spark, d, "view"), ["key"]).withColumn("lane", F.lit("merged")))
+
+
+_PARTS = f"({MERGED.format(src=spans_sql('view'))})"
+
+
+@query("a9_contamination_totals", f"""WITH p AS {_PARTS}, r AS ({MERGED.format(src=spans_sql('error'))}), dd AS ({_DECIDED}),
+    c AS (SELECT key, sum(end_ms - start_ms)::BIGINT AS high_ms FROM p GROUP BY 1),
+    x AS (SELECT p.key, sum(least(p.end_ms, r.end_ms) - greatest(p.start_ms, r.start_ms))::BIGINT AS contaminated_ms FROM p JOIN r ON p.key = r.key AND p.start_ms < r.end_ms AND r.start_ms < p.end_ms GROUP BY 1),
+    b AS (SELECT key, sum(gap_ms)::BIGINT AS bridged_ms, count(*) AS n_bridged FROM dd WHERE reason = 'bridged' GROUP BY 1)
+    SELECT key, sum(high_ms)::BIGINT AS high_ms, sum(coalesce(contaminated_ms, 0))::BIGINT AS contaminated_ms, sum(high_ms - coalesce(contaminated_ms, 0))::BIGINT AS clean_ms, sum(coalesce(bridged_ms, 0))::BIGINT AS bridged_ms, sum(coalesce(n_bridged, 0))::BIGINT AS n_bridged
+    FROM c LEFT JOIN x USING (key) LEFT JOIN b USING (key) GROUP BY ROLLUP (key)""")
+def a9_totals(spark, d):
+    """Per key, and as key null for all: run time, overlapped and clean time, bridged gaps."""
+    parts, regions = isl.merge_intervals(spans(spark, d, "view"), ["key"]), isl.merge_intervals(spans(spark, d, "error"), ["key"])
+    decisions = iv.bridge_decisions(parts, spans(spark, d, "error").select("key", "start_ms", "end_ms"), _evidence(spark, d), 2500)
+    return sessions.contamination_totals(parts, regions, decisions, "key")

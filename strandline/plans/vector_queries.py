@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import TierParams
 from ..functions.vectors import cosine, normalize
 from ..operators import islands as isl
 from ..operators import pairing, pools, tracking
+from ..sources.shared import stored
 from .registry import query
 from .views import VECTORS, table, vectors
 
@@ -34,7 +38,7 @@ _SCORES = f"(SELECT vec_id, file_index, pos, dur_ms, label, round(list_cosine_si
 
 def scores(spark, d):
     """Each vector's cosines to the composites of labels 0 and 1, to six places."""
-    both = vectors(spark, d).join(F.broadcast(composite(spark, d, 0))).join(F.broadcast(composite(spark, d, 1)))
+    both = vectors(spark, d).withColumns({f"m{label}": composite(spark, d, label).scalar() for label in (0, 1)})
     at = lambda m: F.round(cosine(F.col("v"), F.col(m)), 6) + 0.0
     return both.select("vec_id", "file_index", "pos", "dur_ms", "label", at("m0").alias("s_t"), at("m1").alias("s_i"))
 
@@ -88,7 +92,7 @@ def v7(spark, d):
 def v12(spark, d):
     from ..functions.rules import contamination_level
 
-    s = composite(spark, d, 0).join(F.broadcast(composite(spark, d, 1))).select(cosine(F.col("m0"), F.col("m1")).alias("s"))
+    s = composite(spark, d, 0).withColumn("m1", composite(spark, d, 1).scalar()).select(cosine(F.col("m0"), F.col("m1")).alias("s"))
     return s.select(F.round("s", 6).alias("similarity"), contamination_level(F.col("s")).alias("level"))
 
 
@@ -112,9 +116,9 @@ _CAL = f"""(SELECT n AS n_enrollment, CASE WHEN n >= 10 THEN least(greatest(raw,
     FROM (SELECT n, worst, CASE WHEN worst IS NULL THEN greatest(q, 0.55) ELSE greatest(q, worst + 0.05) END AS raw FROM (SELECT count(*) AS n, quantile_cont(s, 0.1) AS q FROM ({_GEN})), (SELECT max(s_t) AS worst FROM {_SCORES} WHERE label = 1)))"""
 
 
-def calibration(spark, d):
+def calibration(spark, d, scored=None):
     genuine = loo(spark, d).select(F.col("loo").alias("s"))
-    impostor = scores(spark, d).where("label = 1").select(F.col("s_t").alias("s"))
+    impostor = (scores(spark, d) if scored is None else scored).where("label = 1").select(F.col("s_t").alias("s"))
     return pools.calibrate(genuine, impostor, P)
 
 
@@ -161,10 +165,10 @@ def spoken_windows(spark, d):
     return pairing.speech_share(v.drop("label").withColumn("end_ms", F.col("start_ms") + 5000), speech, ["vec_id"], "file_index")
 
 
-def windows(spark, d):
+def windows(spark, d, scored=None):
     """Scored windows; those with too little speech are skipped."""
     enough = spoken_windows(spark, d).where("scored").select("vec_id")
-    return scores(spark, d).join(enough, "vec_id").select("file_index", (F.col("pos") * 1000).alias("ws"), (F.col("pos") * 1000 + 5000).alias("we"), "s_t", "s_i")
+    return (scores(spark, d) if scored is None else scored).join(enough, "vec_id").select("file_index", (F.col("pos") * 1000).alias("ws"), (F.col("pos") * 1000 + 5000).alias("we"), "s_t", "s_i")
 
 
 _POOLED = f"""(SELECT file_index, block_index, coalesce(n, 0) AS evaluations, s_t AS s_target, s_i AS s_other
@@ -172,8 +176,8 @@ _POOLED = f"""(SELECT file_index, block_index, coalesce(n, 0) AS evaluations, s_
     LEFT JOIN (SELECT file_index, b AS block_index, count(*) AS n, median(s_t) AS s_t, median(s_i) AS s_i FROM (SELECT *, unnest(range(pos, pos + 5)) AS b FROM {_SCORES} WHERE vec_id IN (SELECT vec_id FROM {_SPOKEN} WHERE overlap_ms >= 1000)) GROUP BY ALL) USING (file_index, block_index))"""
 
 
-def pooled(spark, d):
-    return tracking.median_pool(files(spark, d), windows(spark, d))
+def pooled(spark, d, scored=None):
+    return tracking.median_pool(files(spark, d), windows(spark, d, scored))
 
 
 @query("a3_median_pool", f"SELECT file_index, block_index, evaluations, round(s_target, 8) AS s_target, round(s_other, 8) AS s_other FROM {_POOLED}")
@@ -185,8 +189,39 @@ _TIERED = f"""(SELECT p.*, theta_high, theta_med, CASE WHEN s_target IS NULL THE
     WHEN s_target > theta_med THEN 'MEDIUM' WHEN s_target >= -0.04 THEN 'SUB' ELSE 'REJECT' END AS tier, coalesce(s_target > theta_high AND NOT coalesce(s_target - s_other > 0, false), false) AS margin_failed FROM {_POOLED} p, {_CAL} c)"""
 
 
+@dataclass
+class Tracked:
+    """What the queries from here on share, each computed once and stored: scores of all vectors, the one row of calibration, tiered blocks."""
+
+    scores: DataFrame
+    calibration: DataFrame
+    tiers: DataFrame
+    files: DataFrame
+
+    def runs(self) -> DataFrame:
+        r = isl.runs(self.tiers, ["file_index"], "block_index", F.col("tier") == "HIGH")
+        return r.select("file_index", (F.col("first") * 1000).alias("start_ms"), (F.col("stop") * 1000).alias("end_ms"))
+
+    def refined(self) -> DataFrame:
+        """Runs with edges trimmed by fine windows, each scored by the vector of the second where it starts."""
+        runs = self.runs()
+        s = self.scores.select("file_index", F.col("pos").alias("slot"), "s_t", "s_i")
+        hit = tracking.fine_windows(runs, self.files).withColumn("slot", F.expr("ws div 1000")).join(s, ["file_index", "slot"])
+        passes = tracking.fine_passes(F.col("s_t"), F.col("s_i"), self.calibration.select("theta_high").scalar(), P.margin)
+        return tracking.refine_edges(runs, hit.select("file_index", "start_ms", "leading", "p", passes.alias("passes")))
+
+    def trimmed(self) -> DataFrame:
+        return self.refined().where("survives").select("file_index", F.col("new_start_ms").alias("start_ms"), F.col("new_end_ms").alias("end_ms"))
+
+
+def tracked(spark, d) -> Tracked:
+    scored = stored(scores(spark, d), "scores")
+    calibrated = stored(calibration(spark, d, scored), "calibration")
+    return Tracked(scored, calibrated, stored(tracking.tiered(pooled(spark, d, scored), calibrated, P), "tiers"), files(spark, d))
+
+
 def tiers(spark, d):
-    return tracking.tiered(pooled(spark, d), calibration(spark, d), P)
+    return tracked(spark, d).tiers
 
 
 @query("c5_tier_blocks", f"SELECT file_index, block_index, tier, margin_failed FROM {_TIERED}")
@@ -203,21 +238,6 @@ def a6(spark, d):
 _RUNS = f"(SELECT file_index, min(block_index) * 1000 AS start_ms, (max(block_index) + 1) * 1000 AS end_ms FROM (SELECT *, block_index - row_number() OVER (PARTITION BY file_index ORDER BY block_index) AS g FROM {_TIERED} WHERE tier = 'HIGH') GROUP BY file_index, g)"
 
 
-def high_runs(spark, d):
-    r = isl.runs(tiers(spark, d), ["file_index"], "block_index", F.col("tier") == "HIGH")
-    return r.select("file_index", (F.col("first") * 1000).alias("start_ms"), (F.col("stop") * 1000).alias("end_ms"))
-
-
-def fine_scores(spark, d, runs):
-    """Fine positions around both edges of each run, scored by the vector of the second where the fine window starts."""
-    edges = runs.select("file_index", "start_ms", F.explode(F.array(F.struct(F.lit(True).alias("leading"), F.col("start_ms").alias("edge")), F.struct(F.lit(False).alias("leading"), F.col("end_ms").alias("edge")))).alias("e"))
-    p = edges.select("file_index", "start_ms", "e.leading", F.explode(tracking.fine_positions(F.col("e.edge"))).alias("p")).join(files(spark, d), "file_index")
-    at = p.withColumn("ws", F.greatest(F.col("p") - F.when(F.col("leading"), 0).otherwise(2000), F.lit(0))).withColumn("we", F.least(F.col("p") + F.when(F.col("leading"), 2000).otherwise(0), "duration_ms")).where("we - ws >= 1000")
-    s = scores(spark, d).select("file_index", F.col("pos").alias("slot"), "s_t", "s_i")
-    hit = at.withColumn("slot", F.expr("ws div 1000")).join(s, ["file_index", "slot"]).join(F.broadcast(calibration(spark, d).select("theta_high")))
-    return hit.select("file_index", "start_ms", "leading", "p", ((F.col("s_t") > F.col("theta_high")) & F.coalesce(F.col("s_t") - F.col("s_i") > P.margin, F.lit(True))).alias("passes"))
-
-
 _FINE = f"""(SELECT r.file_index, r.start_ms, lead, p, s.s_t > c.theta_high AND coalesce(s.s_t - s.s_i > 0, true) AS passes FROM
     (SELECT *, CASE WHEN lead THEN greatest(p, 0) ELSE greatest(p - 2000, 0) END AS ws, CASE WHEN lead THEN least(p + 2000, duration_ms) ELSE least(p, duration_ms) END AS we
      FROM (SELECT file_index, start_ms, true AS lead, unnest(range(start_ms - 2000, start_ms + 2001, 250)) AS p FROM {_RUNS} UNION ALL SELECT file_index, start_ms, false, unnest(range(end_ms - 2000, end_ms + 2001, 250)) FROM {_RUNS}) JOIN {_FILES} USING (file_index)) r
@@ -228,14 +248,9 @@ _REFINED = f"""(SELECT *, CASE WHEN ns < end_ms AND trail IS NOT NULL AND end_ms
     (SELECT r.file_index, r.start_ms, r.end_ms, min(p) FILTER (passes AND lead AND p >= r.start_ms) AS lead_at, max(p) FILTER (passes AND NOT lead AND p <= r.end_ms) AS trail FROM {_RUNS} r LEFT JOIN {_FINE} f USING (file_index, start_ms) GROUP BY ALL))))"""
 
 
-def refined(spark, d):
-    r = high_runs(spark, d)
-    return tracking.refine_edges(r, fine_scores(spark, d, r))
-
-
 @query("w18_edge_trim", f"SELECT file_index, start_ms, end_ms, ns AS new_start_ms, ne AS new_end_ms, lead_demoted, trail_demoted, ns < ne AS survives FROM {_REFINED}")
 def w18(spark, d):
-    return refined(spark, d)
+    return tracked(spark, d).refined()
 
 
 @query("a7_file_summary", "SELECT file_index, " + ", ".join(f"n_{t}" for t in ("high", "medium", "sub", "reject", "skipped")) + f""", high_ms, silero_ms, round(high_ms / nullif(silero_ms, 0), 6) AS ratio,
@@ -244,14 +259,14 @@ def w18(spark, d):
     JOIN (SELECT file_index, coalesce(sum(ne - ns) FILTER (ns < ne), 0)::BIGINT AS high_ms FROM {_FILES} LEFT JOIN {_REFINED} USING (file_index) GROUP BY 1) USING (file_index)
     JOIN (SELECT file_index, sum(dur_ms)::BIGINT AS silero_ms FROM {VECTORS} GROUP BY 1) USING (file_index)""")
 def a7(spark, d):
-    runs = refined(spark, d).where("survives").select("file_index", F.col("new_start_ms").alias("start_ms"), F.col("new_end_ms").alias("end_ms"))
+    t = tracked(spark, d)
     speech = vectors(spark, d).groupBy("file_index").agg(F.sum("dur_ms").alias("silero_ms"))
-    return tracking.file_summary(tiers(spark, d), runs, speech).withColumn("ratio", F.round("ratio", 6))
+    return tracking.file_summary(t.tiers, t.trimmed(), speech).withColumn("ratio", F.round("ratio", 6))
 
 
 @query("a9_totals_rollup", f"SELECT coalesce(file_index::VARCHAR, 'all') AS file, count(*) AS runs, sum(ne - ns)::BIGINT AS high_ms FROM {_REFINED} WHERE ns < ne GROUP BY ROLLUP (file_index)")
 def a9(spark, d):
-    runs = refined(spark, d).where("survives")
+    runs = tracked(spark, d).refined().where("survives")
     out = runs.rollup("file_index").agg(F.count("*").alias("runs"), F.sum(F.col("new_end_ms") - F.col("new_start_ms")).alias("high_ms"))
     return out.select(F.coalesce(F.col("file_index").cast("string"), F.lit("all")).alias("file"), "runs", "high_ms")
 
@@ -275,9 +290,5 @@ def w10(spark, d):
 
 @query("w11_variance_jump", f"SELECT event_id, round(s - p, 6) AS increase FROM (SELECT *, last_value(known IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM {_EARLY}) WHERE known IS NOT NULL AND round(s - p, 6) > 0.05")
 def w11(spark, d):
-    from pyspark.sql import Window
-
     e = table(spark, d, "events").withColumn("s", F.round(F.col("value") / 490, 6)).withColumn("known", F.when(F.col("event_type") != "error", F.col("s")))
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
-    out = e.withColumn("increase", F.round(F.col("s") - F.last("known", ignorenulls=True).over(w), 6))
-    return out.where("known is not null and increase > 0.05").select("event_id", "increase")
+    return tracking.variance_jumps(e, ["user_id"], "event_id", "known", "s", 0.05).select("event_id", "increase")
