@@ -53,7 +53,7 @@ def pool_history(df: DataFrame, keys: list[str], order: str, vector: str, durati
     group = [*keys, order]
     so_far = lambda column, *parts: F.sum(column).over(Window.partitionBy(*keys, *parts).orderBy(order))
     base = df.groupBy(*group).agg(F.sum(duration).alias("ms")).withColumn("ms", so_far("ms"))
-    grown = gram_sums(df, group, vector).withColumns({c: so_far(c, "p") for c in ("x", "n", "live")})
+    grown = gram_sums(df, group, vector).withColumns({c: so_far(c, "__p") for c in ("__x", "__n", "__live")})
     out = base.join(gram_variance(grown, group), group)
     return out.select(*group, F.col("n").alias("pool_size"), F.col("ms").alias("verified_ms"), F.col("variance").alias("pool_variance"))
 
@@ -65,11 +65,11 @@ def profiles(vectors: DataFrame, files: DataFrame, keys: list[str], order: str,
     """
     group = [*keys, order]
     sums = exact_vector_sum(vectors, group, vector, F.col(duration), "__t")
-    each = sums.select(*group, F.posexplode(F.concat(F.array("weight_total"), "__t")).alias("p", "x"))
-    run = Window.partitionBy(*keys, "p").orderBy(order)
-    each = each.withColumns({"after": F.sum("x").over(run), "before": F.sum("x").over(run.rowsBetween(Window.unboundedPreceding, -1))})
+    each = sums.select(*group, F.posexplode(F.concat(F.array("weight_total"), "__t")).alias("__p", "__x"))
+    run = Window.partitionBy(*keys, "__p").orderBy(order)
+    each = each.withColumns({"after": F.sum("__x").over(run), "before": F.sum("__x").over(run.rowsBetween(Window.unboundedPreceding, -1))})
     mean = lambda c: F.transform(F.slice(c, F.lit(2), F.size(c) - 1), lambda x: x / F.get(c, F.lit(0)))
-    gathered = each.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("p", "before", "after"))).alias("__a"))
+    gathered = each.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("__p", "before", "after"))).alias("__a"))
     part = lambda name: F.transform("__a", lambda s: s[name])
     known = gathered.select(*group, mean(part("after")).alias("after"), F.when(F.get("__a", F.lit(0))["before"].isNotNull(), mean(part("before"))).alias("before"))
     # a file without vectors has what the last one with some left
@@ -103,7 +103,7 @@ def enrollment_course(windows: DataFrame, anti: DataFrame, keys: list[str], orde
     taken = judged.withColumn("__pass", take).where("__pass is not null").select(*group, "__pass", "vector", "duration_ms")
     by = [*group, "__pass"]
     sums = exact_vector_sum(taken, by, "vector", F.col("duration_ms"), "__w").select(*by, F.concat(F.array("weight_total"), "__w").alias("__w"))
-    grams = gram_sums(taken, by, "vector").groupBy(*by).agg(F.max("n").alias("__n"), F.max("live").alias("__live"), F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda s: s["x"]).alias("__g"))
+    grams = gram_sums(taken, by, "vector").groupBy(*by).agg(F.max("__n").alias("__n"), F.max("__live").alias("__live"), F.transform(F.array_sort(F.collect_list(F.struct("__p", "__x"))), lambda s: s["__x"]).alias("__g"))
     both = sums.join(grams, by).withColumn("__row", F.struct("__n", "__live", "__w", "__g"))
     wide = both.groupBy(*group).agg(*(F.max_by("__row", F.when(F.col("__pass") == i, 1)).alias(f"__p{i}") for i in (1, 2)))
     rows = profile.select(*group, F.col("after").alias("__anti")).join(wide, group, "left")

@@ -118,12 +118,12 @@ HELD = 128
 
 
 def gram_sums(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
-    """Per key: n, live (vectors of a norm above TINY), s (sum of unit vectors, by dimension) and g (upper triangle of the sum of their outer products, row by row).
+    """Per key and place __p: __x, the sum of unit vectors by dimension and after it the upper triangle of the sum of their outer products, row by row; beside it __n vectors, __live of a norm above TINY, and __d places.
 
     A task multiplies a key's vectors as one matrix, so it sends d + d (d + 1) / 2 numbers a key, whatever the number of vectors.  Null vectors are left out; a key's vectors have one length.
     """
     kinds = [StructField(k, df.schema[k].dataType) for k in keys]
-    out = StructType([*kinds, StructField("n", LongType()), StructField("live", LongType()), StructField("all", ArrayType(DoubleType()))])
+    out = StructType([*kinds, StructField("__n", LongType()), StructField("__live", LongType()), StructField("__all", ArrayType(DoubleType()))])
     names = out.fieldNames()
 
     def run(batches):
@@ -155,9 +155,8 @@ def gram_sums(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
             yield flush()
 
     parts = df.where(F.col(vector).isNotNull()).select(*keys, vector).mapInArrow(run, out)
-    each = parts.select(*keys, "n", "live", F.size("all").alias("d"), F.posexplode("all").alias("p", "x"))
-    merged = each.groupBy(*keys, "p").agg(F.sum("n").alias("n"), F.sum("live").alias("live"), F.max("d").alias("d"), F.sum("x").alias("x"))
-    return merged
+    each = parts.select(*keys, "__n", "__live", F.size("__all").alias("__d"), F.posexplode("__all").alias("__p", "__x"))
+    return each.groupBy(*keys, "__p").agg(F.sum("__n").alias("__n"), F.sum("__live").alias("__live"), F.max("__d").alias("__d"), F.sum("__x").alias("__x"))
 
 
 def gram_variance(merged: DataFrame, keys: list[str]) -> DataFrame:
@@ -167,17 +166,16 @@ def gram_variance(merged: DataFrame, keys: list[str]) -> DataFrame:
     cosines = (|M|_F^2 - m) / 2 for M = sum u u^T, so no pair is formed.  Vectors of zero norm have cosine 0 to all; fewer than two give 0.
     """
     # of d sums and d (d + 1) / 2 products: row i of the triangle begins at d + i d - i (i - 1) / 2
-    d = F.expr("cast(round((sqrt(9 + 8 * d) - 3) / 2) as int)")
-    e = merged.withColumn("dim", d).withColumn("t", F.col("p") - F.col("dim"))
-    row = F.expr("cast(floor((2 * dim + 1 - sqrt((2 * dim + 1) * (2 * dim + 1) - 8 * cast(t as double))) / 2 + 1e-9) as int)")
-    e = e.withColumn("row", F.when(F.col("t") >= 0, row))
-    diagonal = F.expr("t = row * dim - row * (row - 1) div 2")
-    square = F.col("x") * F.col("x")
+    e = merged.withColumn("__dim", F.expr("cast(round((sqrt(9 + 8 * __d) - 3) / 2) as int)")).withColumn("__t", F.expr("__p - __dim"))
+    row = F.expr("cast(floor((2 * __dim + 1 - sqrt((2 * __dim + 1) * (2 * __dim + 1) - 8 * cast(__t as double))) / 2 + 1e-9) as int)")
+    e = e.withColumn("__row", F.when(F.col("__t") >= 0, row))
+    diagonal = F.expr("__t = __row * __dim - __row * (__row - 1) div 2")
+    square = F.col("__x") * F.col("__x")
     sums = e.groupBy(*keys).agg(
-        F.max("n").alias("n"), F.max("live").alias("m"), F.sum(F.when(F.col("t") < 0, square)).alias("ss"),
-        F.sum(F.when(F.col("t") >= 0, F.when(diagonal, square).otherwise(2 * square))).alias("mm"),
+        F.max("__n").alias("n"), F.max("__live").alias("__m"), F.sum(F.when(F.col("__t") < 0, square)).alias("__ss"),
+        F.sum(F.when(F.col("__t") >= 0, F.when(diagonal, square).otherwise(2 * square))).alias("__mm"),
     )
     pairs = F.col("n") * (F.col("n") - 1) / 2
-    mean = (F.col("ss") - F.col("m")) / 2 / pairs
-    variance = (F.col("mm") - F.col("m")) / 2 / pairs - mean * mean
+    mean = (F.col("__ss") - F.col("__m")) / 2 / pairs
+    variance = (F.col("__mm") - F.col("__m")) / 2 / pairs - mean * mean
     return sums.select(*keys, "n", F.when(F.col("n") < 2, 0.0).otherwise(F.greatest(variance, F.lit(0.0))).alias("variance"))
