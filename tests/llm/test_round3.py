@@ -276,3 +276,40 @@ def test_lines_are_cut_in_linear_time(spark):
     df = spark.createDataFrame([(1, text, list(range(0, 200_000, 2))), (2, "a\nb\n", [1]), (3, None, [0]), (4, "\n\n", [])], "id long, text string, gone array<int>")
     got = {r.id: r.left for r in df.select("id", _without("text", "gone").alias("left")).collect()}
     assert got == {1: "\n".join(f"line {i}" for i in range(1, 200_000, 2)), 2: "a\n", 3: None, 4: "\n\n"}
+
+
+# ---- 1: items in many blocks; 5: an independent best segmentation
+
+
+def test_leaks_of_many_blocks_go(spark):
+    from strandline.llm import decontaminate
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, prose(rng, rng.randint(3, 30), words)) for i in range(25)] + [(90, None), (91, "")]
+    texts = [prose(rng, 20, words) + (" " + items[i % 25][1] + " " if i % 3 == 0 else " ") + prose(rng, 20, words) for i in range(60)] + ODD
+    docs = make(spark, [*texts, texts[0], texts[1]], [*range(len(texts)), None, None])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    one, many = (sorted(map(str, decontaminate.without_leaks(docs, table, block_words=b).collect())) for b in (1_000_000, 40))
+    assert one == many and len(one) == len(texts) + 2 - 21
+
+
+def test_codec_against_an_independent_search(spark):
+    from strandline.llm import piece_codec
+
+    v = piece_codec.load()
+
+    def best(text):
+        """Of all ways to cut a text into pieces and single code points: the greatest sum of scores."""
+        at = [0] + [-math.inf] * len(text)
+        for end in range(1, len(text) + 1):
+            single = at[end - 1] + v.unknown
+            at[end] = max([single, *(at[end - n] + v.scores[text[end - n : end]] for n in range(1, min(v.longest, end) + 1) if text[end - n : end] in v.scores)])
+        return at[-1]
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(40).collect()
+    texts = [r.text[:1500] for r in rows if r.text] + [t for t in ODD if t and len(t) < 2000] + ["nospacesatall" * 60, "  a   b ", "𝒳y" * 30]
+    docs = make(spark, texts)
+    for chunk in (23, 1000):
+        got = {r.doc_id: r.ids for r in piece_codec.encode(docs, v, ["doc_id"], chunk_chars=chunk).collect()}
+        assert all(piece_codec.score_of(v, t, got[i]) == best(" " + t) for i, t in enumerate(texts))
