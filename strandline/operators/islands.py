@@ -48,13 +48,17 @@ def segments_from_probabilities(df: DataFrame, keys: list[str], index: str, prob
     """Windows with prob >= threshold become segments: runs, then gaps under min_silence closed, then
     segments under min_speech dropped, then padding within the recording and touching ones united."""
     at = lambda n: F.expr(f"({n} * {p.window_samples} * 1000) div {p.sample_rate}")
-    total = df.groupBy(*keys).agg(F.max(at(f"({index} + 1)")).alias("total_ms"))
-    found = runs(df, keys, index, F.col(prob) >= p.threshold).select(*keys, at("first").alias("start_ms"), at("stop").alias("end_ms"))
+    w = Window.partitionBy(*keys)
+    # the recording's length and the runs come from one exchange by key
+    held = df.withColumn("__total", F.max(at(f"({index} + 1)")).over(w)).where(F.col(prob) >= p.threshold)
+    held = held.withColumn("__run", F.col(index) - F.row_number().over(w.orderBy(index)))
+    found = held.groupBy(*keys, "__total", "__run").agg(F.min(index).alias("first"), (F.max(index) + 1).alias("stop"))
+    found = found.select(*keys, "__total", at("first").alias("start_ms"), at("stop").alias("end_ms"))
     gap = lambda w: F.col("start_ms") - F.lag("end_ms").over(w)
     joined = islands(found, keys, ["start_ms"], lambda w: gap(w).isNull() | (gap(w) >= p.min_silence_ms))
-    joined = joined.groupBy(*keys, "island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms")).drop("island")
-    kept = joined.where(F.col("end_ms") - F.col("start_ms") >= p.min_speech_ms).join(total, keys)
-    padded = kept.select(*keys, F.greatest(F.col("start_ms") - p.pad_ms, F.lit(0)).alias("start_ms"), F.least(F.col("end_ms") + p.pad_ms, "total_ms").alias("end_ms"))
+    joined = joined.groupBy(*keys, "__total", "island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms")).drop("island")
+    kept = joined.where(F.col("end_ms") - F.col("start_ms") >= p.min_speech_ms)
+    padded = kept.select(*keys, F.greatest(F.col("start_ms") - p.pad_ms, F.lit(0)).alias("start_ms"), F.least(F.col("end_ms") + p.pad_ms, "__total").alias("end_ms"))
     return merge_intervals(padded, keys)
 
 

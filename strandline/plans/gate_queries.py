@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import gates
 from ..functions.vectors import cosine
-from ..operators import enrollment, pools
+from ..operators import enrollment, pairing, pools
 from .registry import query
 from .rule_queries import frames
 from .vector_queries import _SCORES, scores
@@ -21,6 +21,18 @@ def c7(spark, d):
     return scores(spark, d).select("vec_id", F.coalesce(reason, F.lit("accepted")).alias("outcome"))
 
 
+@query("c7_seed_gate", f"""WITH w AS (SELECT vec_id, file_index, pos * 1000 AS a, pos * 1000 + dur_ms AS b FROM {VECTORS}), s AS (SELECT file_index, pos * 1000 AS a, pos * 1000 + dur_ms AS b FROM {VECTORS} WHERE label = 0 AND pos < 30)
+    SELECT vec_id, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.file_index = w.file_index AND w.a < s.b AND s.a < w.b) THEN 'seed_overlap' WHEN s_t < 0.05 THEN 'low_sim_to_anchor' WHEN s_i > 0.1 OR round(s_t - s_i, 6) < 0.08 THEN 'anti_reject' ELSE 'accepted' END AS outcome
+    FROM w JOIN {_SCORES} USING (vec_id, file_index)""")
+def c7_seeds(spark, d):
+    """The gate with seeds from the recording: the first thirty seconds' vectors of label 0 exclude what they overlap."""
+    v = vectors(spark, d).select("vec_id", "file_index", "pos", "label", (F.col("pos") * 1000).alias("start_ms"), (F.col("pos") * 1000 + F.col("dur_ms")).alias("end_ms"))
+    spans_ = pairing.seed_excluded(v.select("vec_id", "file_index", "start_ms", "end_ms"), v.where("label = 0 and pos < 30"), ["vec_id"], "file_index")
+    # the margin lies between two values of six places
+    reason = gates.audio_gate(F.col("seed_overlap"), F.col("s_t"), F.col("s_i"), accept_min=0.05, anti_max=0.1, margin=0.0799999)
+    return spans_.join(scores(spark, d).select("vec_id", "s_t", "s_i"), "vec_id").select("vec_id", F.coalesce(reason, F.lit("accepted")).alias("outcome"))
+
+
 @query("c8_anti_centers", "SELECT user_id, pts_ms FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) * 100 AS pts_ms FROM events) WHERE event_id % 5 = 0 AND event_id % 3 > 0 AND round(0.3 - least(value, 100.0) / 400, 4) < 0.1 AND value > 8")
 def c8(spark, d):
     hit = gates.anti_center(F.col("other_present"), F.col("other_mar"), F.col("vad"))
