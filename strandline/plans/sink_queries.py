@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import audit, documents, frames as fr, islands as isl
+from ..operators import audit, documents
+from ..operators import frames as fr
+from ..operators import islands as isl
+from ..operators.sums import exact_sum
+from ..sources import media
 from ..sources.shared import shared_path
 from ..sources.wav import WavSource
 from ..streaming.log_sink import LogSink, worker_digests
@@ -119,3 +123,28 @@ def io12(spark, d):
 def io12_stats(spark, d):
     decoded, listed, analysed = _scanned(spark, d)
     return fr.scan_stats(decoded, listed, analysed, "user_id")
+
+
+@query("a4_exact_sums", "SELECT user_id, sum(floor(value * 1000)::BIGINT * (1 << (10 * (event_id % 3))::INT))::DOUBLE AS total FROM events GROUP BY 1")
+def a4(spark, d):
+    """Sums of values between 1 and 2^39 amid pairs of up to 2^93 that cancel out; a plain sum of doubles loses them."""
+    n = F.floor(F.col("value") * 1000).cast("double") * F.pow(F.lit(2.0), (10 * (F.col("event_id") % 3)).cast("double"))
+    large = F.pow(F.lit(2.0), F.lit(90.0)) * (1 + F.col("event_id") % 7)
+    rows = table(spark, d, "events").select("user_id", F.explode(F.array(large, n, -large)).alias("x"))
+    return exact_sum(rows, ["user_id"], F.col("x"))
+
+
+@query("io11_frame_clock", "SELECT event_id * 1000 + user_id % 1000 AS pts_ms FROM events WHERE event_id % 10 > 1")
+def io11(spark, d):
+    """Frame times from the lines that a prober prints, some of them blank or without a time."""
+    line = F.when(F.col("event_id") % 10 == 0, " ").when(F.col("event_id") % 10 == 1, "N/A").otherwise(F.concat(F.col("event_id").cast("string"), F.lit("."), F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit(",side_data")))
+    return media.frame_clock(table(spark, d, "events").select(line.alias("value")))
+
+
+@query("io10_pcm_slices", "SELECT event_id, sha256(substr(t, 1 + 32 * greatest(a - 100, 0), 32 * greatest(least(b - 100, 12) - greatest(a - 100, 0), 0))) AS sha256 FROM (SELECT event_id, 98 + event_id % 20 AS a, 101 + event_id % 23 AS b, repeat(lpad(event_id::VARCHAR, 8, '0'), 48) AS t FROM events)")
+def io10(spark, d):
+    """Slices of a recording of 12 ms that begins at 100 ms; times outside are held within it."""
+    i = F.col("event_id")
+    pcm = F.encode(F.repeat(F.lpad(i.cast("string"), 8, "0"), F.lit(48)), "utf-8")
+    part = media.pcm_slice(pcm, F.lit(100), 98 + i % 20, 101 + i % 23)
+    return table(spark, d, "events").select("event_id", F.sha2(part, 256).alias("sha256"))
