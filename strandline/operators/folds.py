@@ -92,10 +92,12 @@ def window_step(state: dict, o: dict, p: WindowParams = WindowParams()):
     """One frame of the speaking-window machine: the new state, and the window that it ends, if any.
 
     A frame has pts_ms, target_present, target_mar, target_suspended, other_present, other_mar, vad.
+    A mean is x / half + old * (half - 1) / half, not alpha * x + (1 - alpha) * old with alpha = 1 / half: means often meet a threshold exactly,
+    where the last bit decides, and this is the arithmetic that the SQL counterpart states.
     """
     s = dict(state)
-    alpha = 2.0 / (p.span + 1)
-    smooth = lambda old, x: x if old is None else alpha * x + (1 - alpha) * old
+    half = (p.span + 1) / 2
+    smooth = lambda old, x: x if old is None else x / half + old * (half - 1) / half
     if not o["other_present"]:
         s["other_ema"] = None
     elif o["other_mar"] is not None:

@@ -137,9 +137,10 @@ def frames(spark, d):
     """Events as frames of their user: one each 100 ms, in order."""
     i = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
     e, kind = table(spark, d, "events"), F.col("event_type")
+    places = lambda c: F.round(c * 10_000) / 10_000  # noqa: E731  as SQL rounds doubles: Spark's round to four places takes a half in the shortest decimal for a half in the double
     return e.select(
-        F.col("user_id").alias("key"), (i * 100).alias("pts_ms"), (kind != "error").alias("target_present"), F.round(F.least(F.col("value"), F.lit(100.0)) / 250, 4).alias("target_mar"),
-        (F.col("event_id") % 7 == 0).alias("target_suspended"), (F.col("event_id") % 5 == 0).alias("other_present"), F.when(F.col("event_id") % 3 > 0, F.round(F.lit(0.3) - F.least(F.col("value"), F.lit(100.0)) / 400, 4)).alias("other_mar"),
+        F.col("user_id").alias("key"), (i * 100).alias("pts_ms"), (kind != "error").alias("target_present"), places(F.least(F.col("value"), F.lit(100.0)) / 250).alias("target_mar"),
+        (F.col("event_id") % 7 == 0).alias("target_suspended"), (F.col("event_id") % 5 == 0).alias("other_present"), F.when(F.col("event_id") % 3 > 0, places(F.lit(0.3) - F.least(F.col("value"), F.lit(100.0)) / 400)).alias("other_mar"),
         (F.col("value") > 8).alias("vad"),
     )
 
