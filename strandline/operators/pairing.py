@@ -111,22 +111,23 @@ def second_pass(failed: DataFrame, anti_sim: Column, **bounds) -> DataFrame:
     return failed.where("gate = 'C'").withColumn("again", again)
 
 
-def located(files: DataFrame, folders: DataFrame, loose: DataFrame, most_loose: int = 10_000) -> DataFrame:
+def located(files: DataFrame, folders: DataFrame, loose: DataFrame) -> DataFrame:
     """files (file_index, source) with wav: the expected name in the first folder that has it, else the first loose file whose stem holds the source's, else the only loose one of an only file.
 
     folders: (place, path) of files in folders, in the folders' order; loose: (place, path), files named one by one by hand.
-    A stem may lie anywhere in another, which no key finds, so the loose files are sent to all tasks; more than most_loose of them are an error.
+    A stem may lie anywhere in another.  So each loose stem is cut into all its pieces as long as some file's stem is, and equal pieces meet in a join:
+    as many rows as the loose stems have places, for each length that a source's stem has.  Of the loose files with a piece only the first goes on, so a common one makes one row.
     """
-    if (n := loose.limit(most_loose + 1).count()) > most_loose:
-        raise ValueError(f"{n} or more loose files; put them into folders under their expected names")
     base = lambda c: F.element_at(F.split(c, "/"), -1)
     stem = lambda c: F.regexp_replace(base(c), r"(?<=.)\.[^.]*$", "")
     named = files.withColumn("stem", stem("source"))
     named = named.withColumn("expected", F.format_string("%03d_%s.16k.wav", "file_index", "stem"))
     one = folders.select(base("path").alias("expected"), "place", "path").groupBy("expected").agg(F.min_by("path", "place").alias("in_folder"))
     loose = loose.select("place", F.col("path").alias("loose_path"), stem("path").alias("loose_stem"))
-    two = named.join(F.broadcast(loose), F.contains("loose_stem", "stem")).groupBy("file_index").agg(F.min_by("loose_path", "place").alias("by_stem"))
+    lengths = named.where("stem is not null").select(F.length("stem").alias("n")).distinct()  # no more than a file's name has characters
+    cut = loose.join(F.broadcast(lengths), F.length("loose_stem") >= F.col("n")).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("loose_stem") - F.col("n") + 1)))
+    two = cut.groupBy(F.substring("loose_stem", F.col("at"), F.col("n")).alias("stem")).agg(F.min(F.struct("place", "loose_path"))["loose_path"].alias("by_stem"))
     only = loose.agg(F.when(F.count("*") == 1, F.min("loose_path")).alias("sole"))
     many = files.agg((F.count("*") == 1).alias("single"))
-    out = named.join(one, "expected", "left").join(two, "file_index", "left").join(F.broadcast(only)).join(F.broadcast(many))
+    out = named.join(one, "expected", "left").join(two, "stem", "left").join(F.broadcast(only)).join(F.broadcast(many))
     return out.select("file_index", "source", F.coalesce("in_folder", "by_stem", F.when(F.col("single"), F.col("sole"))).alias("wav"))
