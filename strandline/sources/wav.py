@@ -4,6 +4,9 @@
     spark.read.format("wav").option("rate", 16000).load(folder)
     df.write.format("wav").mode("append").save(folder)          # df: name, pcm, record
 
+With option "folders" true a writer puts its files into folders of about `bytes`, which the driver moves and lists in place of the files; with option
+"records" true a reader has a column record too.
+
 A folder may lie in any file system that Arrow knows.
 """
 
@@ -11,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import posixpath
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -24,6 +28,9 @@ from pyspark.sql.types import StructType
 from .media import wav_bytes
 
 HEAD = 4096
+#: A folder that a writer filled, with the bytes in it.
+PART = re.compile(r"part-[0-9a-f]+-(\d+)")
+MOST_FILES = 10_000
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -53,9 +60,10 @@ def data_range(file, size: int, rate: int, path: str) -> tuple[int, int]:
 
 @dataclass
 class Shares(InputPartition):
-    """What one task reads: (path, size, k, of), the k-th of `of` equal shares of a file's samples."""
+    """What one task reads: (path, size, k, of), the k-th of `of` equal shares of a file's samples; and folders of which it reads all files."""
 
     shares: list[tuple[str, int, int, int]]
+    folders: list[str]
 
 
 class WavReader(DataSourceReader):
@@ -64,17 +72,35 @@ class WavReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.rate = options["path"], int(options.get("rate", 16_000))
         self.bytes, self.samples = int(options.get("bytes", 32 << 20)), int(options.get("samples", 1 << 20))
+        self.records = options.get("records", "false").lower() == "true"
+
+    def _listed(self, fs, found, root: str) -> list[tuple[str, int]]:
+        return sorted((f.path, f.size) for f in found if f.type == pafs.FileType.File and f.path.endswith(".wav") and "/_" not in f.path[len(root) :])
 
     def partitions(self) -> list[Shares]:
         fs, path = file_system(self.path)
-        found = fs.get_file_info(pafs.FileSelector(path, recursive=True)) if fs.get_file_info(path).type == pafs.FileType.Directory else [fs.get_file_info(path)]
-        files = sorted((f.path, f.size) for f in found if f.type == pafs.FileType.File and f.path.endswith(".wav") and "/_" not in f.path)
-        out, held = [Shares([])], 0
+        top = fs.get_file_info(pafs.FileSelector(path)) if fs.get_file_info(path).type == pafs.FileType.Directory else [fs.get_file_info(path)]
+        found, whole = [], []
+        for f in top:
+            if f.type != pafs.FileType.Directory:
+                found.append(f)
+            elif (part := PART.fullmatch(f.base_name)) and int(part[1]) <= 2 * self.bytes:
+                whole.append((f.path, int(part[1])))
+            elif not f.base_name.startswith("_"):
+                found += fs.get_file_info(pafs.FileSelector(f.path, recursive=True))
+        files = self._listed(fs, found, path)
+        out, held = [Shares([], [])], 0
+        for p, size in sorted(whole):
+            if held + size > self.bytes and out[-1].folders:
+                out.append(Shares([], []))
+                held = 0
+            out[-1].folders.append(p)
+            held += size + 1
         for p, size in files:
             n = max(1, -(-size // self.bytes))
             for k in range(n):
-                if held + size // n > self.bytes and out[-1].shares:
-                    out.append(Shares([]))
+                if held + size // n > self.bytes and (out[-1].shares or out[-1].folders):
+                    out.append(Shares([], []))
                     held = 0
                 out[-1].shares.append((p, size, k, n))
                 held += size // n + 1
@@ -82,19 +108,26 @@ class WavReader(DataSourceReader):
 
     def read(self, part: Shares) -> Iterator[pa.RecordBatch]:
         fs, _ = file_system(self.path)
-        for path, size, k, of in part.shares:
+        own = [(path, size, 0, 1) for folder in part.folders for path, size in self._listed(fs, fs.get_file_info(pafs.FileSelector(folder)), folder)]
+        for path, size, k, of in part.shares + own:
             with fs.open_input_file(path) as file:
                 start, n = data_range(file, size, self.rate, path)
                 lo, hi = n * k // of, n * (k + 1) // of
-                for at in range(lo, hi, self.samples):
+                record = None
+                if self.records and k == 0:
+                    with fs.open_input_file(path.removesuffix(".wav") + ".json") as side:
+                        record = side.read().decode().rstrip("\n")
+                for at in range(lo, hi, self.samples) or ([0] if record is not None else ()):
                     count = min(self.samples, hi - at)
                     file.seek(start + 2 * at)
-                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([at], pa.int64()), pa.array([count], pa.int64()), pa.array([file.read(2 * count)], pa.binary())], names=["path", "first_sample", "n_samples", "pcm"])
+                    columns = [pa.array([path]), pa.array([at], pa.int64()), pa.array([count], pa.int64()), pa.array([file.read(2 * count)], pa.binary())]
+                    more = [pa.array([record if at == 0 else None], pa.string())] if self.records else []
+                    yield pa.RecordBatch.from_arrays(columns + more, names=["path", "first_sample", "n_samples", "pcm"] + ["record"] * self.records)
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Files that a task has staged."""
+    """Files, or folders, that a task has staged."""
 
     names: list[str]
 
@@ -103,7 +136,9 @@ class WavWriter(DataSourceWriter):
     """Rows (name, pcm, record) become <name>.wav and <name>.json, record being its JSON document.
 
     A task writes under _staging-<job>; commit moves all files into place, abort removes the staging folder, so a failed job leaves nothing.  A
-    task that fails and runs again writes the same names over.  The driver moves two files a row, as Spark's own file committer does.
+    task that fails and runs again writes the same names over.  The driver moves two files a row, as Spark's own file committer does, and
+    fails for two rows of one name.  With the option folders it moves one folder of about `bytes` instead; then only rows of one
+    task are held against each other, so rows have to be dealt by name for a name to be told as one.
     """
 
     def __init__(self, options: dict, schema: StructType):
@@ -111,21 +146,54 @@ class WavWriter(DataSourceWriter):
         if missing := {"name", "pcm", "record"} - self.at.keys():
             raise ValueError(f"columns {sorted(missing)} are missing")
         self.staging = f"_staging-{uuid.uuid4().hex}"
+        self.folders, self.bytes = options.get("folders", "false").lower() == "true", int(options.get("bytes", 32 << 20))
 
     def write(self, rows) -> Written:
+        if self.folders:
+            return self._write_folders(rows)
         fs, root = file_system(self.path)
         fs.create_dir(posixpath.join(root, self.staging), recursive=True)
         names = []
         for row in rows:
-            name = row[self.at["name"]]
-            if not name or "/" in name:
-                raise ValueError(f"not a file name: {name!r}")
-            for suffix, data in ((".wav", wav_bytes(bytes(row[self.at["pcm"]] or b""), self.rate)), (".json", (row[self.at["record"]] + "\n").encode())):
-                with fs.open_output_stream(posixpath.join(root, self.staging, name + suffix)) as file:
+            for name, data in self._files(row):
+                with fs.open_output_stream(posixpath.join(root, self.staging, name)) as file:
                     file.write(data)
-                names.append(name + suffix)
+                names.append(name)
         return Written(names)
 
+    def _files(self, row) -> list[tuple[str, bytes]]:
+        name = row[self.at["name"]]
+        if not name or "/" in name:
+            raise ValueError(f"not a file name: {name!r}")
+        return [(name + ".wav", wav_bytes(bytes(row[self.at["pcm"]] or b""), self.rate)), (name + ".json", (row[self.at["record"]] + "\n").encode())]
+
+    def _write_folders(self, rows) -> Written:
+        fs, root = file_system(self.path)
+        at, done, seen, now, held, n = posixpath.join(root, self.staging), [], set(), None, 0, 0
+
+        def close():
+            done.append(f"{now}-{held}")
+            fs.move(posixpath.join(at, now), posixpath.join(at, done[-1]))
+
+        for row in rows:
+            (wav, pcm), (side, record) = self._files(row)
+            if wav in seen:
+                raise ValueError("two rows have one name")
+            seen.add(wav)
+            if now and (held + len(pcm) > self.bytes or n >= MOST_FILES):
+                close()
+                now = None
+            if not now:
+                now, held, n = f"part-{uuid.uuid4().hex}", 0, 0
+                fs.create_dir(posixpath.join(at, now), recursive=True)
+            for name, data in ((wav, pcm), (side, record)):
+                with fs.open_output_stream(posixpath.join(at, now, name)) as file:
+                    file.write(data)
+            held, n = held + len(pcm), n + 1
+        if now:
+            close()
+        return Written(done)
+
     def commit(self, messages: list[Written | None]) -> None:
         fs, root = file_system(self.path)
         names = [n for m in messages if m for n in m.names]
@@ -150,7 +218,7 @@ class WavSource(DataSource):
         return "wav"
 
     def schema(self) -> str:
-        return "path string, first_sample bigint, n_samples bigint, pcm binary"
+        return "path string, first_sample bigint, n_samples bigint, pcm binary" + (", record string" if self.options.get("records", "false").lower() == "true" else "")
 
     def reader(self, schema: StructType) -> WavReader:
         return WavReader(self.options)
