@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,10 @@ def bit_table(hashes: DataFrame, column: str) -> BitTable:
     return BitTable(table.view(np.uint64), 64 - bits)
 
 
-def _fingerprint(edges: DataFrame):
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+def _stars(edges: DataFrame) -> bool:
+    """Whether each a of distinct edges (a, b) has one b and is no b itself: then nothing is left to join."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("centre")))
+    return not ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).where("up + centre > 1 and up > 0").take(1)
 
 
 def connected_components(edges: DataFrame, keep: Workspace | None = None) -> DataFrame:
@@ -56,8 +59,7 @@ def connected_components(edges: DataFrame, keep: Workspace | None = None) -> Dat
     """
     with Workspace(edges.sparkSession) as ws:
         now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        print_ = _fingerprint(now)
-        while True:
+        while not _stars(now):
             both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
             least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
             large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -66,9 +68,6 @@ def connected_components(edges: DataFrame, keep: Workspace | None = None) -> Dat
             out = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
             before, now = now, ws.stored(out, "edges")
             ws.drop(before)
-            last, print_ = print_, _fingerprint(now)
-            if print_ == last:
-                break
         return (keep.stored if keep else stored)(now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), "components")
 
 
@@ -79,6 +78,64 @@ def shared_rows(rows: DataFrame, once: bool = False) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "key").distinct()
 
 
+def shared_pairs(rows: DataFrame) -> DataFrame:
+    """shared_rows for integer keys and ids, where nearly every key has one id: tasks send packed pairs, a row for each bucket of keys, and sort a bucket as arrays.
+
+    A task holds its buckets' pairs, 16 bytes each, and the buckets are several for each of the session's shuffle partitions.  rows: (keys, id), keys being an array.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 8 * parts
+
+    def pack(batches):
+        for pairs in _gathered(batches):
+            bucket = (pairs["key"].view(np.uint64) >> np.uint64(20)) % np.uint64(buckets)
+            order = np.argsort(bucket)
+            pairs, bucket = pairs[order], bucket[order]
+            cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            blobs = [x.tobytes() for x in np.split(pairs, cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "pairs"])
+
+    def shared(batches):
+        blobs = [x for b in batches for x in b.column("pairs").to_pylist()]
+        if not blobs:
+            return
+        pairs = np.frombuffer(b"".join(blobs), _PAIR)
+        key = np.sort(pairs["key"])
+        twice = key[1:][key[1:] == key[:-1]]
+        if not len(twice):
+            return
+        # the few that share a key; of these, distinct pairs, and then again the keys that more than one of them has
+        at = np.minimum(np.searchsorted(twice, pairs["key"]), len(twice) - 1)
+        few = np.unique(pairs[twice[at] == pairs["key"]])
+        key = few["key"]
+        same = key[1:] == key[:-1]
+        few = few[np.r_[False, same] | np.r_[same, False]]
+        for i in range(0, len(few), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(few["key"][i : i + (1 << 16)].copy()), pa.array(few["id"][i : i + (1 << 16)].copy())], names=["key", "id"])
+
+    packed = rows.select("keys", "id").mapInArrow(pack, "bucket int, pairs binary")
+    return packed.repartition(parts, "bucket").select("pairs").mapInArrow(shared, "key bigint, id bigint")
+
+
+_PAIR = np.dtype([("key", np.int64), ("id", np.int64)])
+
+
+def _gathered(batches, most: int = 1 << 20):
+    """Pairs (key, id) of batches (keys, id), some `most` at a time."""
+    held, n = [], 0
+    for batch in batches:
+        keys, ids = batch.column("keys"), batch.column("id").to_numpy()
+        pairs = np.empty(len(keys.flatten()), _PAIR)
+        pairs["key"], pairs["id"] = keys.flatten().to_numpy(), np.repeat(ids, keys.value_lengths().to_numpy())
+        held.append(pairs)
+        n += len(pairs)
+        if n >= most:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if n:
+        yield np.concatenate(held)
+
+
 def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], ws: Workspace, stars: int = 2) -> DataFrame:
     """Components (id, component) of the links among ids that share a key; ids without a link may lack.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import SEPARATORS, U, constants, eight_bytes, hash_spans, mix, slices, text_bytes
-from .components import bit_table, linked_components, shared_rows
+from .components import bit_table, linked_components, shared_pairs
 from .jaccard_join import SKETCH_WORDS, may_link, sketch_bits
 from .storage import Workspace, stored
 from .text_stats import LEADS
@@ -168,7 +168,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, k, line number, h1 and h2 (the line's content) and band keys of each line with a word."""
+    """doc_id, k, line number, h1 and h2 (the line's content) and band keys of each line with a word; n_lines, their number, with a document's first.
+
+    Of equal lines that a task meets together only one has keys, as they are one node.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -177,12 +180,19 @@ def lines(docs: DataFrame) -> DataFrame:
                 data, offsets = text_bytes(part.column("text"))
                 s, t, row, number = line_spans(data, offsets)
                 eight = eight_bytes(data)
-                g, line = line_shingles(data, s, t, eight)
                 h1, h2 = (hash_spans(data, s, t, seed, eight).view(np.int64) for seed in (41, 42))
+                once = np.sort(np.unique(h1, return_index=True)[1])
+                g, line = line_shingles(data, s[once], t[once], eight)
+                keys = band_keys(g, line, len(once))
+                place = np.full(len(s), -1)
+                place[once] = np.arange(len(once))
+                keys = keys.take(pa.array(place, mask=place < 0))
+                leads = np.r_[True, row[1:] != row[:-1]][: len(row)]
+                n_lines = pa.array(np.bincount(row, minlength=len(part))[row], mask=~leads)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("k").take(take), pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), band_keys(g, line, len(s))], names=["doc_id", "k", "line", "h1", "h2", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("k").take(take), pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), keys, n_lines], names=["doc_id", "k", "line", "h1", "h2", "keys", "n_lines"])
 
-    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, k bigint, line int, h1 bigint, h2 bigint, keys array<bigint>")
+    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, k bigint, line int, h1 bigint, h2 bigint, keys array<bigint>, n_lines bigint")
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -197,7 +207,9 @@ def line_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The number of distinct shingles, and the parity sketch (jaccard_join.sketch), of each line in a column."""
     data, offsets = text_bytes(column)
     g, line = line_shingles(data, offsets[:-1], offsets[1:])
-    order = np.lexsort((g, line))
+    order = np.argsort(g)
+    few = line[order].astype(np.uint16 if len(column) < 1 << 16 else np.int64)  # 16 bits are sorted by radix
+    order = order[np.argsort(few, kind="stable")]
     g, line = g[order], line[order]
     first = np.ones(len(g), bool)
     first[1:] = (g[1:] != g[:-1]) | (line[1:] != line[:-1])
@@ -271,19 +283,19 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     with Workspace(docs.sparkSession) as ws:
         found = ws.stored(lines(docs), "lines")
         verify = Verifier(docs, percent, ws)
-        keyed = found.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
-        components = linked_components(ws.stored(shared_rows(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws)
+        keyed = found.where("keys is not null").select("keys", F.col("h1").alias("id"))
+        components = linked_components(ws.stored(shared_pairs(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws)
         near = components.join(verify.texts.select("id", "h2"), "id").select(F.col("id").alias("h1"), "h2", F.col("component").alias("g1"), F.lit(0).cast("long").alias("g2"))
         equal = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
         equal = equal.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.col("h1").alias("g1"), F.col("h2").alias("g2"))
         groups = ws.stored(near.unionByName(equal), "line-groups")
         # both sides of these joins are plain tables, so that adaptive execution can split a hot group
-        members = ws.stored(found.drop("keys").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
+        members = ws.stored(found.drop("keys", "n_lines").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
         own = F.struct("doc_id", "k", "line")
         first = ws.stored(members.groupBy("g1", "g2").agg(F.min(own).alias("first")), "first-lines")
         gone = ws.stored(members.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "line").distinct(), "gone-lines")
         gone = gone.groupBy("d", "k2").agg(F.collect_list("line").alias("gone"))
-        per_doc = found.select("doc_id", "k", "line").groupBy("doc_id", "k").agg(F.count_distinct("line").alias("n_lines"))
+        per_doc = found.where("n_lines is not null").select("doc_id", "k", "n_lines").distinct()
         out = per_doc.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("k2")), "left")
         return stored(out.select("doc_id", "k", "n_lines", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")), "repeated-lines")
 

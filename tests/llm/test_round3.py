@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strandline.llm import lloyd, ranked_search, simhash
+from strandline.llm import components, lloyd, ranked_search, simhash
 from strandline.llm import queries as q
 
 from .test_llm import ODD, make, words_of
@@ -313,3 +313,12 @@ def test_codec_against_an_independent_search(spark):
     for chunk in (23, 1000):
         got = {r.doc_id: r.ids for r in piece_codec.encode(docs, v, ["doc_id"], chunk_chars=chunk).collect()}
         assert all(piece_codec.score_of(v, t, got[i]) == best(" " + t) for i, t in enumerate(texts))
+
+
+def test_shared_pairs_are_those_of_shared_rows(spark):
+    rng = np.random.default_rng(3)
+    lists = [(i, [int(k) for k in rng.integers(-40_000, 40_000, rng.integers(0, 9))] + [7] * (i % 500 == 0)) for i in range(5000)] * 2
+    rows = spark.createDataFrame(lists, "id long, keys array<long>").repartition(5)
+    want = components.shared_rows(rows.select(F.explode("keys").alias("key"), "id"))
+    got = components.shared_pairs(rows).collect()
+    assert len(got) == len(set(got)) and {(r.key, r.id) for r in got} == {(r.key, r.id) for r in want.collect()}
