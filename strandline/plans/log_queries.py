@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import audit
-from ..sources.shared import shared_path
+from ..sources.shared import shared_path, stored
 from ..streaming import windows as st
 from .registry import ORACLES, query
 from .rule_queries import frames
@@ -138,7 +138,7 @@ def s_sessions(spark, d):
 @query("s_speaking_stream", ORACLES["w14_speaking_windows"])
 def s_fsm(spark, d):
     """The machine as a stream over shuffled micro-batches; equals w14, windows that the end closes included."""
-    f = frames(spark, d).withColumn("shift", F.xxhash64("key", "pts_ms") % 2001)
+    f = stored(frames(spark, d), "all-frames").withColumn("shift", F.xxhash64("key", "pts_ms") % 2001)
     span = f.agg(F.max("pts_ms")).first()[0] // 5 + 1
     dealt = f.select("*", F.expr(f"cast(least(4, (pts_ms + abs(shift)) div {span}) as int)").alias("batch")).drop("shift")
     beat = dealt.limit(1).select(*(F.lit(None).cast(t).alias(c) if c not in ("pts_ms", "batch") else F.lit(5 * span + 70_000 if c == "pts_ms" else 5).cast(t).alias(c) for c, t in dealt.dtypes))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -16,6 +16,7 @@ from ..operators.folds import EMPTY, WINDOW_SCHEMA, window_finish, window_step
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FRAME = ("pts_ms", "target_present", "target_mar", "target_suspended", "other_present", "other_mar", "vad")
+_WINDOW = Row("key", *(c.split()[0] for c in WINDOW_SCHEMA.split(", ")))
 
 
 @contextmanager
@@ -33,11 +34,11 @@ def state_store(spark: SparkSession):
 
 
 class SpeakingWindows(StatefulProcessor):
-    """Frames wait in list state until the watermark has passed them, and then run through their key's machine in order of pts_ms.
+    """Frames wait in the key's state until the watermark has passed them, and then run through its machine in order of pts_ms.
 
     A timer stands at a key's first waiting frame, or, when none waits, idle_ms after the last one that ran: nothing more has come then, so the
-    open window is closed as the end of the video and the key's state is dropped.  A frame that waits is held as a row of its own, so a
-    key's machine never holds more than what lies between its frames and the watermark.
+    open window is closed as the end of the video and the key's state is dropped.  Machine, waiting frames and timer are one value, read and
+    written once a call, as each call to the state store is a round trip; a key never holds more than what lies between its frames and the watermark.
     """
 
     def __init__(self, idle_ms: int):
@@ -45,58 +46,44 @@ class SpeakingWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.machine = handle.getValueState("machine", "said string")
-        self.waiting = handle.getListState("waiting", "said string")
-        self.timer = handle.getValueState("timer", "at bigint")
+        self.state = handle.getValueState("state", "said string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            plain = frame[list(FRAME)].astype(object)
-            self.waiting.appendList([(json.dumps(r),) for r in plain.where(plain.notna(), None).to_dict("records")])
-        yield self._advance(key, timerValues)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        yield from self._advance(key, [[r[c] for c in FRAME] for r in rows], timerValues)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._advance(key, timerValues)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._advance(key, [], timerValues)
 
-    def _advance(self, key, timerValues) -> pd.DataFrame:
+    def _advance(self, key, frames: list, timerValues) -> list[Row]:
         """Run what the watermark has passed, close a video that has ended, and set the next timer."""
         now = timerValues.getCurrentWatermarkInMs()
-        frames = sorted((json.loads(r[0]) for r in self.waiting.get()), key=lambda f: f["pts_ms"]) if self.waiting.exists() else []
-        ready = [f for f in frames if f["pts_ms"] <= now]
-        state = json.loads(self.machine.get()[0]) if self.machine.exists() else dict(EMPTY)
+        held = self.state.get()
+        state, waiting, timer = json.loads(held[0]) if held else (dict(EMPTY), [], None)
+        frames = sorted(waiting + frames, key=lambda f: f[0])
+        n = bisect_right(frames, now, key=lambda f: f[0])
         found = []
-        for f in ready:
-            state, done = window_step(state, f)
-            found += [(*key, *x) for x in done]
-        left = frames[len(ready) :]
-        last = state["previous"]
+        for f in frames[:n]:
+            state, done = window_step(state, dict(zip(FRAME, f)))
+            found += done
+        left, last = frames[n:], state["previous"]
         if not left and last is not None and last + self.idle_ms <= now:
-            found += [(*key, *x) for x in window_finish(state)]
-            self.machine.clear()
-            self.waiting.clear()
-            self._set(None)
+            found += window_finish(state)
+            self._set(timer, None)
+            self.state.clear()
         else:
-            if ready:
-                self.machine.update((json.dumps(state),))
-                if left:
-                    self.waiting.put([(json.dumps(f),) for f in left])
-                else:
-                    self.waiting.clear()
-            self._set(left[0]["pts_ms"] if left else last + self.idle_ms)
-        return pd.DataFrame(found, columns=["key", *(c.split()[0] for c in WINDOW_SCHEMA.split(", "))])
-
-    def _set(self, at: int | None) -> None:
+            at = left[0][0] if left else last + self.idle_ms
+            self._set(timer, at)
+            self.state.update((json.dumps((state, left, at)),))
+        return [_WINDOW(*key, *x) for x in found]
+
+    def _set(self, old: int | None, at: int | None) -> None:
         """Leave one timer, at `at`, or none."""
-        old = self.timer.get()[0] if self.timer.exists() else None
         if old == at:
             return
         if old is not None:
             self.handle.deleteTimer(old)
-        if at is None:
-            self.timer.clear()
-        else:
+        if at is not None:
             self.handle.registerTimer(at)
-            self.timer.update((at,))
 
     def close(self) -> None:
         pass
@@ -108,8 +95,8 @@ def speaking_windows_stream(frames: DataFrame, late_ms: int, idle_ms: int = 60_0
     Event time is pts_ms, shared by the keys.  A row with a null key only moves the watermark: such a heartbeat, late_ms + idle_ms after
     the last frame, lets a bounded stream close every video.  A frame that comes after the watermark has passed it is dropped.
     """
-    timed = frames.withColumn("__at", F.timestamp_millis("pts_ms")).withWatermark("__at", f"{late_ms} milliseconds")
-    return timed.groupBy("key").transformWithStateInPandas(SpeakingWindows(idle_ms), f"key bigint, {WINDOW_SCHEMA}", "Append", "EventTime").where("key is not null")
+    timed = frames.select("key", *FRAME).withColumn("__at", F.timestamp_millis("pts_ms")).withWatermark("__at", f"{late_ms} milliseconds")
+    return timed.groupBy("key").transformWithState(SpeakingWindows(idle_ms), f"key bigint, {WINDOW_SCHEMA}", "Append", "EventTime").where("key is not null")
 
 
 def session_counts(events: DataFrame, ts: str, key: str, gap: str, lateness: str) -> DataFrame:
