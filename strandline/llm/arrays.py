@@ -27,9 +27,12 @@ _M1, _M2 = U(0xD6E8FEB86659FD93), U(0x9E3779B97F4A7C15)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply, twice)."""
-    x = (x ^ (x >> U(32))) * _M1
-    x = (x ^ (x >> U(29))) * _M2
-    return x ^ (x >> U(32))
+    x = x ^ (x >> U(32))
+    x *= _M1
+    x ^= x >> U(29)
+    x *= _M2
+    x ^= x >> U(32)
+    return x
 
 
 def constants(n: int, seed: int) -> np.ndarray:

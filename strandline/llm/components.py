@@ -49,16 +49,35 @@ def _stars(edges: DataFrame) -> bool:
     return not ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).where("up + centre > 1 and up > 0").take(1)
 
 
+def _own_stars(batches):
+    """A task's edges (a, b) as stars around the smallest id of what they join: each root joins its least neighbour, until none has one."""
+    held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not held:
+        return
+    ids, place = np.unique(np.concatenate([x for pair in zip(*held) for x in pair]), return_inverse=True)
+    x, y = np.split(place, 2)
+    root = np.arange(len(ids))
+    while (root[x] != root[y]).any():
+        u, v = root[x], root[y]
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root != root[root]).any():
+            root = root[root]
+    far = np.flatnonzero(root != np.arange(len(ids)))
+    for i in range(0, len(far), 1 << 16):
+        at = far[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[root[at]])], names=["a", "b"])
+
+
 def connected_components(edges: DataFrame, keep: Workspace | None = None) -> DataFrame:
     """(id, component) of every id in edges (a, b), component being its smallest reachable id; stored, in the workspace `keep` if one is given.
 
-    Large-star and small-star rounds turn each component into a star around its smallest id.  Each
+    Ids are integers.  Each task first makes stars of the edges that it holds.  Large-star and small-star rounds turn each component into a star around its smallest id.  Each
     round is a pre-aggregated minimum and a join that adaptive execution splits where a hub is hot;
     its result goes to shared storage.  The number of rounds is logarithmic in a component's width.
     An empty table of edges gives no rows.
     """
     with Workspace(edges.sparkSession) as ws:
-        now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().mapInArrow(_own_stars, "a bigint, b bigint"), "edges")
         while not _stars(now):
             both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
             least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -81,7 +100,7 @@ def shared_rows(rows: DataFrame, once: bool = False) -> DataFrame:
 def shared_pairs(rows: DataFrame) -> DataFrame:
     """shared_rows for integer keys and ids, where nearly every key has one id: tasks send packed pairs, a row for each bucket of keys, and sort a bucket as arrays.
 
-    A task holds its buckets' pairs, 16 bytes each, and the buckets are several for each of the session's shuffle partitions.  rows: (keys, id), keys being an array.
+    A task holds its buckets' pairs, 16 bytes each, and the buckets are several for each of the session's shuffle partitions.  rows: (keys, id), keys being an array, or (pairs), bytes of packed_pairs.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 8 * parts
@@ -113,25 +132,34 @@ def shared_pairs(rows: DataFrame) -> DataFrame:
         for i in range(0, len(few), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(few["key"][i : i + (1 << 16)].copy()), pa.array(few["id"][i : i + (1 << 16)].copy())], names=["key", "id"])
 
-    packed = rows.select("keys", "id").mapInArrow(pack, "bucket int, pairs binary")
+    packed = rows.mapInArrow(pack, "bucket int, pairs binary")
     return packed.repartition(parts, "bucket").select("pairs").mapInArrow(shared, "key bigint, id bigint")
 
 
 _PAIR = np.dtype([("key", np.int64), ("id", np.int64)])
 
 
+def packed_pairs(keys: pa.ListArray, ids: np.ndarray) -> np.ndarray:
+    """Pairs (key, id) of lists of keys, each list's with its id."""
+    pairs = np.empty(len(keys.flatten()), _PAIR)
+    pairs["key"], pairs["id"] = keys.flatten().to_numpy(), np.repeat(ids, keys.value_lengths().to_numpy())
+    return pairs
+
+
 def _gathered(batches, most: int = 1 << 20):
-    """Pairs (key, id) of batches (keys, id), some `most` at a time."""
+    """Pairs (key, id) of batches (keys, id) or (pairs), some `most` at a time."""
     held, n = [], 0
     for batch in batches:
-        keys, ids = batch.column("keys"), batch.column("id").to_numpy()
-        pairs = np.empty(len(keys.flatten()), _PAIR)
-        pairs["key"], pairs["id"] = keys.flatten().to_numpy(), np.repeat(ids, keys.value_lengths().to_numpy())
-        held.append(pairs)
-        n += len(pairs)
-        if n >= most:
-            yield np.concatenate(held)
-            held, n = [], 0
+        if "pairs" in batch.schema.names:
+            found = [np.frombuffer(x.as_buffer(), _PAIR) for x in batch.column("pairs")]
+        else:
+            found = [packed_pairs(batch.column("keys"), batch.column("id").to_numpy())]
+        for pairs in found:
+            held.append(pairs)
+            n += len(pairs)
+            if n >= most:
+                yield np.concatenate(held)
+                held, n = [], 0
     if n:
         yield np.concatenate(held)
 
@@ -154,7 +182,7 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
     info = ws.stored(marks(degree.select("id")), "marks")
     near = ws.stored(first.join(degree, "id"), "near")
     ws.drop(first)
-    components = edges = tested = None
+    components = tested = None
     for i in range(stars + 1):
         if components is None:
             own = near.withColumn("component", F.col("id"))
@@ -190,6 +218,14 @@ def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame]
         good = ws.stored(verify(pairs), "links")
         if components is not None and not good.take(1):
             continue  # components are as before
-        edges = good if edges is None else edges.unionByName(good)
-        components = connected_components(edges, ws)
+        components = connected_components(good, ws) if components is None else _joined(components, good, ws)
     return components
+
+
+def _joined(components: DataFrame, links: DataFrame, ws: Workspace) -> DataFrame:
+    """Components with further links (a, b): only the components that these join take part in the rounds of a union-find."""
+    own = lambda c: components.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
+    named = links.join(own("a"), "a", "left").join(own("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    grown = connected_components(named, ws)
+    again = components.join(grown.select(F.col("id").alias("component"), F.col("component").alias("least")), "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+    return ws.stored(again.unionByName(grown.join(components.select("id"), "id", "left_anti")), "components")

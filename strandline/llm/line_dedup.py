@@ -22,10 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import SEPARATORS, U, constants, eight_bytes, hash_spans, mix, slices, text_bytes
-from .components import bit_table, linked_components, shared_pairs
+from .components import bit_table, linked_components, packed_pairs, shared_pairs
 from .jaccard_join import SKETCH_WORDS, may_link, sketch_bits
 from .storage import Workspace, stored
-from .text_stats import LEADS
 
 WIDTH, BANDS, ROWS = 8, 8, 4
 #: From so many distinct shingles on signatures use eight bins, and one for each value.
@@ -53,7 +52,7 @@ def line_spans(data: np.ndarray, offsets: np.ndarray):
 def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndarray | None = None):
     """Shingle hashes of the lines, and the line of each."""
     eight = eight_bytes(data) if eight is None else eight
-    lead = LEADS[data]
+    lead = (data & 0xC0) != 0x80
     lead[s[s < t]] = True  # whatever the bytes are, each belongs to a character
     chars = np.append(np.flatnonzero(lead), len(data))
     first, last = np.searchsorted(chars, s), np.searchsorted(chars, t)
@@ -66,7 +65,7 @@ def line_shingles(data: np.ndarray, s: np.ndarray, t: np.ndarray, eight: np.ndar
     count = np.where(long, last - first - WIDTH + 1, 0)
     line = np.repeat(np.arange(len(s)), count)
     h = eight[at]
-    wide = np.flatnonzero(h & _BEYOND_ASCII)
+    wide = np.flatnonzero((h & _BEYOND_ASCII) != 0)
     h = mix(h)
     if len(wide):
         begin = at[wide]
@@ -96,15 +95,16 @@ def distinct_counts(shingles: np.ndarray, line: np.ndarray, lines: int) -> np.nd
     """
     n = np.bincount(line, minlength=lines)
     begin = np.cumsum(n) - n
-    unsure = np.flatnonzero(n >= SHORT)
-    for part in np.array_split(unsure, len(unsure) // 4096 + 1):
+    size = MOST * 4 // 3
+    many = np.flatnonzero(n >= size)
+    n[(n >= SHORT) & (n < size)] = -1
+    if len(many):
         # distinct marks of a line's first shingles are at most its distinct shingles
-        size = np.minimum(n[part], MOST * 4 // 3)
-        own = np.repeat(np.arange(len(part)), size)
-        at = np.arange(len(own)) + (begin[part] - np.cumsum(size) + size)[own]
-        seen = np.zeros((len(part), 1024), bool)
-        seen[own, (shingles[at] >> U(54)).astype(np.int64)] = True
-        n[part] = np.where(seen.sum(1) >= MOST, MOST, -1)
+        firsts = np.lib.stride_tricks.sliding_window_view((shingles >> U(54)).astype(np.uint16), size)
+        for part in np.array_split(many, len(many) // 512 + 1):
+            seen = np.zeros((len(part), 1024), bool)
+            seen.ravel()[(firsts[begin[part]] + (np.arange(len(part)) * 1024)[:, None]).ravel()] = True
+            n[part] = np.where(np.count_nonzero(seen, axis=1) >= MOST, MOST, -1)
     few = np.flatnonzero(n < 0)
     if len(few):
         place = np.zeros(lines, U)
@@ -131,9 +131,17 @@ def _binned(g: np.ndarray, own: np.ndarray, lines: int, bins: int) -> np.ndarray
     return mix(key ^ _SEEDS[:BANDS])
 
 
+def _blobs(keys: pa.ListArray, ids: np.ndarray, rows: int) -> pa.Array:
+    """The pairs (key, id) of lines as bytes, for shared_pairs: a blob of 65,536 pairs in each of the first of so many rows, null in the others."""
+    pairs = packed_pairs(keys, ids)
+    blobs = [pairs[i : i + (1 << 16)].tobytes() for i in range(0, len(pairs), 1 << 16)]
+    return pa.array(blobs + [None] * (rows - len(blobs)), pa.binary())
+
+
 def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> pa.ListArray:
     """Band keys of each line, by the families that its number of distinct shingles puts it in."""
     n = distinct_counts(shingles, line, lines)
+    count = np.bincount(line, minlength=lines)
     out = []
     for bins, member in ((BANDS * ROWS, n >= LONG), (BANDS, (n >= SHORT) & (n < LONG * 5 // 4)), (0, n < SHORT * 5 // 4)):
         ids = np.flatnonzero(member)
@@ -142,13 +150,11 @@ def band_keys(shingles: np.ndarray, line: np.ndarray, lines: int) -> pa.ListArra
         if len(ids) == lines:
             g, own = shingles, line
         else:
-            place = np.cumsum(member) - 1
-            use = member[line]
-            g, own = shingles[use], place[line[use]]
+            g, own = shingles[np.repeat(member, count)], np.repeat(np.arange(len(ids)), count[ids])
         if bins:
             out.append((ids, _binned(g, own, len(ids), bins)))
             continue
-        begin = np.searchsorted(own, np.arange(len(ids)))
+        begin = np.cumsum(count[ids]) - count[ids]
         keys = np.zeros((len(ids), BANDS), U)
         for i in range(BANDS):
             key = np.zeros(len(ids), U)
@@ -168,8 +174,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, k, line number, h1 and h2 (the line's content) and band keys of each line with a word; n_lines, their number, with a document's first.
+    """doc_id, k, line number, h1 and h2 (the line's content) of each line with a word; n_lines, their number, with a document's first.
 
+    pairs, in some rows, are the band keys of many lines, each with its line's h1: a column of bytes costs far less on its way than an array a line.
     Of equal lines that a task meets together only one has keys, as they are one node.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -183,16 +190,13 @@ def lines(docs: DataFrame) -> DataFrame:
                 h1, h2 = (hash_spans(data, s, t, seed, eight).view(np.int64) for seed in (41, 42))
                 once = np.sort(np.unique(h1, return_index=True)[1])
                 g, line = line_shingles(data, s[once], t[once], eight)
-                keys = band_keys(g, line, len(once))
-                place = np.full(len(s), -1)
-                place[once] = np.arange(len(once))
-                keys = keys.take(pa.array(place, mask=place < 0))
+                pairs = _blobs(band_keys(g, line, len(once)), h1[once], len(s))
                 leads = np.r_[True, row[1:] != row[:-1]][: len(row)]
                 n_lines = pa.array(np.bincount(row, minlength=len(part))[row], mask=~leads)
                 take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("k").take(take), pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), keys, n_lines], names=["doc_id", "k", "line", "h1", "h2", "keys", "n_lines"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(take), part.column("k").take(take), pa.array(number.astype(np.int32)), pa.array(h1), pa.array(h2), pairs, n_lines], names=["doc_id", "k", "line", "h1", "h2", "pairs", "n_lines"])
 
-    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, k bigint, line int, h1 bigint, h2 bigint, keys array<bigint>, n_lines bigint")
+    return _keyed(docs).mapInArrow(run, f"doc_id {kind}, k bigint, line int, h1 bigint, h2 bigint, pairs binary, n_lines bigint")
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -283,14 +287,14 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     with Workspace(docs.sparkSession) as ws:
         found = ws.stored(lines(docs), "lines")
         verify = Verifier(docs, percent, ws)
-        keyed = found.where("keys is not null").select("keys", F.col("h1").alias("id"))
+        keyed = found.where("pairs is not null").select("pairs")
         components = linked_components(ws.stored(shared_pairs(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws)
         near = components.join(verify.texts.select("id", "h2"), "id").select(F.col("id").alias("h1"), "h2", F.col("component").alias("g1"), F.lit(0).cast("long").alias("g2"))
         equal = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
         equal = equal.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.col("h1").alias("g1"), F.col("h2").alias("g2"))
         groups = ws.stored(near.unionByName(equal), "line-groups")
         # both sides of these joins are plain tables, so that adaptive execution can split a hot group
-        members = ws.stored(found.drop("keys", "n_lines").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
+        members = ws.stored(found.drop("pairs", "n_lines").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
         own = F.struct("doc_id", "k", "line")
         first = ws.stored(members.groupBy("g1", "g2").agg(F.min(own).alias("first")), "first-lines")
         gone = ws.stored(members.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "line").distinct(), "gone-lines")

@@ -7,12 +7,14 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from strandline.llm import components, lloyd, ranked_search, simhash
 from strandline.llm import queries as q
+from strandline.llm.storage import Workspace
 
 from .test_llm import ODD, make, words_of
 
@@ -322,3 +324,17 @@ def test_shared_pairs_are_those_of_shared_rows(spark):
     want = components.shared_rows(rows.select(F.explode("keys").alias("key"), "id"))
     got = components.shared_pairs(rows).collect()
     assert len(got) == len(set(got)) and {(r.key, r.id) for r in got} == {(r.key, r.id) for r in want.collect()}
+
+
+def test_op9_own_edges_are_stars_at_once_and_links_join_components(spark):
+    """A task's edges, a long path too, need no round; further links change only the components that they join."""
+    rng = np.random.default_rng(4)
+    path = rng.permutation(300).tolist()
+    edges = spark.createDataFrame(list(zip(path, path[1:])) + [(1000, 1001), (2000, 2001)], "a long, b long").coalesce(1)
+    with Workspace(spark) as ws:
+        first = components.connected_components(edges, ws)
+        links = spark.createDataFrame([(1001, 2000), (2001, 3000), (4000, 4001), (5, 7)], "a long, b long")
+        got = {r.id: r.component for r in components._joined(first, links, ws).collect()}
+    assert {i: got[i] for i in range(300)} == dict.fromkeys(range(300), 0)
+    assert {i: c for i, c in got.items() if i >= 300} == {1000: 1000, 1001: 1000, 2000: 1000, 2001: 1000, 3000: 1000, 4000: 4000, 4001: 4000}
+    assert [tuple(x.column(c).to_pylist() for c in "ab") for x in components._own_stars(iter(pa.table({"a": [5, 9, 4], "b": [9, 4, 4]}).to_batches()))] == [([5, 9], [4, 4])]
