@@ -14,6 +14,8 @@ from .storage import Workspace, stored
 
 #: Bits a listed id gets in a bit table, and the most bits a table has (8 MB).
 BITS_AN_ID, MOST_BITS = 16, 26
+#: Edges that a task makes stars of at once.
+MOST_EDGES = 1 << 21
 
 
 @dataclass
@@ -43,17 +45,29 @@ def bit_table(hashes: DataFrame, column: str) -> BitTable:
     return BitTable(table.view(np.uint64), 64 - bits)
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether each a of distinct edges (a, b) has one b and is no b itself: then nothing is left to join."""
-    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("centre")))
-    return not ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("centre").alias("centre")).where("up + centre > 1 and up > 0").take(1)
+def _inner(edges: DataFrame) -> DataFrame:
+    """(id, m): the ids of edges (a, b) that keep them from being stars, being a b as well as an a or an a of several b; m is their least b."""
+    ends = edges.select(F.col("a").alias("id"), "b").unionByName(edges.select(F.col("b").alias("id"), F.lit(None).cast("long").alias("b")))
+    ends = ends.groupBy("id").agg(F.min("b").alias("m"), F.max("b").alias("most"), F.max(F.col("b").isNull()).alias("centre"))
+    return ends.where("m is not null and (centre or m < most)").select("id", "m")
 
 
 def _own_stars(batches):
-    """A task's edges (a, b) as stars around the smallest id of what they join: each root joins its least neighbour, until none has one."""
-    held = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
-    if not held:
-        return
+    """A task's edges (a, b) as stars around the smallest id of what they join, some MOST_EDGES at a time."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch.column("a").to_numpy(), batch.column("b").to_numpy()))
+            n += batch.num_rows
+        if n >= MOST_EDGES:
+            yield from _stars_of(held)
+            held, n = [], 0
+    if held:
+        yield from _stars_of(held)
+
+
+def _stars_of(held: list[tuple[np.ndarray, np.ndarray]]):
+    """Stars of edges (a, b): each root joins its least neighbour, until none has one."""
     ids, place = np.unique(np.concatenate([x for pair in zip(*held) for x in pair]), return_inverse=True)
     x, y = np.split(place, 2)
     root = np.arange(len(ids))
@@ -71,34 +85,38 @@ def _own_stars(batches):
 def connected_components(edges: DataFrame, keep: Workspace | None = None) -> DataFrame:
     """(id, component) of every id in edges (a, b), component being its smallest reachable id; stored, in the workspace `keep` if one is given.
 
-    Ids are integers.  Each task first makes stars of the edges that it holds.  Large-star and small-star rounds turn each component into a star around its smallest id.  Each
-    round is a pre-aggregated minimum and a join that adaptive execution splits where a hub is hot;
-    its result goes to shared storage.  The number of rounds is logarithmic in a component's width.
-    An empty table of edges gives no rows.
+    Ids are integers.  Each task makes stars of the edges that it holds.  Rounds end when in all of them no a is a b too or has
+    several b; until then those that are go to a table with their least b, m, which is joined to both ends.  An a keeps one
+    edge, to the m of its least b; its other edges (a, b) become edges of b's m and a's least b.  Each b stays joined to its m by its own
+    edges, so nothing comes apart; edges never grow in number, and pointers jump, so that a component's width takes
+    logarithmically many rounds.  Tables are plain, so that adaptive execution can broadcast the small one or split a
+    hub's join; results go to shared storage.  An empty table of edges gives no rows.
     """
     with Workspace(edges.sparkSession) as ws:
-        now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().mapInArrow(_own_stars, "a bigint, b bigint"), "edges")
-        while not _stars(now):
-            both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-            large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-            low = large.groupBy("a").agg(F.min("b").alias("m"))
-            small = large.join(low, "a").select("a", "b", "m")
-            out = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-            before, now = now, ws.stored(out, "edges")
-            ws.drop(before)
-        return (keep.stored if keep else stored)(now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()), "components")
+        now = ws.stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).mapInArrow(_own_stars, "a bigint, b bigint"), "edges")
+        while True:
+            inner = ws.stored(_inner(now), "inner")
+            if not inner.take(1):
+                break
+            up = lambda c: inner.select(F.col("id").alias(c), F.col("m").alias(f"m{c}"))
+            both = now.join(up("a"), "a", "left").join(up("b"), "b", "left").select("a", "b", F.coalesce("ma", "b").alias("ma"), F.coalesce("mb", "b").alias("mb"))
+            least = F.col("b") == F.col("ma")
+            both = both.select(F.when(least, F.col("a")).otherwise(F.greatest("ma", "mb")).alias("a"), F.when(least, F.col("mb")).otherwise(F.least("ma", "mb")).alias("b"))
+            before, now = now, ws.stored(both.where("a <> b").mapInArrow(_own_stars, "a bigint, b bigint"), "edges")
+            ws.drop(before, inner)
+        ends = now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")))
+        return (keep.stored if keep else stored)(ends.distinct(), "components")
 
 
 def shared_rows(rows: DataFrame, once: bool = False) -> DataFrame:
-    """The rows (key, id) whose key another id has too; rows are read twice.  `once` says that no row repeats."""
+    """The rows (key, id) whose key another id has too; rows are read twice.  `once` says that no row repeats; then size, the key's number of ids, follows."""
     if once:
-        return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "key")
+        return rows.join(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
     return rows.join(rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "key").distinct()
 
 
 def shared_pairs(rows: DataFrame) -> DataFrame:
-    """shared_rows for integer keys and ids, where nearly every key has one id: tasks send packed pairs, a row for each bucket of keys, and sort a bucket as arrays.
+    """shared_rows, with sizes, for integer keys and ids, where nearly every key has one id: tasks send packed pairs, a row for each bucket of keys, and sort a bucket as arrays.
 
     A task holds its buckets' pairs, 16 bytes each, and the buckets are several for each of the session's shuffle partitions.  rows: (keys, id), keys being an array, or (pairs), bytes of packed_pairs.
     """
@@ -129,11 +147,13 @@ def shared_pairs(rows: DataFrame) -> DataFrame:
         key = few["key"]
         same = key[1:] == key[:-1]
         few = few[np.r_[False, same] | np.r_[same, False]]
+        _, place, count = np.unique(few["key"], return_inverse=True, return_counts=True)
+        out = few["key"].copy(), few["id"].copy(), count[place]
         for i in range(0, len(few), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(few["key"][i : i + (1 << 16)].copy()), pa.array(few["id"][i : i + (1 << 16)].copy())], names=["key", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in out], names=["key", "id", "size"])
 
     packed = rows.mapInArrow(pack, "bucket int, pairs binary")
-    return packed.repartition(parts, "bucket").select("pairs").mapInArrow(shared, "key bigint, id bigint")
+    return packed.repartition(parts, "bucket").select("pairs").mapInArrow(shared, "key bigint, id bigint, size bigint")
 
 
 _PAIR = np.dtype([("key", np.int64), ("id", np.int64)])
@@ -164,57 +184,55 @@ def _gathered(batches, most: int = 1 << 20):
         yield np.concatenate(held)
 
 
-def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], ws: Workspace, stars: int = 2) -> DataFrame:
+def linked_components(first: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column], ws: Workspace, stars: int = 2, thin: bool = True) -> DataFrame:
     """Components (id, component) of the links among ids that share a key; ids without a link may lack.
 
-    first: the stored result of shared_rows.  marks gets the ids (id) that share a key with others and gives more columns of
+    first: the stored rows (key, id, size) of ids that share a key with others, none twice.  marks gets these ids (id) and gives stored columns of
     them, for may_link(x, y), a condition on the rows named x and y that every link meets.  verify gives
-    the linked ones of pairs (a, b).  Tables in between, and first, go with the caller's workspace.
+    the linked ones of distinct pairs (a, b).  Tables in between, and first, go with the caller's workspace.
     `stars` rounds test each key's members against one centre outside whose component they still
     are: at first the member that shares most keys with others, later another one each round.  Near
     copies thereby melt into one component at a cost linear in a key's members; as these pairs are few,
-    marks are joined to the distinct ones.  Then all pairs that share a key, are still in different
+    marks are joined to the distinct ones, and none is verified again later.  Where `thin` is false, verify tests may_link itself, at less than
+    these joins cost.  Then all pairs that share a key, are still in different
     components and may link are tested, so no link between components is lost; there the condition is
     part of the join, so pairs that can't link are never sent on.
     """
-    sizes = ws.stored(first.groupBy("key").agg(F.count("*").alias("size")), "sizes")  # a plain table, so that a hot key's join can be split
-    degree = ws.stored(first.join(sizes, "key").groupBy("id").agg(F.sum("size").alias("degree")), "degree")
-    info = ws.stored(marks(degree.select("id")), "marks")
-    near = ws.stored(first.join(degree, "id"), "near")
-    ws.drop(first)
+    degree = ws.stored(first.groupBy("id").agg(F.sum("size").alias("degree")), "degree")
+    info = marks(degree.select("id"))
     components = tested = None
     for i in range(stars + 1):
         if components is None:
-            own = near.withColumn("component", F.col("id"))
+            named = first.withColumn("component", F.col("id"))
+            # the least rank is the greatest degree
+            own = named.join(degree, "id").withColumn("rank", -F.col("degree"))
         else:
-            own = near.drop("component").join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            # keys and their members are plain tables, so that adaptive execution can split a hot key's join
-            named = ws.stored(own, "named")
-            open_ = ws.stored(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "open-keys")
-            own = ws.stored(named.join(open_, "key"), "open")
-            ws.drop(near, named, open_)
-            near = own
-            if not own.take(1):
-                break
+            own = named = ws.stored(first.join(components, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
+        own = own.withColumn("chance", F.xxhash64("id", F.lit(i)))
+        # keys that are still open, and their members, are plain tables, so that adaptive execution can split a hot key's join
+        rank = [F.col(c) for c in ("rank", "chance", "component", "id") if c in own.columns]
+        head = own.groupBy("key").agg(F.min(F.struct(*rank)).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        head = ws.stored(head.select("key", F.col("head.id").alias("centre"), F.col("head.component").alias("other")), "heads")
+        if i and not head.take(1):
+            break
         if i < stars:
-            # one number, so that hash aggregation finds the least; members that tie are all centres
-            chance = F.xxhash64("id", F.lit(i))
-            rank = chance.bitwiseAND((1 << 20) - 1) - F.least("degree", F.lit(1 << 42)) * (1 << 20) if i == 0 else chance
-            own = own.withColumn("rank", rank)
-            head = ws.stored(own.groupBy("key").agg(F.min("rank").alias("rank")), "heads")
-            centres = ws.stored(own.join(head, ["key", "rank"]), "centres").alias("y")
-            pairs = own.alias("x").join(centres, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
+            pairs = named.join(head, "key").where("component <> other")
+            if thin:
+                pairs = pairs.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+            else:  # an id has few keys, so the rows of an a can lie together for both distinct and verify's first join
+                pairs = pairs.select(F.col("id").alias("a"), F.col("centre").alias("b")).repartition("a").distinct()
         else:
-            marked = own.join(info, "id")
+            marked = ws.stored(named.join(head, "key", "left_semi").join(info, "id"), "marked")
             x, y = marked.alias("x"), marked.alias("y")
             pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & may_link("x", "y"))
-        pairs = pairs.select(F.expr("least(x.id, y.id)").alias("a"), F.expr("greatest(x.id, y.id)").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if i < stars:
-            pairs = pairs.join(info.alias("x"), F.col("a") == F.col("x.id")).join(info.alias("y"), F.col("b") == F.col("y.id")).where(may_link("x", "y")).select("a", "b")
-        pairs = ws.stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+            pairs = pairs.select(F.expr("least(x.id, y.id)").alias("a"), F.expr("greatest(x.id, y.id)").alias("b")).distinct()
+        if thin:
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            if i < stars:
+                pairs = pairs.join(info.alias("x"), F.col("a") == F.col("x.id")).join(info.alias("y"), F.col("b") == F.col("y.id")).where(may_link("x", "y")).select("a", "b")
+            pairs = ws.stored(pairs, "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
         good = ws.stored(verify(pairs), "links")
         if components is not None and not good.take(1):
             continue  # components are as before

@@ -189,7 +189,7 @@ class Verifier:
                     linked = [100 * i >= percent * (len(x) + len(y) - i) for x, y, i in zip(left, right, both)]
                     yield part.select(["a", "b"]).filter(pa.array(linked))
 
-        return full.mapInArrow(run, "a bigint, b bigint").distinct()
+        return full.mapInArrow(run, "a bigint, b bigint")
 
 
 def _first_of_each(marks: DataFrame, sets: DataFrame, ws: Workspace) -> DataFrame:

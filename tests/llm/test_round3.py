@@ -338,3 +338,56 @@ def test_op9_own_edges_are_stars_at_once_and_links_join_components(spark):
     assert {i: got[i] for i in range(300)} == dict.fromkeys(range(300), 0)
     assert {i: c for i, c in got.items() if i >= 300} == {1000: 1000, 1001: 1000, 2000: 1000, 2001: 1000, 3000: 1000, 4000: 4000, 4001: 4000}
     assert [tuple(x.column(c).to_pylist() for c in "ab") for x in components._own_stars(iter(pa.table({"a": [5, 9, 4], "b": [9, 4, 4]}).to_batches()))] == [([5, 9], [4, 4])]
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_components_of_random_edges_however_they_are_dealt(spark, tasks, monkeypatch):
+    """Paths, hubs and random graphs, some edges twice and in both directions, in few and in many tasks and portions of a task."""
+    monkeypatch.setattr(components, "MOST_EDGES", 50)
+    rng = np.random.default_rng(tasks)
+    path = (rng.permutation(200) + 1000).tolist()
+    edges = [*zip(path, path[1:]), *((i, 5000) for i in range(5001, 5200)), *map(tuple, rng.integers(0, 400, (220, 2)).tolist()), (-3, -9), (77777, 77777)]
+    edges = [e for i in rng.permutation(len(edges)) for e in (edges[i], edges[i][::-1], edges[i])[: 1 + i % 3]]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(tasks)).collect()
+    assert len(got) == len(root) and {r.id: r.component for r in got} == {x: find(x) for x in root}
+
+
+def test_pipeline_op9_union_find_takes_few_exchanges(spark, monkeypatch):
+    """Edges of wide components, dealt over many tasks: with many shuffle partitions it is the exchanges that cost."""
+    plans, before = [], Workspace.stored
+
+    def counted(ws, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return before(ws, df, name)
+
+    monkeypatch.setattr(Workspace, "stored", counted)
+    edges = spark.range(0, 3000, 1, 12).select(F.col("id").alias("a"), (F.col("id") + F.lit(1) + F.col("id") % 2 * 6).alias("b"))
+    got = components.connected_components(edges)
+    assert {r.component for r in got.collect()} == {0, 2, 4, 6}
+    assert sum(p.count("Exchange hashpartitioning") for p in plans) < 8
+
+
+def test_pipeline_op9_components_of_shared_keys(spark):
+    """Links among ids that share a key, whether verify or the search thins its pairs; the rows' sizes are those of the keys."""
+    rows = [(k, i) for k in range(40) for i in range(k, 400, 37 + k)] + [(999, i) for i in range(400)]
+    keys = spark.createDataFrame(rows, "key long, id long")
+    first = components.shared_rows(keys, once=True)
+    assert {(r.key, r.size) for r in first.collect()} == {(k, sum(x == k for x, _ in rows)) for k in {k for k, _ in rows}}
+    for thin in (True, False):
+        with Workspace(spark) as ws:
+            marks = lambda ids: ws.stored(ids.withColumn("v", F.col("id") % 50), "v")
+            verify = lambda pairs: pairs.where("a % 50 = b % 50")
+            may = lambda x, y: F.abs(F.col(f"{x}.v") - F.col(f"{y}.v")) <= 1
+            found = components.linked_components(ws.stored(first, "first"), verify, marks, may, ws, thin=thin).collect()
+        assert {r.id: r.component for r in found} == {i: i % 50 for i in range(400)}
