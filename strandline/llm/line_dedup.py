@@ -224,7 +224,7 @@ def line_marks(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Verifier:
-    """Exact Jaccard on the texts of candidate lines, which one scan of the documents gathers."""
+    """Exact Jaccard on the texts of candidate lines, which one scan of the documents gathers; sketches thin the candidates, as they are no longer than lines."""
 
     def __init__(self, docs: DataFrame, percent: int, ws: Workspace):
         self.docs, self.percent, self.ws, self.texts = docs, percent, ws, None
@@ -263,8 +263,9 @@ class Verifier:
         return self.texts.select("id", "n_shingles", "sketch")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        side = lambda c: self.texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
-        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+        x, y = self.texts.alias("x"), self.texts.alias("y")
+        full = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(may_link(self.percent)("x", "y"))
+        full = full.select("a", "b", F.col("x.text").alias("ta"), F.col("y.text").alias("tb"))
         percent = self.percent
 
         def run(batches):
@@ -276,7 +277,7 @@ class Verifier:
                         linked.append(100 * i >= percent * (len(x) + len(y) - i))
                     yield part.select(["a", "b"]).filter(pa.array(linked))
 
-        return full.mapInArrow(run, "a bigint, b bigint").distinct()
+        return full.mapInArrow(run, "a bigint, b bigint")
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -288,7 +289,7 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
         found = ws.stored(lines(docs), "lines")
         verify = Verifier(docs, percent, ws)
         keyed = found.where("pairs is not null").select("pairs")
-        components = linked_components(ws.stored(shared_pairs(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws)
+        components = linked_components(ws.stored(shared_pairs(keyed), "shared-keys"), verify, verify.gather, may_link(percent), ws, thin=False)
         near = components.join(verify.texts.select("id", "h2"), "id").select(F.col("id").alias("h1"), "h2", F.col("component").alias("g1"), F.lit(0).cast("long").alias("g2"))
         equal = found.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
         equal = equal.join(near, ["h1", "h2"], "left_anti").select("h1", "h2", F.col("h1").alias("g1"), F.col("h2").alias("g2"))
@@ -297,8 +298,8 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
         members = ws.stored(found.drop("pairs", "n_lines").join(groups, ["h1", "h2"]).select("doc_id", "k", "line", "g1", "g2"), "members")
         own = F.struct("doc_id", "k", "line")
         first = ws.stored(members.groupBy("g1", "g2").agg(F.min(own).alias("first")), "first-lines")
-        gone = ws.stored(members.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "line").distinct(), "gone-lines")
-        gone = gone.groupBy("d", "k2").agg(F.collect_list("line").alias("gone"))
+        gone = members.join(first, ["g1", "g2"]).where(~own.eqNullSafe(F.col("first"))).select(F.col("doc_id").alias("d"), F.col("k").alias("k2"), "line")
+        gone = gone.groupBy("d", "k2").agg(F.collect_set("line").alias("gone"))
         per_doc = found.where("n_lines is not null").select("doc_id", "k", "n_lines").distinct()
         out = per_doc.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("k2")), "left")
         return stored(out.select("doc_id", "k", "n_lines", F.coalesce("gone", F.array().cast("array<int>")).alias("gone")), "repeated-lines")
