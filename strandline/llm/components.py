@@ -115,6 +115,73 @@ def shared_rows(rows: DataFrame, once: bool = False) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key"), "key").distinct()
 
 
+def repeated_heads(lists: DataFrame) -> DataFrame:
+    """(h): what keys that several rows of lists (id, keys) hold begin with, h's other bits being zero; keys are 64-bit hashes, nearly all of which one row holds.
+
+    Tasks send four bytes a key, in a row for each of the ranges that the leading bits make: the next 32 bits.  A range's
+    are sorted as an array; there are several ranges for each of the session's shuffle partitions.  Of a key that a task meets often it sends two.
+    """
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = (8 * parts - 1).bit_length()
+
+    def pack(batches):
+        for keys in _key_blocks(batches):
+            keys = np.sort(keys)
+            keys = keys[np.r_[True, True, keys[2:] != keys[:-2]][: len(keys)]]
+            place = (keys >> np.uint64(64 - bits)).astype(np.int32)
+            cut = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            blobs = [x.tobytes() for x in np.split((keys >> np.uint64(32 - bits)).astype(np.uint32), cut[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(place[cut]), pa.array(blobs, pa.binary())], names=["place", "nexts"])
+
+    def repeated(batches):
+        own = {}
+        for batch in batches:
+            for k, x in zip(batch.column("place").to_pylist(), batch.column("nexts")):
+                own.setdefault(k, []).append(np.frombuffer(x.as_buffer(), np.uint32))
+        for k, blobs in own.items():
+            nexts = np.sort(np.concatenate(blobs))
+            twice = np.unique(nexts[1:][nexts[1:] == nexts[:-1]]).astype(np.uint64)
+            heads = np.uint64(k) << np.uint64(64 - bits) | twice << np.uint64(32 - bits)
+            yield pa.RecordBatch.from_arrays([pa.array(heads.view(np.int64))], names=["h"])
+
+    packed = lists.select("keys").mapInArrow(pack, "place int, nexts binary")
+    return packed.repartition(parts, "place").mapInArrow(repeated, "h bigint")
+
+
+def shared_of_lists(lists: DataFrame, ws: Workspace) -> DataFrame:
+    """shared_rows, with sizes, of the rows (key, id) of lists (id, keys), where nearly every key has one id and an id's keys differ; lists are read twice.
+
+    Only rows whose key begins like a repeated one are made and shuffled, and a bit table tells these.
+    """
+    heads = ws.stored(repeated_heads(lists), "heads-of-keys")
+    table = bit_table(heads, "h")
+
+    def near(batches):
+        for batch in batches:
+            keys = batch.column("keys")
+            flat, ends = keys.flatten().to_numpy(), np.cumsum(keys.value_lengths().to_numpy())
+            hit = np.flatnonzero(table.may_hold(flat))
+            ids = batch.column("id").to_numpy()[np.searchsorted(ends, hit, "right")]
+            yield pa.RecordBatch.from_arrays([pa.array(flat[hit]), pa.array(ids)], names=["key", "id"])
+
+    return shared_rows(ws.stored(lists.mapInArrow(near, "key bigint, id bigint"), "near-keys"), once=True)
+
+
+def _key_blocks(batches, most: int = 1 << 20):
+    """The keys of batches (keys) as unsigned numbers, some `most` at a time."""
+    held, n = [], 0
+    for batch in batches:
+        flat = batch.column("keys").flatten().to_numpy().view(np.uint64)
+        for i in range(0, len(flat), most):
+            held.append(flat[i : i + most])
+            n += len(held[-1])
+            if n >= most:
+                yield np.concatenate(held)
+                held, n = [], 0
+    if n:
+        yield np.concatenate(held)
+
+
 def shared_pairs(rows: DataFrame) -> DataFrame:
     """shared_rows, with sizes, for integer keys and ids, where nearly every key has one id: tasks send packed pairs, a row for each bucket of keys, and sort a bucket as arrays.
 

@@ -10,8 +10,8 @@ the band's largest difference, so linked sets agree on some segments (pigeonhole
 meet on (band, segment, its parity bits); the bits of a segment travel as the XOR of 64-bit hashes.
 Empty segments say little: a band has so many spare segments that linked sets as a rule agree on more than
 either has empty, and only a set that has as many empty ones sends these too, so nothing is lost.  A set goes to its own band and to those of the larger sets that it can link.
-Pairs that meet are thinned by sizes and by the Hamming distance of whole sketches, and verified on
-the words.  Equal sets are one node from the start; components come from a distributed union-find.
+Pairs that meet are thinned by sizes and by the Hamming distance of whole sketches, whose length follows the sets' sizes, and verified on
+the words.  What travels before that is short: of keys four bytes each, until it is known which several sets have, and texts only of pairs that are left.  Equal sets are one node from the start; components come from a distributed union-find.
 
 Repeated rows are copies of each other; rows that repeat a doc_id with another text are nodes of their own.  A null doc_id
 belongs to no component (null component_id) but counts its shingles; other columns are ignored.  An empty table gives an empty result.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import LOWER, U, constants, hash_spans, mix, shingle_hashes, slices, text_bytes, word_spans
-from .components import bit_table, linked_components, shared_rows
+from .components import bit_table, linked_components, shared_of_lists
 from .storage import Workspace, stored
 
 SPARE, SKETCH_WORDS = 2, 16
@@ -99,14 +99,27 @@ def segment_keys(grams: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch_bits(grams: np.ndarray) -> np.ndarray:
-    """The bit of a sketch that each shingle flips."""
-    return (mix(grams ^ _SEG[3]) >> U(54)).astype(np.int64)  # 1024 bits
+def sketch_words(n: int) -> int:
+    """Longs in the sketch of a set of n shingles: SKETCH_WORDS up to 2048, then twice as many with each doubling of n.
 
+    A sketch has half a bit a shingle at least: with fewer, the distance of large sets that have nothing in common is
+    within what may_link allows, and all that share a key would be verified.
+    """
+    return SKETCH_WORDS << max(0, (n - 1).bit_length() - 11)
+
+
+def sketch_bits(grams: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """The bit of a sketch that each shingle flips; the two halves of a sketch, XORed, are the sketch of half its length."""
+    h = mix(grams ^ _SEG[3])
+    at = h >> U(54)  # 1024 bits
+    if words > SKETCH_WORDS:
+        at |= (h & U(words // SKETCH_WORDS - 1)) << U(10)
+    return at.astype(np.int64)
 
-def sketch(grams: np.ndarray) -> np.ndarray:
-    """The parity sketch: 64 * SKETCH_WORDS bits as longs."""
-    odd = (np.bincount(sketch_bits(grams), minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+
+def sketch(grams: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """The parity sketch: 64 * `words` bits as longs; words are SKETCH_WORDS times a power of two."""
+    odd = (np.bincount(sketch_bits(grams, words), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
@@ -131,38 +144,62 @@ def sketches(docs: DataFrame, percent: int, words: int = 3) -> DataFrame:
                 s1 = np.array([x.sum(dtype=U) for x in sets], U).view(np.int64)
                 s2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else U(0) for x in sets], U).view(np.int64)
                 keys = _lists([segment_keys(x, percent) if len(x) else none for x in sets])
-                bits = _lists([sketch(x) for x in sets])
+                bits = _lists([sketch(x, sketch_words(len(x))) for x in sets])
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "k", "row")), pa.array(np.array([len(x) for x in sets], np.int64)), pa.array(s1), pa.array(s2), bits, keys], names=["doc_id", "k", "row", "n_shingles", "s1", "s2", "sketch", "keys"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"), F.monotonically_increasing_id().alias("row"))
     return rows.mapInArrow(run, f"doc_id {kind}, k bigint, row bigint, n_shingles bigint, s1 bigint, s2 bigint, sketch array<bigint>, keys array<bigint>")
 
 
-def may_link(percent: int):
-    """What sizes and whole sketches allow: 100 * |A & B| >= percent * |A | B| bounds the symmetric difference."""
+def _as_long_as(s: Column, other: Column) -> Column:
+    """A sketch s, or the XOR of its halves if the other sketch has fewer longs."""
+    half = F.shiftright(F.size(s), 1)
+    folded = F.zip_with(F.slice(s, F.lit(1), half), F.slice(s, half + 1, half), lambda v, w: v.bitwiseXOR(w))
+    return F.when(F.size(s) > F.size(other), folded).otherwise(s)
+
+
+def may_link(percent: int, folds: bool = False):
+    """What sizes and whole sketches allow: 100 * |A & B| >= percent * |A | B| bounds the symmetric difference.
+
+    `folds` says that sketches may differ in length, from 50 percent on by one doubling at most; below, those that differ by more may link.
+    """
 
     def condition(x: str, y: str) -> Column:
         n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-        bits = F.zip_with(f"{x}.sketch", f"{y}.sketch", lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+        s, t = F.col(f"{x}.sketch"), F.col(f"{y}.sketch")
+        if folds:
+            s, t = _as_long_as(s, t), _as_long_as(t, s)
+        bits = F.zip_with(s, t, lambda v, w: F.bit_count(v.bitwiseXOR(w)))
         distance = F.aggregate(bits, F.lit(0), lambda s, v: s + v)
+        if folds:
+            distance = F.coalesce(distance, F.lit(0))
         return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (distance * (100 + percent) <= (100 - percent) * (n + m))
 
     return condition
 
 
 class Verifier:
-    """Exact Jaccard on the words of candidates, whose whole texts one scan of the documents gathers."""
+    """Exact Jaccard on the words of candidates, whose whole texts a scan of the documents gathers.
+
+    Only texts of pairs that sizes and sketches let through are gathered: ids that share a key with some other set are most of a large corpus.
+    """
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int, words: int, ws: Workspace):
         self.docs, self.nodes, self.percent, self.words, self.ws = docs, nodes, percent, words, ws
         self.texts = None
 
-    def gather(self, ids: DataFrame) -> DataFrame:
-        """Keep the text of each node in ids, and return its n_shingles and sketch.
+    def marks(self, ids: DataFrame) -> DataFrame:
+        """n_shingles and sketch of the nodes in ids; stored."""
+        return self.ws.stored(self.nodes.join(ids, "id", "left_semi").select("id", "n_shingles", "sketch"), "near-nodes")
+
+    def gather(self, ids: DataFrame) -> None:
+        """Keep the text of each node in ids, in place of those kept before.
 
         A bit table of bounded size thins the scan; a join then decides.
         """
-        near = self.ws.stored(self.nodes.join(ids, "id", "left_semi"), "near-nodes")
+        if self.texts is not None:
+            self.ws.drop(self.texts)
+        near = self.ws.stored(self.nodes.join(ids, "id", "left_semi").select("id", "doc_id", "k"), "pair-nodes")
         table = bit_table(near, "k")
 
         def run(batches):
@@ -173,10 +210,12 @@ class Verifier:
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
         found = self.docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).where("doc_id is not null").mapInArrow(run, f"doc_id {kind}, text string, k bigint")
-        self.texts = self.ws.stored(found.dropDuplicates(["doc_id", "k"]).join(near.select("doc_id", "k", "id"), ["doc_id", "k"]).select("id", "text"), "near-texts")
-        return near.select("id", "n_shingles", "sketch")
+        self.texts = self.ws.stored(found.dropDuplicates(["doc_id", "k"]).join(near, ["doc_id", "k"]).select("id", "text"), "pair-texts")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
+        if not pairs.take(1):
+            return pairs
+        self.gather(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
         side = lambda c: self.texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
         full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
         percent, words = self.percent, self.words
@@ -222,13 +261,12 @@ def _components(docs: DataFrame, percent: int, words: int) -> DataFrame:
         marks = ws.stored(sketches(docs, percent, words), "sketches")
         known = marks.where("n_shingles > 0 and doc_id is not null")
         sets = ws.stored(known.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("least"), F.min("row").alias("id")), "sets")
-        keyed = _first_of_each(marks, sets, ws).select(F.explode("keys").alias("key"), "id")
-        shared = ws.stored(shared_rows(keyed, once=True), "shared-keys")
+        shared = ws.stored(shared_of_lists(_first_of_each(marks, sets, ws), ws), "shared-keys")
         rows = ws.stored(marks.drop("keys"), "rows")
         ws.drop(marks)  # the keys are by far the most of it
         nodes = rows.where("n_shingles > 0 and doc_id is not null").select(F.col("row").alias("id"), "doc_id", "k", "n_shingles", "sketch")
         verify = Verifier(docs, nodes, percent, words, ws)
-        found = linked_components(shared, verify, verify.gather, may_link(percent), ws)
+        found = linked_components(shared, verify, verify.marks, may_link(percent, folds=True), ws)
         grown = ws.stored(sets.join(found, "id").select("s1", "s2", "n_shingles", "least", "component"), "grown")
         named = grown.join(grown.groupBy("component").agg(F.min("least").alias("label")), "component").select("s1", "s2", "n_shingles", "component", "label")
         own = ["s1", "s2", "n_shingles"]
