@@ -36,8 +36,8 @@ def file_documents(files: DataFrame, parts: dict[str, DataFrame], key: str = "fi
     return out.select(key, text.alias("document")).withColumn("sha256", F.sha2("document", 256))
 
 
-def digest_tree(digests: DataFrame, position: str = "file_index", digest: str = "sha256", fanout: int = 1024) -> DataFrame:
-    """(level, position, children, sha256): a node hashes the digests of up to `fanout` neighbours in order, up to one root.
+def digest_tree(digests: DataFrame, position: str = "file_index", digest: str = "sha256", fanout: int = 1024, levels: int | None = None) -> DataFrame:
+    """(level, position, children, sha256): a node hashes the digests of up to `fanout` neighbours in order, up to one root, or to the roots that `levels` levels make.
 
     A change of one file changes the nodes above it alone, and no task gathers more than `fanout` digests, so a batch has a hash of all its files without a row that holds
     them.  The result depends on positions and digests only.  Positions are integers from 0; an empty table has no root.
@@ -47,7 +47,7 @@ def digest_tree(digests: DataFrame, position: str = "file_index", digest: str =
     if top is None:
         return level
     n = 0
-    while top > 0 or n == 0:
+    while (top > 0 or n == 0) and n != levels:
         n, top = n + 1, top // fanout
         up = every[-1].groupBy(F.expr(f"position div {fanout}").alias("position")).agg(F.count("*").alias("children"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "sha256"))), lambda c: c["sha256"]), ""), 256).alias("sha256"))
         every.append(stored(up.select(F.lit(n).alias("level"), "position", "children", "sha256"), "digests"))
